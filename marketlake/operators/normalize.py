@@ -8,6 +8,7 @@ from functools import reduce
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,9 +37,10 @@ def to_table(
         return spark.createDataFrame([tuple(r.get(n) for n in schema.names) for r in data], schema)
     frame = pd.DataFrame(data)
     try:
-        return spark.createDataFrame(frame)
-    except Exception:
-        return spark.createDataFrame(frame.map(_nested_text))
+        table = pa.Table.from_pandas(frame, preserve_index=False)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, pa.ArrowTypeError):
+        table = pa.Table.from_pandas(frame.map(_nested_text), preserve_index=False)
+    return spark.createDataFrame(table)
 
 
 def _nested_text(value: Any) -> Any:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 from dataclasses import dataclass
-from math import ceil, floor
+from math import ceil, copysign, floor, log1p
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -195,13 +195,22 @@ def _count_buckets(values: DataFrame, ranges: list[tuple[str, float, float]]) ->
 
 
 def _bucket(value: Column, low: float, high: float) -> Column:
-    """Number of the equal-width bucket; grows with the value, so buckets keep the order."""
+    """Bucket number; it never falls as the value grows, so buckets keep the order.
+
+    Buckets are equally wide in a narrow range and grow with the size of the values in a
+    wide one, so a few huge values do not push all others into one bucket.
+    """
     low, high = max(low, -_LARGEST), min(high, _LARGEST)
+    value = F.least(F.greatest(value, F.lit(low)), F.lit(high))
+    narrow = low > 0 and high / 2 <= low or high < 0 and low / 2 >= high
+    if not narrow:
+        unit = max(max(-low, high) * 2.0**-1000, sys.float_info.min)
+        value = F.signum(value) * F.log1p(F.abs(value) / F.lit(unit))
+        low, high = (copysign(log1p(abs(x) / unit), x) for x in (low, high))
     width = high / 2 - low / 2  # halves first: high - low can overflow
     if width == 0:
         return F.when(value > low, 1).otherwise(0)
-    clipped = F.least(F.greatest(value, F.lit(low)), F.lit(high))
-    share = (clipped / 2 - F.lit(low / 2)) / F.lit(width)
+    share = (value / 2 - F.lit(low / 2)) / F.lit(width)
     return F.floor(share * BUCKETS).cast("int")
 
 

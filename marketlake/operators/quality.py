@@ -1,7 +1,8 @@
 """Declared checks on models, as failing rows or as one result table.
 
-All checks of a model that look at single rows share one pass over it. Only ``unique`` moves
-data: it counts per key, with the counts combined before the shuffle, so a hot key is cheap.
+Checks that count rows share one pass over a model. Checks that count values each read their
+one column: ``accepted_values`` drops the good rows at the scan, and ``unique`` combines its
+counts per key before the shuffle, so a hot key is cheap.
 """
 
 from __future__ import annotations
@@ -52,10 +53,10 @@ def check_model(df: DataFrame, model: str, checks: Iterable[Check]) -> DataFrame
     """Result rows of one model: failing rows for ``not_null`` and ``accepted_range``, distinct
     failing values for ``unique`` and ``accepted_values``."""
     checks = list(checks)
-    local = [c for c in checks if c.kind != "unique"]
-    parts = [_one_pass(df, model, local)] if local else []
+    by_row = [c for c in checks if c.kind in ("not_null", "accepted_range")]
+    parts = [_one_pass(df, model, by_row)] if by_row else []
     for check in checks:
-        if check.kind == "unique":
+        if check not in by_row:
             counted = failing_rows(df, check).agg(F.count(F.lit(1)).alias("failures"))
             parts.append(counted.select(*_labels(model, check), "failures"))
     results = reduce(DataFrame.unionByName, parts)
@@ -75,12 +76,8 @@ def _one_pass(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
     counts = []
     for check in checks:
         column = F.col(quoted(check.column))
-        if check.kind == "not_null":
-            counts.append(F.count_if(column.isNull()))
-        elif check.kind == "accepted_values":
-            counts.append(F.count_distinct(F.when(_outside(check), column)))
-        else:
-            counts.append(F.count_if(_outside(check)))
+        broken = column.isNull() if check.kind == "not_null" else _outside(check)
+        counts.append(F.count_if(broken))
     row = df.agg(*(n.alias(f"n{i}") for i, n in enumerate(counts)))
     results = [
         F.struct(*_labels(model, check), F.col(f"n{i}").cast("long").alias("failures"))

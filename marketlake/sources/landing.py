@@ -128,7 +128,7 @@ def read_landed(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
 def read_landed_documents(spark: SparkSession, path: str, source: str) -> DataFrame:
     """Landed answers stored as one JSON document per file; the file name is the request key."""
     docs = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-    docs = docs.option("pathGlobFilter", "*.json").text(path)
+    docs = docs.option("pathGlobFilter", "*.json").format("text").load(path)
     return docs.select(
         F.lit(source).alias("source"),
         F.regexp_replace("_metadata.file_name", r"\.json$", "").alias("request_key"),

@@ -34,8 +34,7 @@ select concat('coin-', cast(p_partkey as varchar(20))) as id, lower(p_brand) as
 from {part}
 """
 
-# a record per answer, so the number of answers grows with the tables but each stays small
-PAGE = 250
+PAGE_BITS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,12 +108,15 @@ def _landed(bodies: DataFrame, source: str) -> DataFrame:
     )
 
 
-def _pages(records: DataFrame, number: str, *keys: str) -> DataFrame:
-    """JSON arrays of at most PAGE records, by consecutive record numbers."""
-    page = F.floor(F.col(number) / PAGE).alias("page")
-    grouped = records.groupBy(*keys, page)
-    return grouped.agg(F.concat(F.lit("["), F.array_join(F.collect_list("json"), ","), F.lit("]"))
-                       .alias("list"))
+def _pages(records: DataFrame, *keys: str) -> DataFrame:
+    """JSON arrays of at most 256 records.
+
+    Rows are numbered per scan partition, so no page grows with the data or with one key.
+    """
+    numbered = records.withColumn("page", F.shiftright(F.monotonically_increasing_id(), PAGE_BITS))
+    grouped = numbered.groupBy(*keys, "page")
+    joined = F.array_join(F.collect_list("json"), ",")
+    return grouped.agg(F.concat(F.lit("["), joined, F.lit("]")).alias("list"))
 
 
 def _wrap(before: str, after: str) -> Column:
@@ -132,8 +134,8 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("event_id").alias("market_cap_rank"),
         )
     )
-    records = table(spark, sf_dir, "events").select("event_id", record.alias("json"))
-    pages = _pages(records, "event_id").select(
+    records = table(spark, sf_dir, "events").select(record.alias("json"))
+    pages = _pages(records).select(
         F.col("page").alias("request_key"), F.col("list").alias("body")
     )
     return stack([_landed(pages, "coingecko"), _landed(_odd_answers(spark, sf_dir), "coingecko")])
@@ -165,7 +167,7 @@ def landed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = table(spark, sf_dir, "supplier").select(
         "s_suppkey", kind.alias("kind"), record.alias("json")
     )
-    paged = _pages(records.where("kind <> 'single'"), "s_suppkey", "kind")
+    paged = _pages(records.where("kind <> 'single'"), "kind")
     listed = paged.where("kind = 'list'").select(
         F.concat(F.lit("list-"), "page").alias("request_key"), F.col("list").alias("body")
     )
@@ -191,9 +193,9 @@ def landed_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     records = table(spark, sf_dir, "events").select(
-        "event_id", F.col("event_type").alias("request_key"), record.alias("json")
+        F.col("event_type").alias("request_key"), record.alias("json")
     )
-    good = _pages(records, "event_id", "request_key").select(
+    good = _pages(records, "request_key").select(
         "request_key", _wrap('{"observations":', "}")
     )
     odd = F.when(F.col("n_nationkey") < 10, '{"observations":[').otherwise('{"count":0}')
@@ -204,8 +206,8 @@ def landed_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_query_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of query 7 from ``events``; answers without rows from ``region``."""
     record = F.to_json(F.struct(F.col("event_id").alias("a"), F.col("value").alias("b")))
-    records = table(spark, sf_dir, "events").select("event_id", record.alias("json"))
-    good = _pages(records, "event_id").select(
+    records = table(spark, sf_dir, "events").select(record.alias("json"))
+    good = _pages(records).select(
         F.lit("7").alias("request_key"), _wrap('{"result":{"rows":', "}}")
     )
     empty = table(spark, sf_dir, "region").select(
@@ -218,7 +220,6 @@ def landed_query_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price bars per symbol from ``events``; symbols without data from ``nation``."""
     numbered = table(spark, sf_dir, "events").select(
-        "event_id",
         F.col("event_type").alias("request_key"),
         F.to_json(
             F.struct(
@@ -233,7 +234,7 @@ def landed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ).alias("json"),
     )
-    good = _pages(numbered, "event_id", "request_key").select(
+    good = _pages(numbered, "request_key").select(
         "request_key", F.col("list").alias("body")
     )
     none = table(spark, sf_dir, "nation").select(
