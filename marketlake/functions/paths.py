@@ -57,26 +57,27 @@ def lake_path_column(
 
 
 def parse_lake_path(path: Column) -> Column:
-    """Split a lake path into a struct; fewer than four parts is an error."""
-    parts = F.split(F.btrim(path, F.lit("/")), "/")
+    """Split a lake path into a struct; fewer than four parts is an error.
+
+    The check sits below the fields, so that Spark splits each path once for all of them.
+    """
+    split = F.split(F.btrim(path, F.lit("/")), "/")
+    problem = F.concat(
+        F.lit("Invalid lake path: "), path, F.lit(". Expected: layer/source/date/filename")
+    )
+    parts = F.when(F.size(split) < 4, F.raise_error(problem)).otherwise(split)
     file = F.get(parts, F.lit(3))
+    dotted = file.contains(".")
     extension = F.substring_index(file, ".", -1)
     stem = F.substring(file, F.lit(1), F.length(file) - F.length(extension) - 1)
-    dotted = file.contains(".")
-    split = F.struct(
+    return F.struct(
         F.get(parts, F.lit(0)).alias("layer"),
         F.get(parts, F.lit(1)).alias("source"),
         F.get(parts, F.lit(2)).alias("date"),
         F.when(dotted, stem).otherwise(file).alias("filename"),
-        F.when(dotted, extension).otherwise(F.lit("unknown")).alias("format"),
+        F.when(dotted, extension).when(~dotted, F.lit("unknown")).alias("format"),
         path.alias("full_path"),
     )
-    problem = F.concat(
-        F.lit("Invalid lake path: "), path, F.lit(". Expected: layer/source/date/filename")
-    )
-    return F.when(path.isNull(), F.lit(None)).when(F.size(parts) >= 4, split).otherwise(
-        F.raise_error(problem)
-    )
 
 
 def run_of(path: Column, layer: str, source: str) -> Column:

@@ -16,7 +16,7 @@ def quoted(name: str) -> str:
 def keys_first(df: DataFrame, *keys: str) -> DataFrame:
     """Move the key columns to the front; keep the order of the rest."""
     rest = [c for c in df.columns if c not in keys]
-    return df.select(*(F.col(quoted(c)) for c in (*keys, *rest)))
+    return df.select(*(quoted(c) for c in (*keys, *rest)))
 
 
 def tag(df: DataFrame, name: str, value: Column | str) -> DataFrame:
@@ -24,18 +24,19 @@ def tag(df: DataFrame, name: str, value: Column | str) -> DataFrame:
     return df.withColumn(name, value if isinstance(value, Column) else F.lit(value))
 
 
-def json_text(column: Column, kind: T.DataType) -> Column:
-    """JSON text of a nested value; text stays as it is."""
-    return F.to_json(column) if isinstance(kind, NESTED) else column.cast("string")
+def json_text(name: str, kind: T.DataType) -> str:
+    """SQL for the JSON text of a nested column; text stays as it is."""
+    column = quoted(name)
+    return f"to_json({column})" if isinstance(kind, NESTED) else f"cast({column} as string)"
 
 
 def nested_to_json(df: DataFrame) -> DataFrame:
     """Replace every array, map, struct and variant column by its JSON text."""
-    return df.select(
+    return df.selectExpr(
         *(
-            F.to_json(F.col(quoted(f.name))).alias(f.name)
+            f"to_json({quoted(f.name)}) as {quoted(f.name)}"
             if isinstance(f.dataType, NESTED)
-            else F.col(quoted(f.name))
+            else quoted(f.name)
             for f in df.schema.fields
         )
     )
@@ -59,29 +60,28 @@ def conform(
     ``nanosecond_columns`` names the timestamps that arrive as a count of nanoseconds.
     """
     found = {f.name: f.dataType for f in df.schema.fields}
-    return df.select(
+    return df.selectExpr(
         *(
-            _convert(f, found.get(f.name), f.name in nanosecond_columns).alias(f.name)
+            f"{_converted(f, found.get(f.name), f.name in nanosecond_columns)} as {quoted(f.name)}"
             for f in contract.fields
         )
     )
 
 
-def _convert(field: T.StructField, found: T.DataType | None, nanos: bool) -> Column:
-    wanted = field.dataType
-    column = F.col(quoted(field.name))
+def _converted(field: T.StructField, found: T.DataType | None, nanos: bool) -> str:
+    wanted, column = field.dataType, quoted(field.name)
+    kind = wanted.simpleString()
     if found is None:
-        return F.lit(None).cast(wanted)
+        return f"cast(null as {kind})"
     if nanos and isinstance(wanted, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        count = quoted(field.name)
-        micros = F.expr(f"({count} - pmod({count}, 1000)) div 1000")
-        return F.timestamp_micros(micros).cast(wanted)
+        micros = f"({column} - pmod({column}, 1000)) div 1000"  # rounds down before 1970 too
+        return f"cast(timestamp_micros({micros}) as {kind})"
     if found == wanted:
         return column
-    if isinstance(wanted, T.StringType) and isinstance(found, NESTED):
-        return F.to_json(column)
-    if isinstance(wanted, NESTED) and isinstance(found, T.StringType):
-        return F.from_json(column, wanted)
-    if isinstance(wanted, NESTED) and isinstance(found, NESTED):
-        return F.from_json(F.to_json(column), wanted)
-    return column.cast(wanted)
+    nested = isinstance(found, NESTED)
+    if isinstance(wanted, T.StringType) and nested:
+        return f"to_json({column})"
+    if isinstance(wanted, NESTED) and (nested or isinstance(found, T.StringType)):
+        text = f"to_json({column})" if nested else column
+        return f"from_json({text}, '{kind}')"
+    return f"cast({column} as {kind})"

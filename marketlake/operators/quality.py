@@ -23,14 +23,19 @@ class CheckFailure(Exception):
     """At least one check found failing rows."""
 
 
-def _outside(check: Check) -> Column:
-    """True where a value breaks a range or list check; NULL passes."""
-    column = F.col(quoted(check.column))
+def _text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _outside_sql(check: Check) -> str:
+    """SQL that is true where a value breaks a range or list check; NULL passes."""
+    column = quoted(check.column)
     if check.kind == "accepted_values":
-        return column.isNotNull() & ~column.isin(*check.values)
-    below = column < check.low if check.low is not None else F.lit(False)
-    above = column > check.high if check.high is not None else F.lit(False)
-    return below | above
+        return f"{column} not in ({', '.join(map(_text, check.values))})"
+    bounds = ((check.low, "<"), (check.high, ">"))
+    broken = [f"{column} {sign} {bound!r}D" for bound, sign in bounds if bound is not None]
+    return f"({' or '.join(broken) or 'false'})"
 
 
 def failing_rows(df: DataFrame, check: Check) -> DataFrame:
@@ -42,10 +47,10 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
         seen = df.where(column.isNotNull()).groupBy(column.alias("value"))
         return seen.agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1")
     if check.kind == "accepted_values":
-        odd = df.where(_outside(check)).groupBy(column.alias("value"))
+        odd = df.where(_outside_sql(check)).groupBy(column.alias("value"))
         return odd.agg(F.count(F.lit(1)).alias("n_records"))
     if check.kind == "accepted_range":
-        return df.where(_outside(check))
+        return df.where(_outside_sql(check))
     raise ValueError(f"Unknown check: {check.kind}")
 
 
@@ -65,25 +70,19 @@ def check_model(df: DataFrame, model: str, checks: Iterable[Check]) -> DataFrame
 
 
 def _labels(model: str, check: Check) -> list[Column]:
-    return [
-        F.lit(model).alias("model"),
-        F.lit(check.column).alias("column"),
-        F.lit(check.kind).alias("check"),
-    ]
+    named = {"model": model, "column": check.column, "check": check.kind}
+    return [F.lit(value).alias(name) for name, value in named.items()]
 
 
 def _one_pass(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
-    counts = []
-    for check in checks:
-        column = F.col(quoted(check.column))
-        broken = column.isNull() if check.kind == "not_null" else _outside(check)
-        counts.append(F.count_if(broken))
-    row = df.agg(*(n.alias(f"n{i}") for i, n in enumerate(counts)))
-    results = [
-        F.struct(*_labels(model, check), F.col(f"n{i}").cast("long").alias("failures"))
-        for i, check in enumerate(checks)
-    ]
-    return row.select(F.inline(F.array(*results)))
+    counts, results = [], []
+    for i, check in enumerate(checks):
+        column = quoted(check.column)
+        broken = f"{column} is null" if check.kind == "not_null" else _outside_sql(check)
+        counts.append(F.expr(f"count_if({broken}) as n{i}"))
+        labels = f"'{model}' as model, {_text(check.column)} as column, '{check.kind}' as check"
+        results.append(f"struct({labels}, n{i} as failures)")
+    return df.agg(*counts).selectExpr(f"inline(array({', '.join(results)}))")
 
 
 def run_checks(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,24 +16,21 @@ from marketlake.functions.ratios import ratio, ratio_pct
 from marketlake.functions.records import json_text, quoted
 
 
-def _run_date(run_date: date | None) -> Column:
-    return F.current_date() if run_date is None else F.lit(run_date).cast("date")
-
-
 def _renamed(
     bronze: DataFrame,
     keys: tuple[str, ...],
     names: tuple[tuple[str, str], ...],
     run_date: date | None,
-    special: dict[str, Column] | None = None,
+    special: dict[str, str] | None = None,
 ) -> DataFrame:
     """Drop rows without their key, rename, and stamp the date of the run."""
-    present = [F.col(quoted(k)).isNotNull() for k in keys]
-    for condition in present:
-        bronze = bronze.where(condition)
-    special = special or {}
-    columns = [special.get(old, F.col(quoted(old))).alias(new) for old, new in names]
-    return bronze.select(*columns, _run_date(run_date).alias(contracts.INGESTION_DATE))
+    present = " and ".join(f"{quoted(k)} is not null" for k in keys)
+    values = {old: quoted(old) for old, _ in names} | (special or {})
+    today = "current_date()" if run_date is None else f"date'{run_date}'"
+    return bronze.where(present).selectExpr(
+        *(f"{values[old]} as {new}" for old, new in names),
+        f"{today} as {contracts.INGESTION_DATE}",
+    )
 
 
 def silver_coingecko(bronze: DataFrame, run_date: date | None = None) -> DataFrame:
@@ -44,7 +41,7 @@ def silver_coingecko(bronze: DataFrame, run_date: date | None = None) -> DataFra
 def silver_defillama(bronze: DataFrame, run_date: date | None = None) -> DataFrame:
     """Protocol snapshots; the chain list and the values per chain are JSON text."""
     kinds = {f.name: f.dataType for f in bronze.schema.fields}
-    texts = {c: json_text(F.col(quoted(c)), kinds[c]) for c in ("chains", "chainTvls")}
+    texts = {c: json_text(c, kinds[c]) for c in ("chains", "chainTvls")}
     return _renamed(bronze, ("id",), contracts.SILVER_DEFILLAMA, run_date, texts)
 
 
@@ -56,10 +53,10 @@ def silver_yfinance(
     The day is the one in the session's time zone (UTC). ``exchange_zone`` takes the day of
     the exchange instead.
     """
-    day = F.col("`Date`")
+    moment = "`Date`"
     if exchange_zone and isinstance(bronze.schema["Date"].dataType, T.TimestampType):
-        day = F.from_utc_timestamp(day, exchange_zone)
-    trade_date = {"Date": day.cast("date")}
+        moment = f"from_utc_timestamp(`Date`, '{exchange_zone}')"
+    trade_date = {"Date": f"cast({moment} as date)"}
     return _renamed(bronze, ("Symbol", "Date"), contracts.SILVER_YFINANCE, run_date, trade_date)
 
 

@@ -1,8 +1,8 @@
 """Bronze whose files disagree on their schema, read as one table of the contract.
 
 Footers are read on executors, one per batch. Batches whose schemas can be read together
-share one native scan; a lake without drift is a single scan of its root. Only the distinct
-schemas, the date folders and the batches of mixed folders reach the driver.
+share one native scan; a lake without drift is a single scan of its root. What reaches the
+driver is metadata: a row per date folder and schema, and a row per batch of mixed folders.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,18 +44,27 @@ def scan_any_schema(
 ) -> DataFrame:
     """All Parquet files of a source, cast to the contract; a column a file lacks is NULL."""
     footers = batch_schemas(lake, source, contract.fieldNames(), layer)
-    footers = footers.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        distinct = footers.select("schema", "nanos").distinct().collect()
-        if not distinct:
-            return lake.spark.createDataFrame([], contract)
-        variants, owner = group_variants((r["schema"], r["nanos"]) for r in distinct)
-        if len(variants) == 1:
-            whole = lake.scan(source, layer, schema=variants[0].schema)
-            return conform(whole, contract, variants[0].nanos)
-        paths = _paths_by_variant(footers, owner)
-    finally:
-        footers.unpersist()
+    found = footers.select("day_folder", "schema", "nanos").distinct().collect()
+    if not found:
+        return lake.spark.createDataFrame([], contract)
+    variants, owner = group_variants({(r["schema"], r["nanos"]) for r in found})
+    if len(variants) == 1:
+        whole = lake.scan(source, layer, schema=variants[0].schema)
+        return conform(whole, contract, variants[0].nanos)
+    used: dict[str, set[int]] = {}
+    for r in found:
+        used.setdefault(r["day_folder"], set()).add(owner[r["schema"], r["nanos"]])
+    paths: dict[int, list[str]] = {i: [] for i in range(len(variants))}
+    mixed = []
+    for folder, indexes in used.items():
+        if folder and len(indexes) == 1:
+            paths[min(indexes)].append(folder)
+        else:
+            mixed.append(folder)
+    if mixed:
+        loose = batch_schemas(lake, source, contract.fieldNames(), layer, mixed)
+        for r in loose.toLocalIterator():
+            paths[owner[r["schema"], r["nanos"]]].append(r["batch"])
     parts = []
     for index, variant in enumerate(variants):
         reader = lake.spark.read.schema(variant.schema)
@@ -65,18 +73,28 @@ def scan_any_schema(
     return reduce(DataFrame.unionByName, parts)
 
 
-def batch_schemas(lake: Lake, source: str, columns: list[str], layer: str = "bronze") -> DataFrame:
+def batch_schemas(
+    lake: Lake,
+    source: str,
+    columns: list[str],
+    layer: str = "bronze",
+    day_folders: list[str] | None = None,
+) -> DataFrame:
     """Schema of each batch, cut to the wanted columns.
 
     The part files of one batch come from one job and share a schema, so one footer is enough.
+    A batch outside date folders has the empty text as its folder.
     """
-    found = lake.list_files(layer, source)
-    one_each = found.groupBy(batch_of(F.col("path"), layer, source).alias("batch")).agg(
-        F.min("path").alias("sample")
-    )
+    batch = batch_of(F.col("path"), layer, source)
     folder = F.regexp_extract("batch", f"^(.*/{layer}/{source}/{DAY_FOLDER})/[^/]+$", 1)
-    wanted = one_each.select("batch", folder.alias("day_folder"), "sample")
-    return wanted.mapInPandas(_footer_reader(columns), FOOTERS)
+    found = lake.list_files(layer, source).select("path", batch.alias("batch"))
+    found = found.withColumn("day_folder", folder)
+    if day_folders is not None:
+        found = found.where(F.col("day_folder").isin(day_folders))
+    # a fixed number of partitions: the rows are few and short, but each costs a file access
+    spread = found.repartition(lake.spark.sparkContext.defaultParallelism, "batch")
+    one_each = spread.groupBy("batch", "day_folder").agg(F.min("path").alias("sample"))
+    return one_each.mapInPandas(_footer_reader(columns), FOOTERS)
 
 
 def _footer_reader(columns: list[str]):
@@ -113,7 +131,8 @@ def _footer_reader(columns: list[str]):
                 elif pa.types.is_timestamp(kind) and kind.unit == "ns":
                     nanos.append(name)
                     kind = pa.int64()
-                fields.append(T.StructField(name, from_arrow_type(without_nulls(kind))))
+                spark_type = from_arrow_type(without_nulls(kind), prefer_timestamp_ntz=True)
+                fields.append(T.StructField(name, spark_type))
             return T.StructType(fields).json(), json.dumps(nanos)
 
         for chunk in chunks:
@@ -164,23 +183,3 @@ def merge_types(left: T.DataType, right: T.DataType) -> T.DataType | None:
         element = merge_types(left.elementType, right.elementType)
         return element and T.ArrayType(element)
     return left if left == right else None
-
-
-def _paths_by_variant(
-    footers: DataFrame, owner: dict[tuple[str, str], int]
-) -> dict[int, list[str]]:
-    """Date folders of one variant as a whole, batches of mixed folders one by one."""
-    folders: dict[str, set[int]] = {}
-    for row in footers.select("day_folder", "schema", "nanos").distinct().collect():
-        folders.setdefault(row["day_folder"], set()).add(owner[row["schema"], row["nanos"]])
-    paths: dict[int, list[str]] = {}
-    mixed = [""]
-    for folder, used in folders.items():
-        if folder and len(used) == 1:
-            paths.setdefault(used.pop(), []).append(folder)
-        elif folder:
-            mixed.append(folder)
-    loose = footers.where(F.col("day_folder").isin(mixed))
-    for row in loose.toLocalIterator():
-        paths.setdefault(owner[row["schema"], row["nanos"]], []).append(row["batch"])
-    return paths

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake import contracts
+from marketlake.functions.records import quoted
 
 LIST = "array<variant>"
 
@@ -182,14 +183,19 @@ def decode(
     if contract is None:
         return rows.select("record")
     columns = [
-        F.col("request_key").cast(f.dataType).alias(f.name)
-        if f.name == rule.key_column
-        else F.variant_get("record", f"$['{f.name}']", f.dataType.simpleString()).alias(f.name)
-        for f in contract.fields
+        f"{_value(f, rule.key_column)} as {quoted(f.name)}" for f in contract.fields
     ]
     if raw_column:
-        columns.append(F.to_json("record").alias(raw_column))
-    return rows.select(*columns)
+        columns.append(f"to_json(record) as {quoted(raw_column)}")
+    return rows.selectExpr(*columns)
+
+
+def _value(field: T.StructField, key_column: str | None) -> str:
+    """SQL for a contract column: the request key, or a field of the record."""
+    kind = field.dataType.simpleString()
+    if field.name == key_column:
+        return f"cast(request_key as {kind})"
+    return f"""variant_get(record, '$["{field.name}"]', '{kind}')"""
 
 
 def decode_query_result(

@@ -176,10 +176,14 @@ def test_nanosecond_and_old_style_timestamps(lake):
     lake.spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     new = lake.spark.sql("select timestamp'2025-01-03 05:00:00' as Date, 'TSLA' as Symbol")
     write_batch(lake, new, "yahoo_finance", datetime(2025, 1, 3))
+    local = pd.DataFrame({"Date": pd.to_datetime(["2025-01-04 05:00:00"]).astype("datetime64[us]"),
+                          "Symbol": ["NVDA"]})
+    legacy_file(lake, "yahoo_finance", "2025-01-04", "a", local)
     read = scan_any_schema(lake, "yahoo_finance", contracts.BRONZE_YAHOO_FINANCE)
     assert sorted((r["Symbol"], str(r["Date"])) for r in read.select(
         "Symbol", F.col("Date").cast("string").alias("Date")).collect()) == [
-        ("AAPL", "2025-01-01 05:00:00"), ("MSFT", "2025-01-02 05:00:00"), ("TSLA", "2025-01-03 05:00:00"),
+        ("AAPL", "2025-01-01 05:00:00"), ("MSFT", "2025-01-02 05:00:00"), ("NVDA", "2025-01-04 05:00:00"),
+        ("TSLA", "2025-01-03 05:00:00"),
     ]
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.contracts import BRONZE_COINGECKO
+from marketlake.functions import conform
 from marketlake.operators.normalize import stack
 from marketlake.sinks.batches import write_batch
 from marketlake.sources.lake import Lake
@@ -44,14 +45,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def coins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coin market records from ``part``; contract columns without a value are NULL."""
     known = spark.sql(COINS, part=table(spark, sf_dir, "part"))
-    return known.select(
-        *(
-            F.col(f.name).cast(f.dataType)
-            if f.name in known.columns
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in BRONZE_COINGECKO.fields
-        )
-    )
+    return conform(known, BRONZE_COINGECKO)
 
 
 def protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,36 +56,34 @@ def protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    text, number = (lambda: F.lit(None).cast("string")), (lambda: F.lit(None).cast("double"))
-    return joined.select(
-        F.col("s_suppkey").cast("string").alias("id"),
-        F.col("s_name").alias("name"),
-        F.lower("s_name").alias("slug"),
-        text().alias("symbol"),
-        F.col("r_name").alias("category"),
-        F.col("n_name").alias("chain"),
-        F.col("s_acctbal").alias("tvl"),
-        *(number().alias(c) for c in ("mcap", "change_1h", "change_1d", "change_7d")),
-        *(text().alias(c) for c in ("url", "logo", "gecko_id")),
-        F.col("s_suppkey").alias("listedAt"),
-        F.array("n_name", "r_name").alias("chains"),
-        F.create_map("n_name", "n_nationkey", "r_name", "r_regionkey").alias("chainTvls"),
+    return joined.selectExpr(
+        "cast(s_suppkey as string) as id",
+        "s_name as name",
+        "lower(s_name) as slug",
+        "cast(null as string) as symbol",
+        "r_name as category",
+        "n_name as chain",
+        "s_acctbal as tvl",
+        *(f"cast(null as double) as {c}" for c in ("mcap", "change_1h", "change_1d", "change_7d")),
+        *(f"cast(null as string) as {c}" for c in ("url", "logo", "gecko_id")),
+        "s_suppkey as listedAt",
+        "array(n_name, r_name) as chains",
+        "map(n_name, n_nationkey, r_name, r_regionkey) as chainTvls",
     )
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price bars from ``events``."""
-    value = F.col("value")
-    return table(spark, sf_dir, "events").select(
-        F.col("ts").alias("Date"),
-        F.col("event_type").alias("Symbol"),
-        value.alias("Open"),
-        (value + 1).alias("High"),
-        (value - 1).alias("Low"),
-        value.alias("Close"),
-        F.col("user_id").alias("Volume"),
-        F.lit(0.0).alias("Dividends"),
-        F.lit(0.0).alias("Stock Splits"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "ts as `Date`",
+        "event_type as Symbol",
+        "value as Open",
+        "value + 1e0 as High",
+        "value - 1e0 as Low",
+        "value as Close",
+        "user_id as Volume",
+        "0e0 as Dividends",
+        "0e0 as `Stock Splits`",
     )
 
 
