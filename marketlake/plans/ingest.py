@@ -27,7 +27,6 @@ def ingest(
     fmt: str = "parquet",
     layer: str = "bronze",
     contract: T.StructType | None = None,
-    raw_column: str | None = None,
 ) -> str:
     """Decode the landed answers of one run and write them as one batch; returns its path.
 
@@ -40,7 +39,7 @@ def ingest(
     about = {"pipeline_id": pipeline_id, "source": source, "layer": layer}
     try:
         check_format(fmt)
-        records = decode(landed, source, contract, raw_column)
+        records = decode(landed, source, contract)
         records = require_records(records, source)
         extract_ms = clock.lap()
         counted = Observation(pipeline_id)

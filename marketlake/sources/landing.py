@@ -1,8 +1,8 @@
 """Landed API answers as typed records.
 
 An answer is one row: source, request key, status, body. Each source has a rule that says where
-its records are, and what happens to answers that failed or look different. Bodies are
-parsed once, in the scan's own stage; nothing is shuffled.
+its records are, and what happens to answers that failed or look different. A body is parsed
+once, straight into the columns that are wanted; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -17,100 +17,150 @@ from pyspark.sql import types as T
 from marketlake import contracts
 from marketlake.functions.records import quoted
 
-LIST = "array<variant>"
-
 # What became of an answer.
 FAILED, MALFORMED, UNEXPECTED, IGNORED = "failed", "malformed", "unexpected", "ignored"
 EMPTY, RECORDS = "empty", "records"
 REJECTED = (FAILED, MALFORMED, UNEXPECTED, IGNORED)
 
+# Set by the JSON reader when a body does not fit the schema.
+_BAD = "_bad"
+# Wide enough for every 64-bit integer, also when it is written as 1.0.
+_WHOLE = T.DecimalType(38, 18)
+
+
+@dataclass(frozen=True)
+class Parsed:
+    """Columns of one answer: its records, NULL if it has none, and why it has none."""
+
+    records: Column
+    trouble: Column
+
 
 @dataclass(frozen=True)
 class Rule:
     """How one source's answers are read.
 
-    ``records`` gives the list of records, NULL where the answer has another shape.
-    ``ignored`` marks odd answers that yield no rows but are no error.
-    ``stops`` lists the outcomes that fail the whole run; the others skip the answer.
+    ``find`` gives the records from the columns ``listed`` (a body that is a list) and
+    ``keyed`` (a body that is an object, read with ``fields``). ``stops`` lists the outcomes
+    that fail the whole run; the others skip the answer. ``strict`` lets the JSON reader itself
+    fail on a malformed body or a value that does not fit. Otherwise values are read as text
+    and cast later, so that a malformed body can be told from a value that does not fit.
     ``needed`` names the request keys in the error raised when no answer holds any record.
     """
 
-    records: Callable[[Column], Column]
-    ignored: Callable[[Column, Column], Column]
+    find: Callable[[T.DataType], Parsed]
     stops: tuple[str, ...]
+    fields: Callable[[T.DataType], list[T.StructField]] | None = None
+    strict: bool = True
     needed: str | None = None
     key_column: str | None = None
     contract: T.StructType | None = None
 
 
-def _listed(doc: Column) -> Column:
-    return F.try_variant_get(doc, "$", LIST)
+# --- where the records are ---------------------------------------------------------------
 
 
-def _at(doc: Column, path: str) -> Column:
-    """List at a path; an absent path is an empty list, another value there is NULL."""
-    absent = F.try_variant_get(doc, path, "variant").isNull()
-    return F.when(absent, F.array().cast(LIST)).otherwise(F.try_variant_get(doc, path, LIST))
+def _starts_with(bracket: str) -> Column:
+    return F.left(F.ltrim("body", F.lit(" \n\r\t")), F.lit(1)) == bracket
 
 
-def _is_object(doc: Column) -> Column:
-    return F.try_variant_get(doc, "$", "map<string,variant>").isNotNull()
+def _no_json() -> Column:
+    return F.try_parse_json("body").isNull()
 
 
-def _never(doc: Column, records: Column) -> Column:
-    return F.lit(False)
+def _has_key(text: Column | str, key: str) -> Column:
+    return F.coalesce(F.array_contains(F.json_object_keys(text), key), F.lit(False))
 
 
-def _no_list(doc: Column, records: Column) -> Column:
-    return records.isNull()
+def _none_of(element: T.DataType) -> Column:
+    return F.array().cast(T.ArrayType(element))
 
 
-def _envelope(doc: Column) -> Column:
-    wrapped = F.try_variant_get(doc, "$.protocols", "variant").isNotNull()
-    return (
-        F.when(wrapped, F.try_variant_get(doc, "$.protocols", LIST))
-        .when(_listed(doc).isNotNull(), _listed(doc))
-        .when(_is_object(doc), F.array(doc))
-        .otherwise(F.array().cast(LIST))
-    )
+def _sound() -> Column:
+    return F.col("keyed").isNotNull() & F.col(f"keyed.{_BAD}").isNull()
 
 
-def _bare_value(doc: Column, records: Column) -> Column:
-    return _listed(doc).isNull() & ~_is_object(doc)
+def _pages(element: T.DataType) -> Parsed:
+    broken = _starts_with("[") | _no_json()
+    return Parsed(F.col("listed"), F.when(broken, MALFORMED).otherwise(IGNORED))
 
 
-def _observations(doc: Column) -> Column:
-    return F.when(_is_object(doc), _at(doc, "$.observations"))
+def _envelope_fields(element: T.StructType) -> list[T.StructField]:
+    return [T.StructField("protocols", T.ArrayType(element)), *element.fields]
 
 
-def _result_rows(doc: Column) -> Column:
-    result = F.try_variant_get(doc, "$.result", "variant")
-    return F.when(_is_object(doc) & result.isNull(), F.array().cast(LIST)).when(
-        _is_object(result), _at(doc, "$.result.rows")
+def _envelopes(element: T.StructType) -> Parsed:
+    """A list, an object with a list inside, or an object that is itself the record."""
+    itself = F.array(F.struct(*(F.col(f"keyed.{quoted(n)}").alias(n) for n in element.names)))
+    single = F.when(_sound() & ~_has_key("body", "protocols"), itself)
+    trouble = (
+        F.when(_starts_with("[") | _no_json(), MALFORMED)
+        .when(_starts_with("{"), UNEXPECTED)
+        .otherwise(IGNORED)
     )
+    return Parsed(F.coalesce("listed", "keyed.protocols", single), trouble)
+
+
+def _observation_fields(element: T.DataType) -> list[T.StructField]:
+    return [T.StructField("observations", T.ArrayType(element))]
 
 
-def _no_bars(doc: Column, records: Column) -> Column:
-    dated = F.forall(records, lambda bar: F.try_variant_get(bar, "$.Date", "string").isNotNull())
-    return records.isNull() | ~dated
+def _observations(element: T.DataType) -> Parsed:
+    absent = F.when(_sound() & ~_has_key("body", "observations"), _none_of(element))
+    trouble = F.when(_no_json(), MALFORMED).otherwise(UNEXPECTED)
+    return Parsed(F.coalesce("keyed.observations", absent), trouble)
+
+
+def _result_fields(element: T.DataType) -> list[T.StructField]:
+    rows = T.StructType([T.StructField("rows", T.ArrayType(element))])
+    return [T.StructField("result", rows)]
+
+
+def _result_rows(element: T.DataType) -> Parsed:
+    result = F.get_json_object("body", "$.result")
+    rowless = F.json_object_keys(result).isNotNull() & ~_has_key(result, "rows")
+    no_rows = ~_has_key("body", "result") | rowless
+    absent = F.when(_sound() & no_rows, _none_of(element))
+    trouble = F.when(_no_json(), MALFORMED).otherwise(UNEXPECTED)
+    return Parsed(F.coalesce("keyed.result.rows", absent), trouble)
+
+
+def _bars(element: T.DataType) -> Parsed:
+    """A list of bars; bars without a date make the whole answer useless."""
+    dated = F.forall("listed", lambda bar: bar["Date"].isNotNull())
+    trouble = F.when(_no_json(), MALFORMED).otherwise(IGNORED)
+    return Parsed(F.when(dated, F.col("listed")), trouble)
 
 
 _ANY_ERROR = (FAILED, MALFORMED, UNEXPECTED)
 
 RULES: dict[str, Rule] = {
     # pages: a list of records; another shape is skipped, a failed page stops the run
-    "coingecko": Rule(_listed, _no_list, _ANY_ERROR, contract=contracts.BRONZE_COINGECKO),
+    "coingecko": Rule(_pages, _ANY_ERROR, contract=contracts.BRONZE_COINGECKO),
     # a list, an envelope around one, or a single record
-    "defillama": Rule(_envelope, _bare_value, _ANY_ERROR, contract=contracts.BRONZE_DEFILLAMA),
+    "defillama": Rule(
+        _envelopes, _ANY_ERROR, _envelope_fields, contract=contracts.BRONZE_DEFILLAMA
+    ),
     # one answer per series; failed series are skipped, all empty is an error
     "fred": Rule(
-        _observations, _never, (UNEXPECTED,), "series", "series_id", contracts.BRONZE_FRED
+        _observations,
+        (UNEXPECTED,),
+        _observation_fields,
+        strict=False,
+        needed="series",
+        key_column="series_id",
+        contract=contracts.BRONZE_FRED,
     ),
     # rows of a saved query; the caller knows their schema
-    "dune": Rule(_result_rows, _never, _ANY_ERROR),
+    "dune": Rule(_result_rows, _ANY_ERROR, _result_fields),
     # one list of price bars per symbol; failed symbols are skipped, all empty is an error
     "yahoo_finance": Rule(
-        _listed, _no_bars, (), "symbol", "Symbol", contracts.BRONZE_YAHOO_FINANCE
+        _bars,
+        (),
+        strict=False,
+        needed="symbol",
+        key_column="Symbol",
+        contract=contracts.BRONZE_YAHOO_FINANCE,
     ),
 }
 
@@ -139,63 +189,98 @@ def read_landed_documents(spark: SparkSession, path: str, source: str) -> DataFr
     )
 
 
-def answers(landed: DataFrame, source: str) -> DataFrame:
-    """Each answer of a source with its ``outcome`` and its ``records``."""
+def answers(landed: DataFrame, source: str, contract: T.StructType | None = None) -> DataFrame:
+    """Each answer of a source with its ``outcome`` and its ``records``; nothing is raised."""
+    return _answers(landed, source, contract or rule_of(source).contract, {})
+
+
+def _answers(
+    landed: DataFrame, source: str, contract: T.StructType | None, options: dict[str, str]
+) -> DataFrame:
     rule = rule_of(source)
-    parsed = landed.where(F.col("source") == source).withColumn("doc", F.try_parse_json("body"))
-    found = parsed.withColumn("records", rule.records(F.col("doc")))
-    doc, records = F.col("doc"), F.col("records")
-    http_error = F.col("body").isNull() | F.coalesce(F.col("status") >= 400, F.lit(False))
+    element = _element(contract, rule)
+    usable = F.col("body").isNotNull() & (F.coalesce("status", F.lit(200)) < 400)
+    as_list = F.from_json("body", T.ArrayType(element), options)
+    columns = [
+        usable.alias("usable"),
+        F.when(usable & _starts_with("["), as_list).alias("listed"),
+    ]
+    if rule.fields:
+        schema = T.StructType([*rule.fields(element), T.StructField(_BAD, T.StringType())])
+        keeping = {**options, "columnNameOfCorruptRecord": _BAD}
+        as_object = F.from_json("body", schema, keeping)
+        columns.append(F.when(usable & _starts_with("{"), as_object).alias("keyed"))
+    read = landed.where(F.col("source") == source).select(
+        "request_key", "fetched_at", "body", *columns
+    )
+    parsed = rule.find(element)
+    read = read.withColumn("records", parsed.records)
     outcome = (
-        F.when(http_error, FAILED)
-        .when(doc.isNull(), MALFORMED)
-        .when(rule.ignored(doc, records), IGNORED)
-        .when(records.isNull(), UNEXPECTED)
-        .when(F.size(records) == 0, EMPTY)
+        F.when(~F.col("usable"), FAILED)
+        .when(F.col("records").isNull(), parsed.trouble)
+        .when(F.size("records") == 0, EMPTY)
         .otherwise(RECORDS)
     )
-    return found.select("request_key", "fetched_at", outcome.alias("outcome"), "records")
+    return read.select("request_key", "fetched_at", outcome.alias("outcome"), "records")
 
 
-def decode(
-    landed: DataFrame,
-    source: str,
-    contract: T.StructType | None = None,
-    raw_column: str | None = None,
-) -> DataFrame:
-    """Records of a source, cast to its contract.
+def _element(contract: T.StructType | None, rule: Rule) -> T.DataType:
+    """The type one record is read as: only the fields that are wanted."""
+    if contract is None:
+        return T.VariantType()
+    return T.StructType(
+        [
+            T.StructField(f.name, _read_as(f.dataType, rule.strict))
+            for f in contract.fields
+            if f.name != rule.key_column
+        ]
+    )
+
+
+def _read_as(kind: T.DataType, strict: bool) -> T.DataType:
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return T.StringType()
+    if isinstance(kind, T.IntegralType):
+        return _WHOLE if strict else T.StringType()
+    if isinstance(kind, T.FractionalType):
+        return kind if strict else T.StringType()
+    return kind
+
 
-    Without a contract the record is one variant column, ``record``. ``raw_column`` adds the
-    whole record as JSON text. A stopping answer or a value that does not fit its column
-    fails the job that evaluates the result.
+def decode(landed: DataFrame, source: str, contract: T.StructType | None = None) -> DataFrame:
+    """Records of a source, with the columns of its contract.
+
+    A wider contract keeps more of an API's fields. For a source without a contract the record
+    is one variant column, ``record``. A stopping answer or a value that does not fit its
+    column fails the job that evaluates the result.
     """
     rule = rule_of(source)
     contract = contract or rule.contract
-    read = answers(landed, source)
+    read = _answers(landed, source, contract, {"mode": "FAILFAST"} if rule.strict else {})
     usable = F.when(F.col("outcome") == RECORDS, F.col("records"))
     if rule.stops:
         problem = F.concat_ws(
             " ", F.lit(f"{source}: answer"), F.col("request_key"), F.lit("is"), F.col("outcome")
         )
-        stop = F.raise_error(problem).cast(LIST)
+        stop = F.raise_error(problem).cast(read.schema["records"].dataType)
         usable = F.when(F.col("outcome").isin(*rule.stops), stop).otherwise(usable)
     rows = read.select("request_key", F.explode(usable).alias("record"))
     if contract is None:
         return rows.select("record")
-    columns = [
-        f"{_value(f, rule.key_column)} as {quoted(f.name)}" for f in contract.fields
-    ]
-    if raw_column:
-        columns.append(f"to_json(record) as {quoted(raw_column)}")
-    return rows.selectExpr(*columns)
+    return rows.selectExpr(
+        *(f"{_value(f, rule)} as {quoted(f.name)}" for f in contract.fields)
+    )
 
 
-def _value(field: T.StructField, key_column: str | None) -> str:
+def _value(field: T.StructField, rule: Rule) -> str:
     """SQL for a contract column: the request key, or a field of the record."""
     kind = field.dataType.simpleString()
-    if field.name == key_column:
+    if field.name == rule.key_column:
         return f"cast(request_key as {kind})"
-    return f"""variant_get(record, '$["{field.name}"]', '{kind}')"""
+    value = f"record.{quoted(field.name)}"
+    if isinstance(field.dataType, T.IntegralType):
+        value = f"cast({value} as {_WHOLE.simpleString()})"
+    return f"cast({value} as {kind})"
 
 
 def decode_query_result(

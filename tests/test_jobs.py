@@ -54,7 +54,7 @@ def test_ingest_with_partial_failure(lake, landed):
     "source, answers, message",
     [
         ("coingecko", [("1", 200, json.dumps([COIN])), ("2", 500, None)], "answer 2 is failed"),
-        ("defillama", [("p", 200, "{")], "answer p is malformed"),
+        ("defillama", [("p", 200, "{")], "MALFORMED_RECORD"),
         ("fred", [("GDP", 200, "{}")], "No data extracted for any series"),
         ("yahoo_finance", [("X", 404, None)], "No data extracted for any symbol"),
     ],

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import types as T
 
 from marketlake import contracts
 from marketlake.operators.normalize import (
@@ -11,12 +12,14 @@ from marketlake.operators.normalize import (
     to_table,
 )
 from marketlake.sources.landing import (
+    RULES,
     decode,
     decode_query_result,
     read_landed,
     read_landed_documents,
     rejects,
 )
+from tests.conftest import plan
 
 COINS = [
     {"id": "bitcoin", "symbol": "btc", "current_price": 50000, "market_cap": 1e12, "max_supply": None},
@@ -58,20 +61,55 @@ def test_page_of_another_shape_is_skipped(landed):
 @pytest.mark.parametrize("status, body", [(500, "oops"), (200, '[{"id":'), (200, None), (404, "[]")])
 def test_failed_page_stops_the_run(landed, status, body):
     pages = landed("coingecko", ("1", 200, json.dumps(COINS)), ("2", status, body))
-    with pytest.raises(Exception, match="coingecko: answer 2 is (failed|malformed)"):
+    with pytest.raises(Exception, match="coingecko: answer 2 is (failed|malformed)|MALFORMED_RECORD"):
         decode(pages, "coingecko").collect()
 
 
 def test_value_that_does_not_fit_stops_the_run(landed):
     pages = landed("coingecko", ("1", 200, '[{"id":"x","current_price":"n/a"}]'))
-    with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
         decode(pages, "coingecko").collect()
 
 
-def test_raw_column_keeps_the_whole_record(landed):
-    pages = landed("coingecko", ("1", 200, '[{"id":"x","roi":{"times":2}}]'))
-    row = decode(pages, "coingecko", raw_column="record").first()
-    assert json.loads(row["record"]) == {"id": "x", "roi": {"times": 2}}
+def test_wider_contract_keeps_more_fields(landed):
+    pages = landed("coingecko", ("1", 200, '[{"id":"x","roi":{"times":2},"rank":3.0}]'))
+    wider = T.StructType().add("id", "string").add("roi", "string").add("rank", "long")
+    assert decode(pages, "coingecko", wider).collect() == [("x", '{"times":2}', 3)]
+
+
+def test_large_integers_are_exact(landed):
+    big = 2**63 - 1
+    pages = landed("coingecko", ("1", 200, json.dumps([{"id": "x", "market_cap_rank": big}])))
+    assert decode(pages, "coingecko").first()["market_cap_rank"] == big
+    bars = landed("yahoo_finance", ("A", 200, json.dumps([dict(bar("2025-01-01", 1), Volume=big)])))
+    assert decode(bars, "yahoo_finance").first()["Volume"] == big
+
+
+def test_bar_value_that_does_not_fit_stops_the_run(landed):
+    frames = landed("yahoo_finance", ("A", 200, json.dumps([bar("2025-01-01", "n/a")])))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        decode(frames, "yahoo_finance").collect()
+
+
+@pytest.mark.parametrize("body", ['"text"', "[]", '{"observations": null}', '{"observations": 5}'])
+def test_series_of_another_shape_stop_the_run(landed, body):
+    with pytest.raises(Exception, match="fred: answer GDP is unexpected"):
+        decode(landed("fred", ("GDP", 200, body)), "fred").collect()
+
+
+@pytest.mark.parametrize("body", ['{"result": null}', '{"result": {"rows": null}}', "[]"])
+def test_results_of_another_shape_stop_the_run(landed, body):
+    with pytest.raises(Exception, match="dune: answer 7 is unexpected"):
+        decode(landed("dune", ("7", 200, body)), "dune").collect()
+
+
+def test_each_body_is_parsed_once(landed, spark, tmp_path):
+    landed("coingecko", ("1", 200, json.dumps(COINS))).write.parquet(str(tmp_path / "a"))
+    for source in RULES:
+        text = plan(decode(read_landed(spark, str(tmp_path / "a")), source))
+        assert "Exchange" not in text and "Python" not in text
+        # a list and an object are read by two expressions, of which a body takes one
+        assert text.count("from_json") <= 2
 
 
 def test_other_sources_are_left_alone(landed):
@@ -112,8 +150,9 @@ def test_envelope_keeps_nested_values(landed):
 
 
 def test_envelope_without_a_list_inside_stops_the_run(landed):
-    with pytest.raises(Exception, match="unexpected"):
-        decode(landed("defillama", ("p", 200, '{"protocols": 5}')), "defillama").collect()
+    for body in ('{"protocols": 5}', '{"protocols": null}'):
+        with pytest.raises(Exception, match="unexpected|MALFORMED_RECORD"):
+            decode(landed("defillama", ("p", 200, body)), "defillama").collect()
 
 
 # --- observations --------------------------------------------------------------------
