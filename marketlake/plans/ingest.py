@@ -30,8 +30,9 @@ def ingest(
 ) -> str:
     """Decode the landed answers of one run and write them as one batch; returns its path.
 
-    Answers are decoded and written in one pass, which also counts the rows. A run that
-    fails leaves no data, only its run record.
+    Answers are decoded and written in one pass, which also counts the answers, the rejected
+    ones and the rows; ``landing.rejects`` lists the rejected ones. A run that fails leaves
+    no data, only its run record.
     """
     date = date or datetime.now(UTC)
     pipeline_id = run_id(source, date)
@@ -39,15 +40,15 @@ def ingest(
     about = {"pipeline_id": pipeline_id, "source": source, "layer": layer}
     try:
         check_format(fmt)
-        records = decode(landed, source, contract)
-        records = require_records(records, source)
+        require_records(decode(landed, source, contract), source)
         extract_ms = clock.lap()
-        counted = Observation(pipeline_id)
-        batch = records.observe(counted, F.count(F.lit(1)).alias("rows"))
+        answers, records = Observation(), Observation()
+        batch = decode(landed, source, contract, counted=answers)
+        batch = batch.observe(records, F.count(F.lit(1)).alias("rows"))
         transform_ms = clock.lap()
         path = write_batch(lake, batch, source, date, filename, fmt, layer)
         load_ms = clock.lap()
-        rows = counted.get["rows"]
+        rows, seen = records.get["rows"], answers.get
     except Exception as error:
         append_record(
             lake,
@@ -64,13 +65,15 @@ def ingest(
         level="info",
         event="pipeline_completed",
         path=path,
+        answers=seen["answers"],
+        rejected=seen["rejected"],
         rows=rows,
-        columns_count=len(records.columns),
+        columns_count=len(batch.columns),
         extract_time_ms=extract_ms,
         transform_time_ms=transform_ms,
         load_time_ms=load_ms,
         total_time_ms=clock.total(),
-        file_size_bytes=rows * len(records.columns) * BYTES_PER_VALUE,
+        file_size_bytes=rows * len(batch.columns) * BYTES_PER_VALUE,
         success=True,
         **about,
     )

@@ -21,6 +21,8 @@ RUN_RECORD = T.StructType(
             ("source", T.StringType()),
             ("layer", T.StringType()),
             ("path", T.StringType()),
+            ("answers", T.LongType()),
+            ("rejected", T.LongType()),
             ("rows", T.LongType()),
             ("columns_count", T.IntegerType()),
             ("extract_time_ms", T.DoubleType()),

@@ -48,10 +48,8 @@ class Lake:
         folders = [self.path(layer, source)]
         if first_day or last_day:
             folders = self._day_folders(layer, source, first_day, last_day)
-            if not folders:
-                if schema is None:
-                    raise ValueError(f"no {layer}/{source} data between {first_day} and {last_day}")
-                folders = []
+            if not folders and schema is None:
+                raise ValueError(f"no {layer}/{source} data between {first_day} and {last_day}")
         df = self._read(folders, schema, fmt)
         if day_column:
             day = (

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,6 +80,10 @@ def _sound() -> Column:
     return F.col("keyed").isNotNull() & F.col(f"keyed.{_BAD}").isNull()
 
 
+def _inside(path: str) -> Column:
+    return F.when(_sound(), F.col(f"keyed.{path}"))
+
+
 def _pages(element: T.DataType) -> Parsed:
     broken = _starts_with("[") | _no_json()
     return Parsed(F.col("listed"), F.when(broken, MALFORMED).otherwise(IGNORED))
@@ -98,7 +102,7 @@ def _envelopes(element: T.StructType) -> Parsed:
         .when(_starts_with("{"), UNEXPECTED)
         .otherwise(IGNORED)
     )
-    return Parsed(F.coalesce("listed", "keyed.protocols", single), trouble)
+    return Parsed(F.coalesce("listed", _inside("protocols"), single), trouble)
 
 
 def _observation_fields(element: T.DataType) -> list[T.StructField]:
@@ -108,7 +112,7 @@ def _observation_fields(element: T.DataType) -> list[T.StructField]:
 def _observations(element: T.DataType) -> Parsed:
     absent = F.when(_sound() & ~_has_key("body", "observations"), _none_of(element))
     trouble = F.when(_no_json(), MALFORMED).otherwise(UNEXPECTED)
-    return Parsed(F.coalesce("keyed.observations", absent), trouble)
+    return Parsed(F.coalesce(_inside("observations"), absent), trouble)
 
 
 def _result_fields(element: T.DataType) -> list[T.StructField]:
@@ -122,7 +126,7 @@ def _result_rows(element: T.DataType) -> Parsed:
     no_rows = ~_has_key("body", "result") | rowless
     absent = F.when(_sound() & no_rows, _none_of(element))
     trouble = F.when(_no_json(), MALFORMED).otherwise(UNEXPECTED)
-    return Parsed(F.coalesce("keyed.result.rows", absent), trouble)
+    return Parsed(F.coalesce(_inside("result.rows"), absent), trouble)
 
 
 def _bars(element: T.DataType) -> Parsed:
@@ -247,16 +251,27 @@ def _read_as(kind: T.DataType, strict: bool) -> T.DataType:
     return kind
 
 
-def decode(landed: DataFrame, source: str, contract: T.StructType | None = None) -> DataFrame:
+def decode(
+    landed: DataFrame,
+    source: str,
+    contract: T.StructType | None = None,
+    counted: Observation | None = None,
+) -> DataFrame:
     """Records of a source, with the columns of its contract.
 
     A wider contract keeps more of an API's fields. For a source without a contract the record
     is one variant column, ``record``. A stopping answer or a value that does not fit its
-    column fails the job that evaluates the result.
+    column fails the job that evaluates the result. ``counted`` learns the number of
+    ``answers`` and of ``rejected`` ones from the first job that evaluates the result.
     """
     rule = rule_of(source)
     contract = contract or rule.contract
     read = _answers(landed, source, contract, {"mode": "FAILFAST"} if rule.strict else {})
+    if counted is not None:
+        rejected = F.count_if(F.col("outcome").isin(*REJECTED))
+        read = read.observe(
+            counted, F.count(F.lit(1)).alias("answers"), rejected.alias("rejected")
+        )
     usable = F.when(F.col("outcome") == RECORDS, F.col("records"))
     if rule.stops:
         problem = F.concat_ws(

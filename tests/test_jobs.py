@@ -40,6 +40,7 @@ def test_ingest_writes_a_batch_and_a_run_record(lake, landed):
         "coingecko_20250117_063000", "pipeline_completed", "info",
     )
     assert (row["rows"], row["columns_count"], row["file_size_bytes"]) == (2, 25, 2 * 25 * 8)
+    assert (row["answers"], row["rejected"]) == (1, 0)
     assert row["success"] and row["path"] == path and row["total_time_ms"] >= row["load_time_ms"] > 0
 
 
@@ -47,6 +48,8 @@ def test_ingest_with_partial_failure(lake, landed):
     answers = landed("yahoo_finance", ("AAPL", 200, json.dumps([BAR])), ("BAD", 500, None), ("NONE", 200, "[]"))
     ingest(lake, "yahoo_finance", answers, AT, filename="bars", fmt="json")
     assert os.listdir(lake.path("bronze/yahoo_finance/2025-01-17")) == ["bars.json"]
+    (row,) = run_log(lake).collect()
+    assert (row["answers"], row["rejected"], row["rows"]) == (3, 1, 1)
     assert lake.scan("yahoo_finance", schema=contracts.BRONZE_YAHOO_FINANCE, fmt="json").count() == 1
 
 
@@ -78,6 +81,12 @@ def test_empty_pages_are_no_error(lake, landed):
     assert lake.scan("coingecko", schema=contracts.BRONZE_COINGECKO).count() == 0
 
 
+def test_no_answers_are_no_error(lake, landed):
+    ingest(lake, "coingecko", landed("coingecko"), AT)
+    assert lake.scan("coingecko", schema=contracts.BRONZE_COINGECKO).count() == 0
+    assert [(r["answers"], r["rows"]) for r in run_log(lake).collect()] == [(0, 0)]
+
+
 def test_query_results_without_a_contract(lake, landed):
     answers = landed("dune", ("7", 200, '{"result":{"rows":[{"a":1},{"a":2}]}}'))
     ingest(lake, "dune", answers, AT)
@@ -179,6 +188,15 @@ def test_view_and_queries(lake, landed, caplog):
     assert "does not use the view" in caplog.text
 
 
+def test_view_with_a_contract_reads_files_that_disagree(lake):
+    spark = lake.spark
+    write_batch(lake, spark.sql("select 'a' as id, 5 as tvl, array('x') as chains"), "defillama", AT)
+    write_batch(lake, spark.sql("select 'b' as id, 1.5D as tvl"), "defillama", datetime(2025, 1, 18))
+    text = "select id, tvl, chains[0] as chain from {view} order by id"
+    rows = query_source(lake, "defillama", text, contract=contracts.BRONZE_DEFILLAMA).collect()
+    assert rows == [("a", 5.0, "x"), ("b", 1.5, None)]
+
+
 def test_views_of_built_layers(lake, landed):
     fill(lake, landed)
     build(lake, skip_checks=True, prefix="view_")

@@ -97,6 +97,16 @@ def test_scan_adds_the_folder_day(lake):
     assert {r["day"]: r["count"] for r in days} == {date(2025, 1, 17): 4, date(2025, 1, 18): 6}
 
 
+def test_filter_on_the_folder_day_skips_files(lake):
+    two_days(lake)
+    one = lake.scan("demo", day_column="day").where("day = date'2025-01-17'").select("id")
+    assert len(one.collect()) == 4
+    scan = one._jdf.queryExecution().executedPlan().collectLeaves().head()
+    read = scan.metrics().apply("numFiles").value()
+    first = [f for f in lake.scan("demo").inputFiles() if "2025-01-17" in f]
+    assert read == len(first)
+
+
 def test_scan_of_days_lists_only_their_folders(lake):
     two_days(lake)
     later = lake.scan("demo", first_day=date(2025, 1, 18))

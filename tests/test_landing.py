@@ -65,6 +65,30 @@ def test_failed_page_stops_the_run(landed, status, body):
         decode(pages, "coingecko").collect()
 
 
+def test_rejects_are_reported_without_failing(landed):
+    pages = landed(
+        "coingecko",
+        ("list", 200, json.dumps(COINS)),
+        ("cut", 200, '[{"id":"x"},'),
+        ("html", 200, "<html>"),
+        ("down", 503, "[]"),
+        ("gone", 200, None),
+    )
+    assert reasons(rejects(pages, "coingecko")) == {
+        "cut": "malformed", "html": "malformed", "down": "failed", "gone": "failed",
+    }
+    envelopes = landed(
+        "defillama",
+        ("text", 200, '"text"'),
+        ("cut", 200, '{"protocols":[{"id":"1"}'),
+        ("odd", 200, '{"protocols":5}'),
+        ("one", 200, '{"id":"1"}'),
+    )
+    assert reasons(rejects(envelopes, "defillama")) == {
+        "text": "ignored", "cut": "malformed", "odd": "unexpected",
+    }
+
+
 def test_value_that_does_not_fit_stops_the_run(landed):
     pages = landed("coingecko", ("1", 200, '[{"id":"x","current_price":"n/a"}]'))
     with pytest.raises(Exception, match="MALFORMED_RECORD"):

@@ -16,9 +16,11 @@ from pyspark.sql import types as T
 from marketlake import contracts
 from marketlake.contracts import accepted_range, accepted_values, not_null, unique
 from marketlake.functions import (
+    keys_first,
     lake_path_column,
     nested_to_json,
     parse_lake_path,
+    tag,
 )
 from marketlake.operators import normalize, profile, quality
 from marketlake.plans import models
@@ -246,13 +248,15 @@ def json_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select count(*) as n_rows, count(*) > 0 as has_bytes, count(*) > 0 as has_files from events""")
+select 'rows' as metric, count(*) as value from events
+union all select 'files with bytes', case when count(*) > 0 then 1 else 0 end from events""")
 def stored_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _events_lake(spark, sf_dir)
-    size = profile.exact_size(lake.list_files("bronze", "events"))
     rows = profile.row_count(lake.scan("events"))
-    return rows.crossJoin(  # one row each
-        size.select((F.col("bytes") > 0).alias("has_bytes"), (F.col("n_files") > 0).alias("has_files"))
+    size = profile.exact_size(lake.list_files("bronze", "events"))
+    stored = ((F.col("bytes") > 0) & (F.col("n_files") > 0)).cast("bigint")
+    return rows.select(F.lit("rows").alias("metric"), F.col("n_rows").alias("value")).unionByName(
+        size.select(F.lit("files with bytes").alias("metric"), stored.alias("value"))
     )
 
 
@@ -431,23 +435,18 @@ def records_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select event_type as "Symbol", event_id, value as price, cast(null as bigint) as volume
+select 'early' as "Symbol", event_id, value as price, cast(null as bigint) as volume
 from events where ts < timestamp '2024-01-11'
 union all
-select event_type, event_id, cast(null as double), user_id
+select 'late', event_id, cast(null as double), user_id
 from events where ts >= timestamp '2024-01-11' or ts is null""")
 def stacked_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from marketlake.functions import keys_first
-
-    events = adapters.table(spark, sf_dir, "events").withColumnRenamed("event_type", "Symbol")
-    early = events.where("ts < timestamp_ntz'2024-01-11'")
+    """Batches with other columns, tagged with their request key."""
+    events = adapters.table(spark, sf_dir, "events")
+    early = events.where("ts < timestamp_ntz'2024-01-11'").selectExpr("event_id", "value as price")
     late = events.where("ts >= timestamp_ntz'2024-01-11' or ts is null")
-    both = normalize.stack(
-        [
-            early.select("event_id", "Symbol", F.col("value").alias("price")),
-            late.select("event_id", "Symbol", F.col("user_id").alias("volume")),
-        ]
-    )
+    late = late.selectExpr("event_id", "user_id as volume")
+    both = normalize.stack([tag(early, "Symbol", "early"), tag(late, "Symbol", "late")])
     return keys_first(both, "Symbol")
 
 
@@ -469,14 +468,14 @@ def ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 select 'coingecko_20240201_060000' as pipeline_id, 'pipeline_completed' as event,
-  count(*) as rows, cast(25 as int) as columns_count,
+  (select count(*) from nation) as rejected, count(*) as rows, cast(25 as int) as columns_count,
   count(*) * 25 * 8 as file_size_bytes, true as success
 from events""")
 def run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _new_lake(spark)
     ingest(lake, "coingecko", adapters.landed_pages(spark, sf_dir), datetime(2024, 2, 1, 6))
     return run_log(lake).select(
-        "pipeline_id", "event", "rows", "columns_count", "file_size_bytes", "success"
+        "pipeline_id", "event", "rejected", "rows", "columns_count", "file_size_bytes", "success"
     )
 
 
