@@ -30,7 +30,7 @@ from marketlake.plans.query import create_view, query_source
 from marketlake.plans.run_log import query_log, run_log
 from marketlake.session import configure, scratch_root
 from marketlake.sinks.batches import write_batch
-from marketlake.sinks.tables import publish_table
+from marketlake.sinks.tables import create_layout, publish_table
 from marketlake.sources import catalog, drift, landing
 from marketlake.sources.lake import Lake
 from workload import adapters
@@ -482,6 +482,7 @@ def run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _built(spark: SparkSession, sf_dir: str, select: str | None) -> str:
     """Bronze from the test tables, then the selected models; returns the database prefix."""
     lake, prefix = _new_lake(spark), _new_prefix()
+    create_layout(lake, prefix=prefix)
     day = datetime(2024, 2, 1)
     write_batch(lake, adapters.coins(spark, sf_dir), "coingecko", day)
     if select is None:
@@ -511,6 +512,30 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.select(F.substring_index("database", "_", -1).alias("layer"), "name", "n_rows")
 
 
+@query("""
+select 'bronze' as layer, cast(0 as bigint) as n_rows, true as located
+union all
+select 'silver', (select count(*) from part) + (select count(*) from supplier)
+  + (select count(*) from events), true
+union all select 'gold', (select count(*) from part), true""")
+def catalog_databases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Databases of a built lake, where they are stored, and the rows of their tables."""
+    prefix = _built(spark, sf_dir, None)
+    databases = catalog.list_databases(spark).where(F.col("database").startswith(prefix))
+    sizes, located = [], F.lit(False)
+    for layer in contracts.LAYERS:
+        name = f"{prefix}{layer}"
+        sizes.append(catalog.table_sizes(spark, name))
+        found = (catalog.database_location(spark, name) or "").endswith(f"/{layer}")
+        located = F.when(F.col("database") == name, F.lit(found)).otherwise(located)
+    rows = normalize.stack(sizes).groupBy("database").agg(F.sum("n_rows").alias("n_rows"))
+    return databases.join(rows, "database", "left").select(
+        F.substring_index("database", "_", -1).alias("layer"),
+        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+        located.alias("located"),
+    )
+
+
 @query("select o_orderkey, o_totalprice from orders where o_orderstatus = 'F'")
 def rebuilt_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table that is published twice holds the second result only."""
