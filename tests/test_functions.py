@@ -1,5 +1,6 @@
 import math
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,3 +154,20 @@ def test_conform_nanoseconds_round_down(spark):
     renamed = df.withColumnRenamed("at", "fetched_at")
     out = conform(renamed, wanted, frozenset({"fetched_at"}))
     assert values(out.select(F.unix_micros("fetched_at"))) == [1, -1]
+
+
+def test_column_and_plain_paths_agree_and_parse_back(spark):
+    rng = random.Random(11)
+    letters = "ab.-_9"
+    rows = []
+    for _ in range(300):
+        name = "".join(rng.choice(letters) for _ in range(rng.randint(1, 8)))
+        at = datetime(2020, 1, 1) + timedelta(seconds=rng.randrange(200_000_000))
+        rows.append((rng.choice(["fred", "dune"]), at, rng.choice([None, name, f"{name}.parquet"])))
+    df = spark.createDataFrame(rows, "s string, d timestamp, n string")
+    path = lake_path_column(F.col("s"), F.col("d"), F.col("n"))
+    got = df.select(path.alias("path")).select("path", parse_lake_path(F.col("path")).alias("p"))
+    for (source, at, name), row in zip(rows, got.collect(), strict=True):
+        assert row["path"] == lake_path(source, at, name)
+        stem = row["path"].split("/")[3].removesuffix(".parquet")
+        assert tuple(row["p"])[:5] == ("bronze", source, f"{at:%Y-%m-%d}", stem, "parquet")
