@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import warc
+from marketlake.llm import decontaminate, packing, warc
 from marketlake.llm.common import table
 from marketlake.session import configure, scratch_root
 
@@ -31,6 +31,13 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 _DIGIT = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + cast((v >> {}) & 31 as integer), 1)"
 _WARC_SQL = f"""
 with hashed as (
@@ -61,3 +68,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, path, with_bytes=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query()
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every occurrence of a benchmark item in a document, within a fifth of its words."""
+    return decontaminate.find_benchmark(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+@query()
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(
+        table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), capacity=4096, end_id=1
+    )
