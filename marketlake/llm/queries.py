@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketlake.llm import decontaminate, packing, warc
+from marketlake.llm import decontaminate, packing, simhash, warc
 from marketlake.llm.common import table
 from marketlake.session import configure, scratch_root
 
@@ -83,3 +84,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(
         table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), capacity=4096, end_id=1
     )
+
+
+@query()
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+    return found.select(
+        "doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id"
+    )
