@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import decontaminate, packing, simhash, warc
+from marketlake.llm import decontaminate, line_dedup, packing, simhash, warc
 from marketlake.llm.common import table
 from marketlake.session import configure, scratch_root
 
@@ -92,3 +92,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id"
     )
+
+
+@query()
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the passages they share with earlier ones, and what they lost."""
+    kept = line_dedup.drop_shared_passages(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), removed="removed_lines"
+    )
+    return kept.select("doc_id", "removed_lines", "text")
