@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import decontaminate, line_dedup, packing, simhash, warc
+from marketlake.llm import decontaminate, line_dedup, packing, simhash, toxicity, warc
 from marketlake.llm.common import table
 from marketlake.session import configure, scratch_root
 
@@ -101,3 +101,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents").select("doc_id", "text"), removed="removed_lines"
     )
     return kept.select("doc_id", "removed_lines", "text")
+
+
+@query()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
