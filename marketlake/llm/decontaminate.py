@@ -260,11 +260,14 @@ def decontaminate(
     """The documents that hold no test item, with all their columns."""
     kept = docs
     for held in _held_shards(docs, items, edit_rate, shard_chars):
+        kept = kept.where(_clean(held)(F.col("text").cast("string")))
+    return kept
 
-        @F.pandas_udf(T.BooleanType())
-        def clean(texts: pd.Series, held=held) -> pd.Series:
-            matcher = _matcher(held)
-            return pd.Series([not matcher.contains(t) for t in texts], dtype=bool)
 
-        kept = kept.where(clean(F.col("text").cast("string")))
-    return kept
+def _clean(held: _Held):
+    @F.pandas_udf(T.BooleanType())
+    def clean(texts: pd.Series) -> pd.Series:
+        matcher = _matcher(held)
+        return pd.Series([not matcher.contains(t) for t in texts], dtype=bool)
+
+    return clean
