@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import decontaminate, line_dedup, packing, simhash, toxicity, warc
+from marketlake.llm import (
+    decontaminate,
+    fingerprints,
+    line_dedup,
+    packing,
+    simhash,
+    token_counts,
+    toxicity,
+    warc,
+)
 from marketlake.llm.common import table
 from marketlake.session import configure, scratch_root
 
@@ -108,3 +117,19 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     )
+
+
+@query()
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each line of each document."""
+    return token_counts.count_tokens(
+        table(spark, sf_dir, "documents"),
+        tokenizer("byte_bpe_multi_50k.tiktoken"),
+        sections="line",
+        rule="majority",
+    )
