@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marketlake.llm import (
     decontaminate,
     fingerprints,
+    html_extract,
     line_dedup,
     packing,
     simhash,
@@ -133,3 +134,8 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         sections="line",
         rule="majority",
     )
+
+
+@query()
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
