@@ -12,6 +12,7 @@ from marketlake.llm import (
     fingerprints,
     html_extract,
     line_dedup,
+    lm_scoring,
     packing,
     simhash,
     token_counts,
@@ -139,3 +140,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(
+        table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), modulus=7, held_out=2
+    )
