@@ -31,6 +31,7 @@ from marketlake.llm.common import cut
 
 ANCHOR_WORDS = 8
 MIN_BLOCK_WORDS = 30
+SALTS = 32
 
 Pair = tuple[int, int]
 
@@ -182,8 +183,13 @@ def removed_lines(
         .where(F.col("first.doc_id") < F.col("last"))
         .select("key", "first")
     )
+    # Only shared lines have holders, so copying these rows for each salt is cheap, and it deals
+    # the holders of one very common line out to many tasks.
+    salted = holders.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
     pairs = (
-        distinctive.join(holders, "key")
+        distinctive.withColumn("salt", salt)
+        .join(salted, ["key", "salt"])
         .where(F.col("doc_id") > F.col("first.doc_id"))
         .select(
             "doc_id",
