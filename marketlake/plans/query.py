@@ -25,14 +25,11 @@ def create_view(
 ) -> tuple[str, DataFrame]:
     """Register ``{source}_{layer}`` over all files of a source; gives its name and row count.
 
-    A contract makes files readable whose schemas disagree. The count is a query of its own
-    and runs when the caller reads it.
+    Files may disagree on their schema: the view has the columns of all of them, or those of
+    the contract. The count is a query of its own and runs when the caller reads it.
     """
     name = view_name or f"{source}_{layer}"
-    if contract is None:
-        table = lake.scan(source, layer)
-    else:
-        table = scan_any_schema(lake, source, contract, layer)
+    table = scan_any_schema(lake, source, contract, layer)
     table.createOrReplaceTempView(name)
     return name, row_count(table)
 

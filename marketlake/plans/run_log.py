@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlake.sources import files
 from marketlake.sources.lake import Lake
 
 RUN_RECORD = T.StructType(
@@ -46,7 +47,10 @@ def append_record(lake: Lake, **fields) -> None:
 
 
 def run_log(lake: Lake) -> DataFrame:
-    return lake.spark.read.schema(RUN_RECORD).json(lake.path("_runs") + "/*.json")
+    """All run records; none in a lake without runs."""
+    if not files.exists(lake.spark, lake.path("_runs")):
+        return lake.spark.createDataFrame([], RUN_RECORD)
+    return lake.spark.read.schema(RUN_RECORD).json(lake.path("_runs"))
 
 
 def query_log(

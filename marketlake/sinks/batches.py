@@ -34,13 +34,18 @@ def write_batch(
 def write_folder(lake: Lake, df: DataFrame, target: str, fmt: str = "parquet") -> None:
     """Write a folder whole or not at all.
 
-    A new folder is written in place: Spark's commit publishes its files only when the job
-    succeeds. An existing one is replaced by a finished copy.
+    A new folder is written in place and carries a mark until the last file is there; readers
+    skip folders with the mark, so taking it off, one small deletion, is what publishes the
+    batch. An existing folder is replaced by a finished copy; one with the mark is a broken
+    write and goes first.
     """
     spark = lake.spark
+    if files.exists(spark, f"{target}/{files.WRITING}"):
+        files.discard(spark, target)
     replacing = files.exists(spark, target)
     place = files.staging_path(target) if replacing else target
-    writer = df.write.mode("errorifexists")
+    files.mark_writing(spark, place)
+    writer = df.write.mode("append")
     if fmt == "json":
         # NULL fields are kept; timestamps are ISO text with milliseconds
         writer = writer.option("ignoreNullFields", False)
@@ -49,5 +54,6 @@ def write_folder(lake: Lake, df: DataFrame, target: str, fmt: str = "parquet") -
     except Exception:
         files.discard(spark, place)
         raise
+    files.mark_finished(spark, place)
     if replacing:
         files.replace(spark, place, target)

@@ -7,6 +7,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: In a batch folder while it is being written.
+WRITING = "_WRITING"
+
+
 def _open(spark: SparkSession, path: str):
     handle = spark._jvm.org.apache.hadoop.fs.Path(path)
     return handle.getFileSystem(spark._jsc.hadoopConfiguration()), handle
@@ -25,6 +29,33 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(handle) if s.isDirectory())
 
 
+def unfinished_folders(spark: SparkSession, roots: list[str]) -> list[str]:
+    """Batches below the roots that carry the mark of a running or broken write.
+
+    A writer of this library leaves the mark from before its first file until its last one is
+    published. Files put there by others carry none and are finished.
+    """
+    found = []
+    for root in roots:
+        fs, _ = _open(spark, root)
+        for depth in range(3):
+            pattern = spark._jvm.org.apache.hadoop.fs.Path(root + "/*" * depth + f"/{WRITING}")
+            for status in fs.globStatus(pattern) or []:
+                found.append(status.getPath().getParent().toString())
+    return found
+
+
+def mark_writing(spark: SparkSession, path: str) -> None:
+    fs, handle = _open(spark, path)
+    fs.mkdirs(handle)
+    fs.create(spark._jvm.org.apache.hadoop.fs.Path(handle, WRITING), True).close()
+
+
+def mark_finished(spark: SparkSession, path: str) -> None:
+    fs, handle = _open(spark, path)
+    fs.delete(spark._jvm.org.apache.hadoop.fs.Path(handle, WRITING), False)
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, handle = _open(spark, path)
     fs.mkdirs(handle)

@@ -40,16 +40,21 @@ class Lake:
         day_column: str | None = None,
         fmt: str = "parquet",
     ) -> DataFrame:
-        """All files below ``{layer}/{source}`` as one table.
+        """All finished files below ``{layer}/{source}`` as one table.
 
         A date range is cut by folder, so other days are not even listed. ``day_column``
-        adds the date of the folder a row was read from.
+        adds the date of the folder a row was read from. Without a schema, Parquet files may
+        disagree: the table has the columns of all of them.
         """
         folders = [self.path(layer, source)]
         if first_day or last_day:
             folders = self._day_folders(layer, source, first_day, last_day)
             if not folders and schema is None:
                 raise ValueError(f"no {layer}/{source} data between {first_day} and {last_day}")
+        if schema is None and fmt == "parquet":
+            from marketlake.sources.drift import scan_any_schema
+
+            return scan_any_schema(self, source, None, layer, folders, day_column)
         df = self._read(folders, schema, fmt)
         if day_column:
             day = (
@@ -74,7 +79,7 @@ class Lake:
         reader = reader.option("pathGlobFilter", f"*.{check_format(fmt)}")
         if schema is not None:
             reader = reader.schema(schema)
-        return reader.format(fmt).load(folders)
+        return finished_only(reader.format(fmt).load(folders), self.spark, folders)
 
     # --- files as rows ------------------------------------------------------------------
 
@@ -85,7 +90,11 @@ class Lake:
 
         The content column is not selected, so no file is opened.
         """
-        folder = self.path(*prefix)
+        listed = self.list_folder(self.path(*prefix), suffix)
+        return listed if limit is None else listed.limit(limit)
+
+    def list_folder(self, folder: str, suffix: str = ".parquet", whole: bool = True) -> DataFrame:
+        """Files below a folder; without those of unfinished batches if it holds ``whole`` ones."""
         columns = ("path", "modificationTime", "length")
         if not files.exists(self.spark, folder):
             return self.spark.createDataFrame(
@@ -98,7 +107,7 @@ class Lake:
             .load(folder)
             .select(*columns)
         )
-        return listed if limit is None else listed.limit(limit)
+        return finished_only(listed, self.spark, [folder], F.col("path")) if whole else listed
 
     def list_batches(self, source: str, layer: str = "bronze", suffix: str = ".parquet") -> DataFrame:
         """Batches of a source: path, newest change, bytes, files.
@@ -132,7 +141,21 @@ class Lake:
         )
 
     def read_batch(self, path: str) -> DataFrame:
-        return self.spark.read.parquet(path)
+        """One Parquet batch; its part files may disagree as those of a source may."""
+        from marketlake.sources.drift import read_any_schema
+
+        return read_any_schema(self, path)
+
+
+def finished_only(
+    df: DataFrame, spark: SparkSession, folders: list[str], path: Column | None = None
+) -> DataFrame:
+    """Without the rows of batches that are still being written, or whose writer died."""
+    unfinished = files.unfinished_folders(spark, folders)
+    if not unfinished:
+        return df
+    path = F.col("_metadata.file_path") if path is None else path
+    return df.where(~F.regexp_extract(path, r"^(.*)/[^/]*$", 1).isin(unfinished))
 
 
 def batch_of(path: Column, layer: str, source: str) -> Column:
