@@ -14,7 +14,7 @@ from marketlake.operators.normalize import require_records
 from marketlake.operators.profile import BYTES_PER_VALUE
 from marketlake.plans.run_log import append_record
 from marketlake.sinks.batches import write_batch
-from marketlake.sources.landing import decode
+from marketlake.sources.landing import REST, decode
 from marketlake.sources.lake import Lake
 
 
@@ -30,8 +30,9 @@ def ingest(
 ) -> str:
     """Decode the landed answers of one run and write them as one batch; returns its path.
 
-    Answers are decoded and written in one pass, which also counts the answers, the rejected
-    ones and the rows; ``landing.rejects`` lists the rejected ones. A run that fails leaves
+    The batch has the contract's columns and, in ``other_fields``, every field the contract does
+    not name. Answers are decoded and written in one pass, which also counts the answers, the
+    rejected ones and the rows; ``landing.rejects`` lists the rejected ones. A run that fails leaves
     no data, only its run record.
     """
     date = date or datetime.now(UTC)
@@ -43,7 +44,7 @@ def ingest(
         require_records(decode(landed, source, contract), source)
         extract_ms = clock.lap()
         answers, records = Observation(), Observation()
-        batch = decode(landed, source, contract, counted=answers)
+        batch = decode(landed, source, contract, counted=answers, rest=REST)
         batch = batch.observe(records, F.count(F.lit(1)).alias("rows"))
         transform_ms = clock.lap()
         path = write_batch(lake, batch, source, date, filename, fmt, layer)

@@ -2,7 +2,10 @@
 
 An answer is one row: source, request key, status, body. Each source has a rule that says where
 its records are, and what happens to answers that failed or look different. A body is parsed
-once, straight into the columns that are wanted; nothing is shuffled.
+once, into the text of each field of each record; the contract's columns are cast from it, and
+the fields it does not name can be kept beside them. Nothing is shuffled. An answer with a value
+that does not fit its column is a misfit, for whichever columns are selected: ``answers``,
+``rejects`` and ``decode`` agree on it.
 """
 
 from __future__ import annotations
@@ -15,12 +18,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake import contracts
-from marketlake.functions.records import quoted
+from marketlake.functions.records import NESTED
 
 # What became of an answer.
 FAILED, MALFORMED, UNEXPECTED, IGNORED = "failed", "malformed", "unexpected", "ignored"
-EMPTY, RECORDS = "empty", "records"
-REJECTED = (FAILED, MALFORMED, UNEXPECTED, IGNORED)
+MISFIT, EMPTY, RECORDS = "misfit", "empty", "records"
+REJECTED = (FAILED, MALFORMED, UNEXPECTED, IGNORED, MISFIT)
+
+# A record as it is parsed: the text of each of its fields.
+FIELDS = T.MapType(T.StringType(), T.StringType())
+# The column for fields that a contract does not name.
+REST = "other_fields"
 
 # Set by the JSON reader when a body does not fit the schema.
 _BAD = "_bad"
@@ -42,16 +50,13 @@ class Rule:
 
     ``find`` gives the records from the columns ``listed`` (a body that is a list) and
     ``keyed`` (a body that is an object, read with ``fields``). ``stops`` lists the outcomes
-    that fail the whole run; the others skip the answer. ``strict`` lets the JSON reader itself
-    fail on a malformed body or a value that does not fit. Otherwise values are read as text
-    and cast later, so that a malformed body can be told from a value that does not fit.
-    ``needed`` names the request keys in the error raised when no answer holds any record.
+    that fail the whole run; the others skip the answer. ``needed`` names the request keys in
+    the error raised when no answer holds any record.
     """
 
     find: Callable[[T.DataType], Parsed]
     stops: tuple[str, ...]
     fields: Callable[[T.DataType], list[T.StructField]] | None = None
-    strict: bool = True
     needed: str | None = None
     key_column: str | None = None
     contract: T.StructType | None = None
@@ -89,13 +94,13 @@ def _pages(element: T.DataType) -> Parsed:
     return Parsed(F.col("listed"), F.when(broken, MALFORMED).otherwise(IGNORED))
 
 
-def _envelope_fields(element: T.StructType) -> list[T.StructField]:
-    return [T.StructField("protocols", T.ArrayType(element)), *element.fields]
+def _envelope_fields(element: T.DataType) -> list[T.StructField]:
+    return [T.StructField("protocols", T.ArrayType(element))]
 
 
-def _envelopes(element: T.StructType) -> Parsed:
+def _envelopes(element: T.DataType) -> Parsed:
     """A list, an object with a list inside, or an object that is itself the record."""
-    itself = F.array(F.struct(*(F.col(f"keyed.{quoted(n)}").alias(n) for n in element.names)))
+    itself = F.array(F.from_json("body", element))
     single = F.when(_sound() & ~_has_key("body", "protocols"), itself)
     trouble = (
         F.when(_starts_with("[") | _no_json(), MALFORMED)
@@ -130,13 +135,13 @@ def _result_rows(element: T.DataType) -> Parsed:
 
 
 def _bars(element: T.DataType) -> Parsed:
-    """A list of bars; bars without a date make the whole answer useless."""
-    dated = F.forall("listed", lambda bar: bar["Date"].isNotNull())
+    """A list of bars; without any date field it is no such list. A single empty date stays."""
+    dated = F.exists("listed", lambda bar: F.map_contains_key(bar, F.lit("Date")))
     trouble = F.when(_no_json(), MALFORMED).otherwise(IGNORED)
-    return Parsed(F.when(dated, F.col("listed")), trouble)
+    return Parsed(F.when(dated | (F.size("listed") == 0), F.col("listed")), trouble)
 
 
-_ANY_ERROR = (FAILED, MALFORMED, UNEXPECTED)
+_ANY_ERROR = (FAILED, MALFORMED, UNEXPECTED, MISFIT)
 
 RULES: dict[str, Rule] = {
     # pages: a list of records; another shape is skipped, a failed page stops the run
@@ -150,7 +155,6 @@ RULES: dict[str, Rule] = {
         _observations,
         (UNEXPECTED,),
         _observation_fields,
-        strict=False,
         needed="series",
         key_column="series_id",
         contract=contracts.BRONZE_FRED,
@@ -161,7 +165,6 @@ RULES: dict[str, Rule] = {
     "yahoo_finance": Rule(
         _bars,
         (),
-        strict=False,
         needed="symbol",
         key_column="Symbol",
         contract=contracts.BRONZE_YAHOO_FINANCE,
@@ -195,24 +198,18 @@ def read_landed_documents(spark: SparkSession, path: str, source: str) -> DataFr
 
 def answers(landed: DataFrame, source: str, contract: T.StructType | None = None) -> DataFrame:
     """Each answer of a source with its ``outcome`` and its ``records``; nothing is raised."""
-    return _answers(landed, source, contract or rule_of(source).contract, {})
-
-
-def _answers(
-    landed: DataFrame, source: str, contract: T.StructType | None, options: dict[str, str]
-) -> DataFrame:
     rule = rule_of(source)
-    element = _element(contract, rule)
+    contract = contract or rule.contract
+    element = T.VariantType() if contract is None else FIELDS
     usable = F.col("body").isNotNull() & (F.coalesce("status", F.lit(200)) < 400)
-    as_list = F.from_json("body", T.ArrayType(element), options)
+    as_list = F.from_json("body", T.ArrayType(element))
     columns = [
         usable.alias("usable"),
         F.when(usable & _starts_with("["), as_list).alias("listed"),
     ]
     if rule.fields:
         schema = T.StructType([*rule.fields(element), T.StructField(_BAD, T.StringType())])
-        keeping = {**options, "columnNameOfCorruptRecord": _BAD}
-        as_object = F.from_json("body", schema, keeping)
+        as_object = F.from_json("body", schema, {"columnNameOfCorruptRecord": _BAD})
         columns.append(F.when(usable & _starts_with("{"), as_object).alias("keyed"))
     read = landed.where(F.col("source") == source).select(
         "request_key", "fetched_at", "body", *columns
@@ -223,32 +220,34 @@ def _answers(
         F.when(~F.col("usable"), FAILED)
         .when(F.col("records").isNull(), parsed.trouble)
         .when(F.size("records") == 0, EMPTY)
-        .otherwise(RECORDS)
     )
+    if contract is not None:
+        own = [f for f in contract.fields if f.name != rule.key_column]
+        outcome = outcome.when(F.exists("records", lambda r: _unfit(r, own)), MISFIT)
+    outcome = outcome.otherwise(RECORDS)
     return read.select("request_key", "fetched_at", outcome.alias("outcome"), "records")
 
 
-def _element(contract: T.StructType | None, rule: Rule) -> T.DataType:
-    """The type one record is read as: only the fields that are wanted."""
-    if contract is None:
-        return T.VariantType()
-    return T.StructType(
-        [
-            T.StructField(f.name, _read_as(f.dataType, rule.strict))
-            for f in contract.fields
-            if f.name != rule.key_column
-        ]
-    )
+def _unfit(record: Column, fields: list[T.StructField]) -> Column:
+    """Whether the record is no object, or a field has a value that its column cannot hold."""
+    found = record.isNull()
+    for field in fields:
+        text = record[field.name]
+        if not isinstance(field.dataType, T.StringType):
+            found = found | (text.isNotNull() & _cast(text, field.dataType).isNull())
+    return found
 
 
-def _read_as(kind: T.DataType, strict: bool) -> T.DataType:
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return T.StringType()
+def _cast(text: Column, kind: T.DataType) -> Column:
+    """The text of a JSON value as a column's type; NULL if it does not fit."""
+    if isinstance(kind, T.StringType):
+        return text
+    if isinstance(kind, NESTED):
+        return F.from_json(text, kind)
     if isinstance(kind, T.IntegralType):
-        return _WHOLE if strict else T.StringType()
-    if isinstance(kind, T.FractionalType):
-        return kind if strict else T.StringType()
-    return kind
+        number = text.try_cast(_WHOLE)
+        return F.when(number == F.floor(number), number.try_cast(kind))
+    return text.try_cast(kind)
 
 
 def decode(
@@ -256,17 +255,19 @@ def decode(
     source: str,
     contract: T.StructType | None = None,
     counted: Observation | None = None,
+    rest: str | None = None,
 ) -> DataFrame:
     """Records of a source, with the columns of its contract.
 
-    A wider contract keeps more of an API's fields. For a source without a contract the record
-    is one variant column, ``record``. A stopping answer or a value that does not fit its
-    column fails the job that evaluates the result. ``counted`` learns the number of
-    ``answers`` and of ``rejected`` ones from the first job that evaluates the result.
+    ``rest`` names a column for all other fields of a record, as a map from name to text; it is
+    NULL where there are none. For a source without a contract the record is one variant
+    column, ``record``. A stopping answer fails the job that evaluates the result. ``counted``
+    learns the number of ``answers`` and of ``rejected`` ones from the first job that evaluates
+    the result.
     """
     rule = rule_of(source)
     contract = contract or rule.contract
-    read = _answers(landed, source, contract, {"mode": "FAILFAST"} if rule.strict else {})
+    read = answers(landed, source, contract)
     if counted is not None:
         rejected = F.count_if(F.col("outcome").isin(*REJECTED))
         read = read.observe(
@@ -282,20 +283,20 @@ def decode(
     rows = read.select("request_key", F.explode(usable).alias("record"))
     if contract is None:
         return rows.select("record")
-    return rows.selectExpr(
-        *(f"{_value(f, rule)} as {quoted(f.name)}" for f in contract.fields)
-    )
-
-
-def _value(field: T.StructField, rule: Rule) -> str:
-    """SQL for a contract column: the request key, or a field of the record."""
-    kind = field.dataType.simpleString()
-    if field.name == rule.key_column:
-        return f"cast(request_key as {kind})"
-    value = f"record.{quoted(field.name)}"
-    if isinstance(field.dataType, T.IntegralType):
-        value = f"cast({value} as {_WHOLE.simpleString()})"
-    return f"cast({value} as {kind})"
+    record = F.col("record")
+    columns = [
+        (
+            F.col("request_key").cast(f.dataType)
+            if f.name == rule.key_column
+            else _cast(record[f.name], f.dataType)
+        ).alias(f.name)
+        for f in contract.fields
+    ]
+    if rest:
+        named = [f.name for f in contract.fields if f.name != rule.key_column]
+        others = F.map_filter(record, lambda name, _: ~name.isin(named))
+        columns.append(F.when(F.size(others) > 0, others).alias(rest))
+    return rows.select(*columns)
 
 
 def decode_query_result(
