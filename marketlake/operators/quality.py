@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from marketlake.contracts import Check
@@ -20,7 +20,11 @@ RESULT = "model string, column string, check string, failures bigint, status str
 
 
 class CheckFailure(Exception):
-    """At least one check found failing rows."""
+    """At least one check found failing rows; ``results`` has a row for every check."""
+
+    def __init__(self, message: str, results: list[Row]):
+        super().__init__(message)
+        self.results = results
 
 
 def _text(value: str) -> str:
@@ -101,7 +105,7 @@ def run_checks(
     return reduce(DataFrame.unionByName, parts)
 
 
-def require_pass(results: DataFrame) -> list:
+def require_pass(results: DataFrame) -> list[Row]:
     """Collect the results, one small row per declared check, and fail if any check failed."""
     rows = results.collect()
     failed = [r for r in rows if r["status"] == "fail"]
@@ -109,5 +113,5 @@ def require_pass(results: DataFrame) -> list:
         told = "; ".join(
             f"{r['model']}.{r['column']} {r['check']}: {r['failures']}" for r in failed
         )
-        raise CheckFailure(f"{len(failed)} of {len(rows)} checks failed: {told}")
+        raise CheckFailure(f"{len(failed)} of {len(rows)} checks failed: {told}", rows)
     return rows

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 
 from marketlake import contracts
 from marketlake.functions.records import as_json_text
@@ -19,8 +20,10 @@ from marketlake.sources.lake import Lake
 
 @dataclass
 class BuildResult:
+    """The tables built, and one row per check, None if checks were skipped."""
+
     tables: list[str]
-    checks: DataFrame | None
+    checks: list[Row] | None
 
 
 def select_models(select: str | None = None, exclude: str | None = None) -> list[Model]:
@@ -81,12 +84,18 @@ def build(
     test_select: list[str] | None = None,
     skip_checks: bool = False,
     prefix: str = "",
+    variables: Mapping[str, str] | None = None,
 ) -> BuildResult:
     """Rebuild and register the selected models in order, then check them.
 
-    Fails if a check fails. ``test_select`` names other models to check than the ones built;
+    Fails if a check fails; the error carries the result rows. ``variables`` gives the values
+    that models read, by name; the one they have is ``run_date``. ``test_select`` names other models to check than the ones built;
     ``prefix`` goes before the database names, so that builds can live side by side.
     """
+    if unknown := set(variables or ()) - {"run_date"}:
+        raise ValueError(f"no model reads {', '.join(sorted(unknown))}")
+    if variables:
+        run_date = date.fromisoformat(variables["run_date"])
     built = select_models(select, exclude)
     tables = [
         publish_table(
@@ -102,9 +111,7 @@ def build(
     checks = check_tables(
         lake, test_select or [m.name for m in built], skip=skip_checks, prefix=prefix
     )
-    if checks is not None:
-        require_pass(checks)
-    return BuildResult(tables, checks)
+    return BuildResult(tables, None if checks is None else require_pass(checks))
 
 
 def build_layer(lake: Lake, layer: str, **options) -> BuildResult:

@@ -28,11 +28,21 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+    """A fresh folder below the cluster's shared checkpoint folder, removed when Spark ends.
 
-    A machine-local folder is used only where the session names none, as in tests.
+    The session names it in ``spark.checkpoint.dir`` or by ``setCheckpointDir``. Only a local
+    master may go without, as in tests, for it has no other machine to share with.
     """
+    context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/marketlake-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="marketlake-")
+    if not shared:
+        given = context._jsc.sc().getCheckpointDir()
+        shared = given.get() if given.isDefined() else None
+    if not shared:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.gettempdir()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared.rstrip('/')}/marketlake-{uuid.uuid4().hex}")
+    # The file system does this when the session's JVM ends.
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return folder.toString()

@@ -20,8 +20,12 @@ from pyspark.sql import types as T
 
 from marketlake.functions.paths import DAY_FOLDER, day_of
 from marketlake.functions.records import conform
+from marketlake.sources import files as storage
 from marketlake.sources.lake import Lake, batch_of, finished_only
 
+#: So many footers are read where the plan is made, without a job.
+FEW_FILES = 32
+
 FOOTERS = "path string, batch string, day_folder string, schema string, nanos string"
 
 #: Where Spark notes its own schema in a footer.
@@ -86,8 +90,17 @@ def _read(
     day_column: str | None,
     day,
 ) -> DataFrame:
-    footers = file_schemas(files, contract and contract.fieldNames())
-    found = footers.select("day_folder", "schema", "nanos").distinct().collect()
+    names = contract and contract.fieldNames()
+    few = storage.first_files(spark, roots, ".parquet", FEW_FILES + 1)
+    footers = None
+    if len(few) <= FEW_FILES:
+        unfinished = set(storage.unfinished_folders(spark, roots))
+        own = [f for f in few if f.rpartition("/")[0] not in unfinished]
+        frame = pd.DataFrame({"path": own, "batch": own, "day_folder": own})
+        found = [r for part in _footer_reader(names)(iter([frame])) for r in part.to_dict("records")]
+    else:
+        footers = file_schemas(files, names)
+        found = footers.select("day_folder", "schema", "nanos").distinct().collect()
     if not found:
         if contract is None:
             raise ValueError(f"no files below {', '.join(roots)}")
@@ -111,7 +124,7 @@ def _read(
         return part(0, roots)
     paths: dict[int, list[str]] = {i: [] for i in range(len(variants))}
     mixed = _place(found, "day_folder", owner, paths)
-    if mixed:
+    if mixed and footers is not None:
         loose = footers.where(F.col("day_folder").isin(sorted(mixed)))
         by_batch = loose.select("batch", "schema", "nanos").distinct()
         odd = _place(by_batch.toLocalIterator(), "batch", owner, paths)

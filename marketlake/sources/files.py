@@ -45,6 +45,23 @@ def unfinished_folders(spark: SparkSession, roots: list[str]) -> list[str]:
     return found
 
 
+def first_files(spark: SparkSession, roots: list[str], suffix: str, limit: int) -> list[str]:
+    """Up to ``limit`` files below the roots, without hidden ones."""
+    found: list[str] = []
+    for root in roots:
+        fs, handle = _open(spark, root)
+        if not fs.exists(handle):
+            continue
+        base = fs.makeQualified(handle).toString()
+        listing = fs.listFiles(handle, True)
+        while len(found) < limit and listing.hasNext():
+            path = listing.next().getPath().toString()
+            inner = path[len(base) :].split("/")
+            if path.endswith(suffix) and not any(n.startswith(("_", ".")) for n in inner):
+                found.append(path)
+    return found
+
+
 def mark_writing(spark: SparkSession, path: str) -> None:
     fs, handle = _open(spark, path)
     fs.mkdirs(handle)

@@ -141,7 +141,7 @@ def test_build_end_to_end(lake, landed):
         "`e2e_silver`.`coingecko`", "`e2e_silver`.`defillama`", "`e2e_silver`.`yfinance`",
         "`e2e_gold`.`crypto_prices`",
     ]
-    assert result.checks.count() == 25
+    assert len(result.checks) == 25 and {r['status'] for r in result.checks} == {'pass'}
     gold = spark.table("e2e_gold.crypto_prices").first()
     assert (gold["trend_7d"], gold["market_cap_category"]) == ("uptrend", "large_cap")
     assert gold["ingestion_date"] == date(2025, 1, 18)

@@ -17,7 +17,8 @@ from marketlake.sinks.batches import write_batch
 from marketlake.sources.lake import Lake
 
 COINS = """
-select concat('coin-', cast(p_partkey as varchar(20))) as id, lower(p_brand) as symbol,
+select case when p_partkey % 53 = 0 then null
+       else concat('coin-', cast(p_partkey as varchar(20))) end as id, lower(p_brand) as symbol,
   p_name as name, p_retailprice as current_price,
   case when p_partkey % 47 = 0 then null when p_size % 4 = 0 then p_retailprice * 1e8
        when p_size % 4 = 1 then p_retailprice * 2e6 when p_size % 4 = 2 then p_retailprice * 2e5
@@ -31,7 +32,16 @@ select concat('coin-', cast(p_partkey as varchar(20))) as id, lower(p_brand) as
   case when p_partkey % 43 = 0 then null
        else (p_partkey % 41 - 20) * 1e0 end as price_change_percentage_7d_in_currency,
   p_retailprice * 2e0 as ath, p_retailprice * 0.5e0 as atl,
-  '2024-01-01T00:00:00.000Z' as last_updated
+  case when p_partkey % 10 = 0 then '2024-01-01T00:00:00.000Z'
+       else '2024-01-02T00:00:00.000Z' end as last_updated,
+  concat('https://img.example/', cast(p_partkey as varchar(20))) as image,
+  p_size * 3e6 as max_supply, p_size * -1e0 as ath_change_percentage,
+  concat('ath-', cast(p_size as varchar(20))) as ath_date,
+  p_size * 10e0 as atl_change_percentage, concat('atl-', cast(p_size as varchar(20))) as atl_date,
+  p_size * 0.25e0 as price_change_percentage_14d_in_currency,
+  p_size * 0.5e0 as price_change_percentage_30d_in_currency,
+  p_size * 4e0 as price_change_percentage_200d_in_currency,
+  p_size * 8e0 as price_change_percentage_1y_in_currency
 from {part}
 """
 
@@ -43,7 +53,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def coins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Coin market records from ``part``; contract columns without a value are NULL."""
+    """Coin market records from ``part``; some have no id."""
     known = spark.sql(COINS, part=table(spark, sf_dir, "part"))
     return conform(known, BRONZE_COINGECKO)
 
@@ -57,15 +67,20 @@ def protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
     return joined.selectExpr(
-        "cast(s_suppkey as string) as id",
+        "if(s_suppkey % 29 = 0, null, cast(s_suppkey as string)) as id",
         "s_name as name",
         "lower(s_name) as slug",
-        "cast(null as string) as symbol",
+        "upper(substr(n_name, 1, 3)) as symbol",
         "r_name as category",
         "n_name as chain",
         "s_acctbal as tvl",
-        *(f"cast(null as double) as {c}" for c in ("mcap", "change_1h", "change_1d", "change_7d")),
-        *(f"cast(null as string) as {c}" for c in ("url", "logo", "gecko_id")),
+        "s_acctbal * 2e0 as mcap",
+        "s_nationkey * 0.5e0 as change_1h",
+        "s_nationkey * 1e0 as change_1d",
+        "s_nationkey * 7e0 as change_7d",
+        "concat('https://p.example/', s_suppkey) as url",
+        "concat('https://l.example/', s_suppkey) as logo",
+        "concat('gecko-', s_suppkey) as gecko_id",
         "s_suppkey as listedAt",
         "array(n_name, r_name) as chains",
         "map(n_name, n_nationkey, r_name, r_regionkey) as chainTvls",
@@ -76,14 +91,14 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price bars from ``events``."""
     return table(spark, sf_dir, "events").selectExpr(
         "ts as `Date`",
-        "event_type as Symbol",
-        "value as Open",
+        "if(event_id % 31 = 0, null, event_type) as Symbol",
+        "value + 0.5e0 as Open",
         "value + 1e0 as High",
         "value - 1e0 as Low",
         "value as Close",
         "user_id as Volume",
-        "0e0 as Dividends",
-        "0e0 as `Stock Splits`",
+        "event_id % 3 * 0.25e0 as Dividends",
+        "event_id % 5 * 1e0 as `Stock Splits`",
     )
 
 
