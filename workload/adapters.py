@@ -45,6 +45,32 @@ select case when p_partkey % 53 = 0 then null
 from {part}
 """
 
+#: More fields of a market record; the last two are in no contract.
+PAGE_FIELDS = {
+    "name": "concat('name-', event_id)",
+    "image": "concat('img-', event_id)",
+    "ath_date": "concat('ath-', event_id)",
+    "atl_date": "concat('atl-', event_id)",
+    "last_updated": "concat('at-', event_id)",
+    "total_volume": "user_id + 1",
+    "high_24h": "value + 2e0",
+    "low_24h": "value + 3e0",
+    "circulating_supply": "value + 4e0",
+    "total_supply": "value + 5e0",
+    "max_supply": "value + 6e0",
+    "ath": "value + 7e0",
+    "ath_change_percentage": "value + 8e0",
+    "atl": "value + 9e0",
+    "atl_change_percentage": "value + 10e0",
+    "price_change_percentage_7d_in_currency": "value + 11e0",
+    "price_change_percentage_14d_in_currency": "value + 12e0",
+    "price_change_percentage_30d_in_currency": "value + 13e0",
+    "price_change_percentage_200d_in_currency": "value + 14e0",
+    "price_change_percentage_1y_in_currency": "value + 15e0",
+    "properties": "props",
+    "number": "event_id",
+}
+
 PAGE_BITS = 8
 
 
@@ -139,6 +165,7 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("value").alias("current_price"),
             F.col("user_id").alias("market_cap"),
             F.col("event_id").alias("market_cap_rank"),
+            *(F.expr(text).alias(name) for name, text in PAGE_FIELDS.items()),
         )
     )
     records = table(spark, sf_dir, "events").select(record.alias("json"))
@@ -155,6 +182,26 @@ def _odd_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_misfits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price bars from ``region`` whose close is no number."""
+    bar = F.struct(F.lit("2024-01-01").alias("Date"), F.col("r_name").alias("Close"))
+    rows = table(spark, sf_dir, "region").select(
+        F.col("r_name").alias("request_key"), F.to_json(F.array(bar)).alias("body")
+    )
+    return _landed(rows, "yahoo_finance")
+
+
+def landed_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Market pages from ``nation`` that the server did not give."""
+    return _odd_answers(spark, sf_dir).select(
+        F.lit("coingecko").alias("source"),
+        "request_key",
+        F.lit(datetime(2024, 2, 1)).alias("fetched_at"),
+        F.lit(503).alias("status"),
+        "body",
+    )
+
+
 def landed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Protocol lists, envelopes and single records from ``supplier``; bare texts from ``nation``."""
     record = F.to_json(

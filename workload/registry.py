@@ -336,7 +336,7 @@ def lake_path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 select 'ev-' || event_id as id, event_type as symbol, value as current_price,
   cast(user_id as double) as market_cap, event_id as market_cap_rank,
-  cast(null as double) as max_supply
+  value + 6e0 as max_supply
 from events""")
 def decode_paged_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = landing.decode(adapters.landed_pages(spark, sf_dir), "coingecko")
@@ -408,11 +408,17 @@ def request_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 select 'coingecko' as source, n_name as request_key, 'ignored' as reason from nation
 union all
-select 'fred', n_name, 'malformed' from nation where n_nationkey < 10""")
+select 'fred', n_name, 'malformed' from nation where n_nationkey < 10
+union all
+select 'yahoo_finance', r_name, 'misfit' from region""")
 def rejected_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars = normalize.stack(
+        [adapters.landed_bars(spark, sf_dir), adapters.landed_misfits(spark, sf_dir)]
+    )
+    misfits = landing.rejects(bars, "yahoo_finance")
     pages = landing.rejects(adapters.landed_pages(spark, sf_dir), "coingecko")
     series = landing.rejects(adapters.landed_series(spark, sf_dir), "fred")
-    return pages.unionByName(series).select("source", "request_key", "reason")
+    return normalize.stack([pages, series, misfits]).select("source", "request_key", "reason")
 
 
 @query("""
@@ -448,23 +454,45 @@ def stacked_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- jobs ------------------------------------------------------------------------------
 
 
-@query("""
+_PAGE_SQL = ", ".join(
+    f"cast({text} as {'varchar' if 'concat' in text else 'double'}) as {name}"
+    for name, text in adapters.PAGE_FIELDS.items()
+    if name not in ("properties", "number")
+)
+
+
+@query(f"""
 select 'ev-' || event_id as id, event_type as symbol, value as current_price,
-  date '2024-02-01' as ingest_date
+  cast(user_id as double) as market_cap, event_id as market_cap_rank, {_PAGE_SQL},
+  props as properties, cast(event_id as varchar) as number, date '2024-02-01' as ingest_date
 from events""")
 def ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column of a stored batch, and the fields that no contract names."""
     lake = _new_lake(spark)
     ingest(lake, "coingecko", adapters.landed_pages(spark, sf_dir), datetime(2024, 2, 1, 6))
-    read = lake.scan(
-        "coingecko", schema=contracts.BRONZE_COINGECKO, day_column="ingest_date"
-    )
-    return read.select("id", "symbol", "current_price", "ingest_date")
+    read = lake.scan("coingecko", day_column="ingest_date")
+    others = [F.col(landing.REST)[name].alias(name) for name in ("properties", "number")]
+    return read.select("*", *others).drop(landing.REST)
+
+
+@query("""
+select distinct 'coingecko_20240201_060000' as pipeline_id, 'pipeline_failed' as event,
+  false as success, cast(null as bigint) as rows
+from nation""")
+def failed_run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is noted of a run that an answer of the server stops."""
+    lake = _new_lake(spark)
+    try:
+        ingest(lake, "coingecko", adapters.landed_failures(spark, sf_dir), datetime(2024, 2, 1, 6))
+    except Exception:
+        return run_log(lake).select("pipeline_id", "event", "success", "rows")
+    raise AssertionError("a failed answer must stop the run")
 
 
 @query("""
 select 'coingecko_20240201_060000' as pipeline_id, 'pipeline_completed' as event,
-  (select count(*) from nation) as rejected, count(*) as rows, cast(25 as int) as columns_count,
-  count(*) * 25 * 8 as file_size_bytes, true as success
+  (select count(*) from nation) as rejected, count(*) as rows, cast(26 as int) as columns_count,
+  count(*) * 26 * 8 as file_size_bytes, true as success
 from events""")
 def run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _new_lake(spark)
@@ -754,6 +782,48 @@ def view_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count
 
 
+def _drifting_lake(spark: SparkSession, sf_dir: str) -> tuple[Lake, str]:
+    """Two batches of events that disagree, the second one also with itself."""
+    lake = _new_lake(spark)
+    events = adapters.table(spark, sf_dir, "events")
+    first = events.where("user_id % 3 = 0").select("event_id", "value")
+    first.write.parquet(lake.path("bronze", "drifting", "2024-01-01", "a.parquet"))
+    batch = lake.path("bronze", "drifting", "2024-01-02", "b.parquet")
+    plain = events.where("user_id % 3 = 1").selectExpr("event_id", "user_id as value")
+    plain.write.parquet(batch)
+    wide = events.where("user_id % 3 = 2").selectExpr("event_id", "user_id as value", "props")
+    wide.write.mode("append").parquet(batch)
+    return lake, batch
+
+
+@query("""
+select event_id, case when user_id % 3 = 0 then value else cast(user_id as double) end as value,
+  case when user_id % 3 = 2 then props end as props
+from events where user_id is not null""")
+def view_over_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view without a contract has all columns of all files, wide enough for all values."""
+    lake, _ = _drifting_lake(spark, sf_dir)
+    return query_source(lake, "drifting", "select event_id, value, props from {view}")
+
+
+@query("""
+select event_id, user_id as value, case when user_id % 3 = 2 then props end as props
+from events where user_id % 3 <> 0""")
+def batch_with_mixed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake, batch = _drifting_lake(spark, sf_dir)
+    return lake.read_batch(batch).select("event_id", "value", "props")
+
+
+@query("""
+select 'lands' as name from nation union select 'regions' from region""")
+def catalog_table_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake, prefix = _new_lake(spark), _new_prefix()
+    for source, name in (("nation", "lands"), ("region", "regions")):
+        rows = adapters.table(spark, sf_dir, source)
+        publish_table(lake, rows, "silver", name, f"{prefix}silver")
+    return catalog.list_tables(spark, f"{prefix}silver").select("name")
+
+
 # SQL that both engines run unchanged.
 SHARED_SQL = {
     "sql_join": """
