@@ -89,7 +89,13 @@ def request_status(
 
 def require_records(records: DataFrame, source: str) -> DataFrame:
     """Fail if no answer of the source held any record; stops at the first one found."""
+    if rule_of(source).needed:
+        require_rows(0 if records.isEmpty() else 1, source)
+    return records
+
+
+def require_rows(rows: int, source: str) -> None:
+    """Fail if a source that must give records gave none."""
     needed = rule_of(source).needed
-    if needed and records.isEmpty():
+    if needed and not rows:
         raise ValueError(f"No data extracted for any {needed}")
-    return records

@@ -15,6 +15,8 @@ from marketlake.functions.records import quoted
 QUARTILES = ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
 # Values that one task may sort, and buckets that one pass counts, per column and quartile.
 SORT_LIMIT = 100_000
+# Lists of so many values that one task may hold; more of them are dealt out.
+LISTS_PER_TASK = 16
 BUCKETS = 10_000
 _LARGEST = sys.float_info.max
 # Guessed bytes of one value in the rough size.
@@ -237,15 +239,29 @@ def _ranked(values: DataFrame, spans: list[_Span]) -> dict[str, dict[int, float]
             picks.setdefault((s.column, s.low, s.high), []).append(s)
     if not picks:
         return found
-    columns = []
+    entries = []
     for i, ((k, low, high), wanted) in enumerate(picks.items()):
-        inside = F.when(F.col(k).between(low, high), F.col(k))
-        ordered = F.sort_array(F.collect_list(inside))  # at most SORT_LIMIT values
+        inside = F.when(F.col(k).between(low, high), F.col(k))  # at most SORT_LIMIT values
         places = F.array(*(F.lit(s.rank - s.below) for s in wanted))
-        columns.append(_take(ordered, places).alias(f"p{i}"))
-    row = values.agg(*columns).first()
+        entries.append((i, inside, places))
+    if len(entries) <= LISTS_PER_TASK:
+        ordered = [
+            _take(F.sort_array(F.collect_list(inside)), places).alias(f"p{i}")
+            for i, inside, places in entries
+        ]
+        row = values.agg(*ordered).first()
+        taken = {i: row[f"p{i}"] for i, _, _ in entries}
+    else:
+        structs = [
+            F.struct(F.lit(i).alias("pick"), inside.alias("value"), places.alias("places"))
+            for i, inside, places in entries
+        ]
+        kept = values.select(F.inline(F.array(*structs))).where(F.col("value").isNotNull())
+        ordered = F.sort_array(F.collect_list("value"))
+        rows = kept.groupBy("pick").agg(ordered.alias("o"), F.first("places").alias("places"))
+        taken = {r["pick"]: r["v"] for r in rows.select("pick", _take(F.col("o"), F.col("places")).alias("v")).collect()}
     for i, wanted in enumerate(picks.values()):
-        for s, value in zip(wanted, row[f"p{i}"], strict=True):
+        for s, value in zip(wanted, taken[i], strict=True):
             found.setdefault(s.column, {})[s.rank] = value
     return found
 

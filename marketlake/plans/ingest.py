@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.functions.paths import check_format, run_id
-from marketlake.operators.normalize import require_records
+from marketlake.operators.normalize import require_rows
 from marketlake.operators.profile import BYTES_PER_VALUE
 from marketlake.plans.run_log import append_record
 from marketlake.sinks.batches import write_batch
@@ -41,13 +41,21 @@ def ingest(
     about = {"pipeline_id": pipeline_id, "source": source, "layer": layer}
     try:
         check_format(fmt)
-        require_records(decode(landed, source, contract), source)
         extract_ms = clock.lap()
         answers, records = Observation(), Observation()
         batch = decode(landed, source, contract, counted=answers, rest=REST)
         batch = batch.observe(records, F.count(F.lit(1)).alias("rows"))
         transform_ms = clock.lap()
-        path = write_batch(lake, batch, source, date, filename, fmt, layer)
+        path = write_batch(
+            lake,
+            batch,
+            source,
+            date,
+            filename,
+            fmt,
+            layer,
+            accept=lambda: require_rows(records.get["rows"], source),
+        )
         load_ms = clock.lap()
         rows, seen = records.get["rows"], answers.get
     except Exception as error:

@@ -6,6 +6,7 @@ the same name replaces the earlier one, and only after the new one is complete.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -23,15 +24,26 @@ def write_batch(
     filename: str | None = None,
     fmt: str = "parquet",
     layer: str = "bronze",
+    accept: Callable[[], None] | None = None,
 ) -> str:
-    """Write a batch and return its path relative to the lake root."""
+    """Write a batch and return its path relative to the lake root.
+
+    ``accept`` is called when all rows are written and none is published; if it raises, the
+    batch goes and an earlier one of that name stays.
+    """
     check_format(fmt)
     relative = lake_path(source, date, filename, fmt, layer)
-    write_folder(lake, df, lake.path(relative), fmt)
+    write_folder(lake, df, lake.path(relative), fmt, accept)
     return relative
 
 
-def write_folder(lake: Lake, df: DataFrame, target: str, fmt: str = "parquet") -> None:
+def write_folder(
+    lake: Lake,
+    df: DataFrame,
+    target: str,
+    fmt: str = "parquet",
+    accept: Callable[[], None] | None = None,
+) -> None:
     """Write a folder whole or not at all.
 
     A new folder is written in place and carries a mark until the last file is there; readers
@@ -51,6 +63,8 @@ def write_folder(lake: Lake, df: DataFrame, target: str, fmt: str = "parquet") -
         writer = writer.option("ignoreNullFields", False)
     try:
         writer.format(fmt).save(place)
+        if accept:
+            accept()
     except Exception:
         files.discard(spark, place)
         raise

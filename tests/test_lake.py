@@ -1,6 +1,7 @@
 import json
 import os
 from datetime import date, datetime
+from pathlib import Path
 
 import pandas as pd
 import pyarrow as pa
@@ -14,7 +15,10 @@ from marketlake.functions import as_json_text
 from marketlake.functions.paths import lake_path
 from marketlake.sinks.batches import write_batch, write_folder
 from marketlake.sinks.tables import create_layout, publish_table
-from marketlake.sources import catalog
+from marketlake.plans.query import query_source
+from marketlake.plans.run_log import run_log
+from marketlake.session import scratch_root
+from marketlake.sources import catalog, drift, files
 from marketlake.sources.drift import scan_any_schema
 from marketlake.sources.lake import Lake
 from tests.conftest import plan
@@ -252,3 +256,113 @@ def test_layout_and_catalog_listing(lake):
     publish_table(lake, spark.range(4), "gold", "g", database="lay_gold")
     assert catalog.list_tables(spark, "lay_gold").collect() == [("lay_gold", "g")]
     assert catalog.table_sizes(spark, "lay_gold").collect() == [("lay_gold", "g", 4)]
+
+
+# --- files that disagree, without a contract -----------------------------------------
+
+
+def test_every_part_file_of_a_batch_counts(lake):
+    batch = lake.path("bronze", "parts", "2025-01-17", "b.parquet")
+    lake.spark.sql("select 1 as a").write.parquet(batch)
+    lake.spark.sql("select 2 as a, 5 as b").write.mode("append").parquet(batch)
+    contract = T.StructType().add("a", "integer").add("b", "integer")
+    want = [(1, None), (2, 5)]
+    for table in (
+        drift.scan_any_schema(lake, "parts", contract),
+        lake.scan("parts"),
+        lake.read_batch(batch),
+        query_source(lake, "parts"),
+    ):
+        assert sorted(map(tuple, table.select("a", "b").collect())) == want
+
+
+@pytest.mark.parametrize("few", [0, 32])
+def test_default_view_has_all_columns_and_timestamps(lake, monkeypatch, few):
+    monkeypatch.setattr(drift, "FEW_FILES", few)
+    folder = Path(lake.path("bronze", "odd", "2025-01-17"))
+    folder.mkdir(parents=True)
+    stamp = pd.Timestamp("2025-01-16 09:30:00.123456")
+    first = pa.table({"Date": pa.array([stamp], pa.timestamp("ns", "UTC")), "v": [1], "c": [["x"]]})
+    pq.write_table(first, folder / "a.parquet")
+    second = pa.table({"Date": pa.array([stamp], pa.timestamp("us", "UTC")), "v": [1.5], "c": ['["y"]'], "more": [7]})
+    pq.write_table(second, folder / "b.parquet")
+    for table in (lake.scan("odd", day_column="day"), query_source(lake, "odd")):
+        kinds = dict(table.dtypes)
+        assert (kinds["Date"], kinds["v"], kinds["c"], kinds["more"]) == (
+            "timestamp", "double", "string", "bigint",
+        )
+        rows = sorted((r["v"], r["c"], r["more"], r["Date"]) for r in table.collect())
+        assert [r[:3] for r in rows] == [(1.0, '["x"]', None), (1.5, '["y"]', 7)]
+        assert {r[3] for r in rows} == {stamp.to_pydatetime()}
+    (row,) = lake.read_batch(str(folder / "a.parquet")).collect()
+    assert row["Date"] == stamp.to_pydatetime()
+
+
+def test_types_widen_without_loss():
+    wider, D = drift.wider, T.DecimalType
+    assert wider(T.IntegerType(), T.LongType()) == T.LongType()
+    assert wider(T.LongType(), T.DoubleType()) == T.DoubleType()
+    assert wider(D(10, 2), T.LongType()) == D(21, 2) and wider(D(5, 0), D(4, 3)) == D(8, 3)
+    assert wider(T.DateType(), T.TimestampType()) == T.TimestampType()
+    assert wider(T.BooleanType(), T.LongType()) == T.StringType()
+
+
+def test_scheme_that_cannot_be_opened_is_named(lake):
+    frame = pd.DataFrame({"path": ["odd://x/y.parquet"], "batch": ["b"], "day_folder": [""]})
+    with pytest.raises(ValueError, match="odd://x/y.parquet"):
+        list(drift._footer_reader(None)(iter([frame])))
+
+
+# --- unfinished batches ---------------------------------------------------------------
+
+
+def test_batch_of_a_broken_write_is_not_read(lake, monkeypatch):
+    write_batch(lake, lake.spark.range(3), "s", DAY1, "good")
+    # The writer dies after its files are there and before it takes the mark off.
+    with monkeypatch.context() as m:
+        m.setattr(files, "mark_finished", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            write_batch(lake, lake.spark.range(10), "s", DAY1, "bad")
+    assert lake.scan("s").count() == 3
+    assert lake.scan("s", schema=T.StructType().add("id", "long")).count() == 3
+    assert lake.list_batches("s").count() == 1
+    # Writing it again clears the rest of the broken one.
+    write_batch(lake, lake.spark.range(5), "s", DAY1, "bad")
+    assert lake.scan("s").count() == 8
+
+
+def test_batch_that_is_not_accepted_leaves_the_old_one(lake):
+    write_batch(lake, lake.spark.range(3), "s", DAY1, "x")
+
+    def refuse():
+        raise ValueError("no")
+
+    for name in ("x", "y"):
+        with pytest.raises(ValueError, match="no"):
+            write_batch(lake, lake.spark.range(9), "s", DAY1, name, accept=refuse)
+    assert lake.scan("s").count() == 3
+
+
+def test_log_of_a_lake_without_runs_is_empty(lake):
+    assert run_log(lake).count() == 0
+
+
+def test_scratch_needs_a_shared_folder_off_local(spark, monkeypatch):
+    assert scratch_root(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+    class Context:
+        master = "spark://host:7077"
+        _jsc = spark.sparkContext._jsc
+
+    class Conf:
+        get = staticmethod(lambda *_: None)
+
+    class Session:
+        sparkContext, conf, _jvm, _jsc = Context, Conf, spark._jvm, spark._jsc
+
+    given = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if given.isDefined():
+        assert scratch_root(Session).startswith(given.get())
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_root(Session)

@@ -113,3 +113,11 @@ def test_counts_rows_types_sizes(spark, lake):
     size = profile.exact_size(lake.list_files("bronze", "x")).first()
     assert size["bytes"] > 0 and size["n_files"] >= 1
     assert profile.exact_size(lake.list_files("bronze", "y")).collect() == [(0, 0)]
+
+
+def test_many_columns_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(profile, "LISTS_PER_TASK", 4)
+    rng = random.Random(1)
+    data = {f"c{k}": [rng.gauss(k, 3) for _ in range(60)] for k in range(12)}
+    got = described(spark.createDataFrame(pd.DataFrame(data)))
+    assert all(same(got[name], expected(values)) for name, values in data.items())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -862,10 +863,14 @@ def _over_views(text: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         parent, folder = os.path.split(sf_dir)
         lake = Lake(spark, parent)
+        own = text
         for name in TABLES:
-            if name in text:
-                create_view(lake, f"{name}.parquet", folder, view_name=name)
-        return spark.sql(text)
+            word = rf"\b{name}\b"
+            if re.search(word, text):
+                view = f"{name}_{uuid.uuid4().hex}"
+                create_view(lake, f"{name}.parquet", folder, view_name=view)
+                own = re.sub(word, view, own)
+        return spark.sql(own)
 
     return run
 
