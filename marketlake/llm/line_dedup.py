@@ -1,9 +1,11 @@
 """Passages that a later document shares with an earlier one, found by alignment and deleted.
 
-Lines are compared without surrounding white space, by a 128-bit digest. Lines of at least
-``anchor_words`` words are distinctive: chance hardly repeats them, so a later holder of such a line
-is paired with the line's first holder. A line that very many documents hold costs one pair for
-each of them, never their square, so no frequency is cut off and nothing is missed for being common.
+A line ends at a line break or after a sentence mark with white space behind it, so that a passage
+set into another paragraph shares lines too. Lines are compared without surrounding white space, by
+an 80-bit hash and their number of words. Lines of at least ``anchor_words`` words are rare: chance
+hardly repeats them, so a later holder of such a line is paired with the line's first holder. A line
+that very many documents hold costs one pair for each of them, never their square, so no frequency
+is cut off and nothing is missed for being common.
 Each pair is aligned by patience diff: lines that are unique in both documents, in the longest
 increasing order, then the gaps between them in the same way; where a gap has no unique line, its
 rarest common one is taken. Runs of aligned neighbouring lines with ``min_block_words`` words or
@@ -19,13 +21,17 @@ other columns are kept; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.llm.common import cut
 
@@ -128,12 +134,53 @@ def shared_blocks(later: list, words: list[int], earlier: list, min_words: int)
     return sorted(gone)
 
 
-def _lines(text: Column) -> Column:
-    return F.split(text, "\n", -1)
+SENTENCE_END = re.compile(r"[.!?…。！？]+[^\S\n]+")
 
 
-def _bare(line: Column) -> Column:
-    return F.trim(F.translate(line, "\t\r\x0b\x0c", "    "))
+def segments(text: str) -> list[list[str]]:
+    """The lines of each row of a text, with the white space behind them."""
+    rows = []
+    for row in text.split("\n"):
+        at, lines = 0, []
+        for end in SENTENCE_END.finditer(row):
+            lines.append(row[at : end.end()])
+            at = end.end()
+        if at < len(row) or not lines:
+            lines.append(row[at:])
+        rows.append(lines)
+    return rows
+
+
+def without(text: str, gone: list[int]) -> str:
+    """The text without some of its lines; a row that loses all its lines goes as a whole."""
+    lost, number, kept = set(gone), 0, []
+    for lines in segments(text):
+        left = [x for k, x in enumerate(lines, number) if k not in lost]
+        number += len(lines)
+        if len(left) == len(lines):
+            kept.append("".join(left))
+        elif left:
+            kept.append("".join(left).rstrip() if number - 1 in lost else "".join(left))
+    return "\n".join(kept)
+
+
+def line_keys(text: str) -> bytes:
+    """Ten bytes of hash and two of the number of words (65535 for more) of each line."""
+    from xxhash import xxh3_128_digest
+
+    out = []
+    for lines in segments(text):
+        for line in lines:
+            words = line.split()
+            bare = line.strip()
+            out.append(xxh3_128_digest(bare.encode("utf-8", "replace"))[:10])
+            out.append(min(len(words), 65_535).to_bytes(2, "little"))
+    return b"".join(out)
+
+
+def _unpacked(keys: bytes) -> tuple[list[bytes], list[int]]:
+    counts = np.frombuffer(keys, np.uint8).reshape(-1, 12)[:, 10:].copy().view("<u2").reshape(-1)
+    return [keys[k : k + 12] for k in range(0, len(keys), 12)], counts.tolist()
 
 
 def _free_name(taken: list[str], stem: str) -> str:
@@ -153,71 +200,78 @@ def removed_lines(
     source = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     ).where("doc_id is not null and text is not null")
-    lines = _lines(F.col("text"))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                keys = [line_keys(t.as_py()) for t in part.column("text")]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("version"), pa.array(keys, pa.binary())],
+                    names=["doc_id", "version", "keys"],
+                )
+
     documents = cut(
-        source.select(
-            "doc_id",
-            F.xxhash64("text").alias("version"),
-            F.transform(lines, lambda x: F.unhex(F.md5(_bare(x)))).alias("keys"),
-            F.transform(
-                lines,
-                lambda x: F.when(_bare(x) == "", 0).otherwise(F.size(F.split(_bare(x), " +"))),
-            ).alias("words"),
-        )
-        .groupBy("doc_id", "version")
-        .agg(F.first("keys").alias("keys"), F.first("words").alias("words"))
-    )
-    distinctive = (
-        documents.select(
-            "doc_id", "version", F.explode(F.arrays_zip("keys", "words")).alias("line")
+        source.select("doc_id", F.xxhash64("text").alias("version"), "text").mapInArrow(
+            hashed, "doc_id long, version long, keys binary"
         )
-        .where(F.col("line.words") >= anchor_words)
-        .select("doc_id", "version", F.col("line.keys").alias("key"))
     )
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                found = []
+                for keys in part.column("keys"):
+                    rows = np.frombuffer(keys.as_buffer(), np.uint8).reshape(-1, 12)
+                    counts = rows[:, 10:].copy().view("<u2").reshape(-1)
+                    own = rows[counts >= anchor_words, :8].copy().view("<i8").reshape(-1)
+                    found.append(np.unique(own))
+                repeat = np.repeat(np.arange(len(found)), [len(x) for x in found])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(found)), part.column("doc_id").take(pa.array(repeat))],
+                    names=["key", "doc_id"],
+                )
+
+    distinctive = documents.select("doc_id", "keys").mapInArrow(rare, "key long, doc_id long")
     holders = (
         distinctive.groupBy("key")
-        .agg(
-            F.min(F.struct("doc_id", "version")).alias("first"),
-            F.max("doc_id").alias("last"),
-        )
-        .where(F.col("first.doc_id") < F.col("last"))
-        .select("key", "first")
+        .agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+        .where("first_id < last_id")
+        .select("key", "first_id")
     )
     # Only shared lines have holders, so copying these rows for each salt is cheap, and it deals
     # the holders of one very common line out to many tasks.
     salted = holders.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
-    pairs = (
+    pairs = cut(
         distinctive.withColumn("salt", salt)
         .join(salted, ["key", "salt"])
-        .where(F.col("doc_id") > F.col("first.doc_id"))
-        .select(
-            "doc_id",
-            "version",
-            F.col("first.doc_id").alias("first_id"),
-            F.col("first.version").alias("first_version"),
-        )
+        .where(F.col("doc_id") > F.col("first_id"))
+        .select("doc_id", "first_id")
         .distinct()
     )
-    first = documents.select(
-        F.col("doc_id").alias("first_id"),
-        F.col("version").alias("first_version"),
-        F.col("keys").alias("first_keys"),
+    involved = pairs.select("doc_id").union(pairs.select("first_id")).distinct()
+    sequences = (
+        documents.join(involved, "doc_id", "left_semi")
+        .groupBy("doc_id", "version")
+        .agg(F.first("keys").alias("keys"))
     )
-    both = pairs.join(documents, ["doc_id", "version"]).join(
-        first, ["first_id", "first_version"]
-    ).select("doc_id", "version", "keys", "words", "first_keys")
+    first = sequences.select(F.col("doc_id").alias("first_id"), F.col("keys").alias("first_keys"))
+    both = pairs.join(sequences, "doc_id").join(first, "first_id")
 
     def align(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            gone = [
-                shared_blocks(list(a), list(n), list(b), min_block_words)
-                for a, n, b in zip(frame["keys"], frame["words"], frame["first_keys"], strict=True)
-            ]
+            gone = []
+            for own, earlier in zip(frame["keys"], frame["first_keys"], strict=True):
+                lines, words = _unpacked(bytes(own))
+                gone.append(shared_blocks(lines, words, _unpacked(bytes(earlier))[0], min_block_words))
             out = frame[["doc_id", "version"]].assign(gone=gone)
             yield out[out["gone"].map(len) > 0]
 
-    found = both.mapInPandas(align, "doc_id long, version long, gone array<int>")
+    found = both.select("doc_id", "version", "keys", "first_keys").mapInPandas(
+        align, "doc_id long, version long, gone array<int>"
+    )
     return found.groupBy("doc_id", "version").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone")
     )
@@ -245,10 +299,21 @@ def drop_shared_passages(
         [key, version],
         "left",
     )
-    kept = F.array_join(
-        F.filter(_lines(F.col("text")), lambda x, k: ~F.array_contains(F.col(lost), k)), "\n"
-    )
-    columns = {"text": F.when(F.col(lost).isNull(), F.col("text")).otherwise(kept)}
+
+    @F.pandas_udf(T.StringType())
+    def shortened(texts: pd.Series, gone: pd.Series) -> pd.Series:
+        return pd.Series(
+            [None if t is None else without(t, g) for t, g in zip(texts, gone, strict=True)],
+            dtype=object,
+        )
+
+    # Texts that lose nothing are not sent to Python.
+    changed = F.when(F.col(lost).isNotNull(), F.col("text").cast("string"))
+    columns = {
+        "text": F.when(F.col(lost).isNull(), F.col("text")).otherwise(
+            shortened(changed, F.col(lost))
+        )
+    }
     if removed:
         columns[removed] = F.coalesce(F.col(lost), F.array().cast("array<int>"))
     return joined.withColumns(columns).drop(key, version, lost)

@@ -110,28 +110,40 @@ def test_line_dedup_of_nothing(nothing):
 
 
 def test_line_dedup_keeps_every_deleted_line_somewhere_earlier(result, documents):
+    def lines_of(text):
+        return [x.strip() for row in line_dedup.segments(text or "") for x in row]
+
     first = {}
     for doc_id, text in sorted(documents):
-        for line in (text or "").split("\n"):
-            first.setdefault(line.strip(), doc_id)
+        for line in lines_of(text):
+            first.setdefault(line, doc_id)
     texts = dict(documents)
     rows = {r["doc_id"]: r for r in result("op1_line_dedup")}
     lost = 0
     for doc_id, row in rows.items():
-        lines = (texts[doc_id] or "").split("\n")
+        lines = lines_of(texts[doc_id])
         gone = set(row["removed_lines"])
         lost += len(gone)
-        assert row["text"] == "\n".join(x for k, x in enumerate(lines) if k not in gone) or not gone
-        for k in gone:
-            assert first[lines[k].strip()] < doc_id
+        if not gone:
+            assert row["text"] == texts[doc_id]
+        kept = [x for k, x in enumerate(lines) if k not in gone]
+        assert " ".join(" ".join(kept).split()) == " ".join((row["text"] or "").split())
+        assert all(first[lines[k]] < doc_id for k in gone)
     assert lost and len(rows) == len(documents)
     # No whole passage of over 50 words is left twice.
-    seen = collections.Counter(
-        line.strip() for r in rows.values() for line in set((r["text"] or "").split("\n"))
-    )
+    seen = collections.Counter(x for r in rows.values() for x in set(lines_of(r["text"])))
     assert not [x for x, n in seen.items() if n > 1 and len(x.split()) > 50]
 
 
+def test_line_dedup_finds_a_passage_inside_another_paragraph(spark):
+    passage = " ".join(f"Sentence number {k} tells something that no other sentence tells." for k in range(8))
+    rows = [(1, f"Begin here {passage} and end."), (2, "Quite another text.\nWith words before " + passage + " Then more.\nLast.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"]: r["text"] for r in line_dedup.drop_shared_passages(docs).collect()}
+    assert kept[1] == rows[0][1]
+    assert kept[2] == "Quite another text.\nWith words before Sentence number 0 tells something that no other sentence tells. Then more.\nLast."
+
+
 # --- language model -------------------------------------------------------------------
 
 
