@@ -7,7 +7,7 @@ share phrases. The phrase set is hashed, and the fingerprint has the smallest va
 hash functions, 16 bits of it. The share of equal places estimates the share of common phrases.
 
 For comparing every document with the next one and with an edit of the two, documents are dealt
-into ranges of doc_id by one shuffle and sorted there, so that neighbours meet in a task; the first
+into ranges of doc_id by one shuffle, a task each, and sorted there, so that neighbours meet in a task; the first
 document of the next range is sent along. Range bounds and first ids are the only rows that the
 driver sees, one per range.
 
@@ -22,14 +22,16 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PLACES = 128
 SEED = 1234567
 LONGEST_WORD = 32
-RANGE_ROWS = 20_000
+RANGE_ROWS = 10_000
 
 _rng = np.random.default_rng(SEED)
 MULTIPLY = _rng.integers(0, 2**63, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -171,28 +173,37 @@ def compare_with_next(docs: DataFrame, *, range_rows: int = RANGE_ROWS) -> DataF
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), keys.count() // range_rows)
     cuts = keys.stat.approxQuantile("key", [k / ranges for k in range(1, ranges)], 0.1 / ranges)
     bounds = sorted({int(c) for c in cuts})
-    # The number of bounds at or below the key.
-    number = (
-        F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("key")))
-        if bounds
-        else F.lit(0)
-    )
-    firsts = dict(
-        keys.groupBy(number.alias("part")).agg(F.max("key")).collect()
-    )
-    order = sorted(firsts, reverse=True)
-    before = {firsts[part]: order[k - 1] for k, part in enumerate(order)}
-    own = F.struct(number.alias("part"), F.lit(0).alias("tail"))
-    if before:
-        pairs = [F.lit(x) for item in before.items() for x in item]
-        sent = F.struct(F.create_map(*pairs)[F.col("key")].alias("part"), F.lit(1).alias("tail"))
-        copies = F.when(F.col("key").isin(list(before)), F.array(own, sent)).otherwise(F.array(own))
-    else:
-        copies = F.array(own)
+    edges = np.array(bounds, np.int64)
+
+    @F.pandas_udf(T.IntegerType())
+    def number_of(key: pd.Series) -> pd.Series:
+        """The number of bounds at or below the key."""
+        return pd.Series(np.searchsorted(edges, key.to_numpy(np.int64), "right"))
+
+    rows = keys.groupBy(number_of("key").alias("part")).agg(F.max("key").alias("first")).collect()
+    order = sorted((r["part"] for r in rows), reverse=True)
+    first = np.full(len(bounds) + 1, -(2**63), np.int64)
+    first[[r["part"] for r in rows]] = [r["first"] for r in rows]
+    # The first document of a range also follows the last one of the range before.
+    before = np.full(len(bounds) + 1, -1, np.int64)
+    before[order] = [order[k - 1] for k in range(len(order))]
+
+    @F.pandas_udf("part int, sent int")
+    def place_of(key: pd.Series) -> pd.DataFrame:
+        values = key.to_numpy(np.int64)
+        part = np.searchsorted(edges, values, "right")
+        return pd.DataFrame(
+            {"part": part, "sent": np.where(values == first[part], before[part], -1)}
+        ).astype("int32")
+
+    own = F.struct(F.col("place.part").alias("part"), F.lit(0).alias("tail"))
+    sent = F.struct(F.col("place.sent").alias("part"), F.lit(1).alias("tail"))
+    copies = F.when(F.col("place.sent") >= 0, F.array(own, sent)).otherwise(F.array(own))
     dealt = (
-        source.withColumn("copy", F.explode(copies))
+        source.withColumn("place", place_of("key"))
+        .withColumn("copy", F.explode(copies))
         .select("copy.part", "copy.tail", "key", "doc_id", "text")
-        .repartition(max(1, len(order)), "part")
+        .repartitionById(len(bounds) + 1, "part")
         .sortWithinPartitions("part", "tail", F.desc("key"), F.xxhash64("text"))
         .select("part", "tail", "doc_id", "text")
     )
