@@ -7,6 +7,7 @@ form is for the one path a job writes to.
 from __future__ import annotations
 
 from datetime import UTC, datetime
+from string import Formatter
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,14 +17,21 @@ from marketlake.contracts import FILE_FORMATS
 DAY_FOLDER = r"\d{4}-\d{2}-\d{2}"
 
 
+# Where existing lakes keep a batch, and what a batch without a name is called.
+# Dates are written by Python for one path and by Spark for a column of them.
+LAYOUT = "{layer}/{source}/{day}/{entry}"
+DAY = ("%Y-%m-%d", "yyyy-MM-dd")
+STAMP = ("%Y%m%d_%H%M%S", "yyyyMMdd_HHmmss")
+
+
 def check_format(fmt: str) -> str:
     if fmt not in FILE_FORMATS:
-        raise ValueError(f"Unsupported format: {fmt}. Use 'parquet' or 'json'")
+        raise ValueError(f"Unsupported format: {fmt} is none of {', '.join(FILE_FORMATS)}")
     return fmt
 
 
 def run_id(source: str, date: datetime) -> str:
-    return f"{source}_{date:%Y%m%d_%H%M%S}"
+    return f"{source}_{date.strftime(STAMP[0])}"
 
 
 def lake_path(
@@ -35,10 +43,10 @@ def lake_path(
 ) -> str:
     """Path of one batch, relative to the lake root."""
     date = date or datetime.now(UTC)
-    name = filename or run_id(source, date)
-    if not name.endswith(f".{fmt}"):
-        name = f"{name}.{fmt}"
-    return f"{layer}/{source}/{date:%Y-%m-%d}/{name}"
+    stem = (filename or run_id(source, date)).removesuffix(f".{fmt}")
+    return LAYOUT.format(
+        layer=layer, source=source, day=date.strftime(DAY[0]), entry=f"{stem}.{fmt}"
+    )
 
 
 def lake_path_column(
@@ -49,11 +57,18 @@ def lake_path_column(
     layer: str = "bronze",
 ) -> Column:
     """The same path for every row of a table of batches."""
-    default = F.concat_ws("_", source, F.date_format(date, "yyyyMMdd_HHmmss"))
-    name = default if filename is None else F.coalesce(filename, default)
-    suffix = f".{fmt}"
-    full = F.when(name.endswith(suffix), name).otherwise(F.concat(name, F.lit(suffix)))
-    return F.concat_ws("/", F.lit(layer), source, F.date_format(date, "yyyy-MM-dd"), full)
+    unnamed = F.concat(source, F.lit("_"), F.date_format(date, STAMP[1]))
+    stem = unnamed if filename is None else F.coalesce(filename, unnamed)
+    parts = {
+        "layer": F.lit(layer),
+        "source": source,
+        "day": F.date_format(date, DAY[1]),
+        "entry": F.concat(F.regexp_replace(stem, rf"\.{fmt}$", ""), F.lit(f".{fmt}")),
+    }
+    pieces = []
+    for text, name, _, _ in Formatter().parse(LAYOUT):
+        pieces += [F.lit(text)] * bool(text) + [parts[name]]
+    return F.concat(*pieces)
 
 
 def parse_lake_path(path: Column) -> Column:

@@ -30,7 +30,7 @@ def to_table(
     if isinstance(data, dict):
         data = [data]
     if not isinstance(data, list):
-        raise ValueError(f"Unsupported data type: {type(data)}")
+        raise ValueError(f"Unsupported data type for a table: {type(data).__name__}")
     if not data:
         return spark.createDataFrame([], schema or T.StructType([]))
     if schema is not None:

@@ -62,6 +62,7 @@ def silver_yfinance(
 
 def gold_crypto_prices(silver: DataFrame) -> DataFrame:
     """Coin prices with ratios and labels."""
+    # The columns and their order.
     return silver.select(
         "coin_id",
         "coin_symbol",

@@ -347,12 +347,12 @@ def test_to_table_with_nested_values(spark):
     record = {
         "id": "1",
         "chains": ["Ethereum", "Base"],
-        "hallmarks": [[1700000001, "Start"], [1700000002, "End"]],
+        "milestones": [[1700000001, "Start"], [1700000002, "End"]],
     }
     row = to_table(spark, [record]).first()
-    assert json.loads(row["hallmarks"]) == record["hallmarks"]
+    assert json.loads(row["milestones"]) == record["milestones"]
     assert json.loads(row["chains"]) == record["chains"]
-    del record["hallmarks"]
+    del record["milestones"]
     assert to_table(spark, [record]).first()["chains"] == record["chains"]
 
 
