@@ -118,7 +118,7 @@ class WordIds:
             LAST_SIGN.sub(rb" \g<0>", text.encode("utf-8", "replace").lower()).split()
             for text in texts
         ]
-        new = set().union(*split) - self.known.keys()
+        new = {w for w in set().union(*split) if w not in self.known}
         if len(self.known) + len(new) > CACHED_WORDS:
             self.known = {}
             new = set().union(*split)

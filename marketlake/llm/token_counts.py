@@ -67,7 +67,7 @@ class Lengths:
         try:
             joined = b"".join([known[run] for run in rest])
         except KeyError:
-            new = set(rest) - known.keys()
+            new = {run for run in set(rest) if run not in known}
             if len(known) + len(new) > CACHED_RUNS:
                 known.clear()
                 new = set(rest)
