@@ -35,7 +35,7 @@ CAPACITY = 4096
 NEARLY_FULL = 0.99
 FAN_IN = 8
 MAX_OPEN = 16_384
-CACHED_WORDS = 800_000
+CACHED_WORDS = 500_000
 BATCH_TEXTS = 1000
 
 PIECES = (

@@ -24,6 +24,9 @@ from marketlake.session import configure, scratch_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Rows with whole texts are long, so fewer of them go to Python at once.
+ARROW_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -33,7 +36,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
     def register(run: Query) -> Query:
         def configured(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return run(configure(spark), sf_dir)
+            configure(spark).conf.set(*ARROW_ROWS)
+            return run(spark, sf_dir)
 
         QUERIES[run.__name__] = configured
         if sql:
