@@ -39,7 +39,7 @@ def test_ingest_writes_a_batch_and_a_run_record(lake, landed):
     assert (row["pipeline_id"], row["event"], row["level"]) == (
         "coingecko_20250117_063000", "pipeline_completed", "info",
     )
-    assert (row["rows"], row["columns_count"], row["file_size_bytes"]) == (2, 25, 2 * 25 * 8)
+    assert (row["rows"], row["columns_count"], row["file_size_bytes"]) == (2, 26, 2 * 26 * 8)
     assert (row["answers"], row["rejected"]) == (1, 0)
     assert row["success"] and row["path"] == path and row["total_time_ms"] >= row["load_time_ms"] > 0
 
@@ -57,7 +57,7 @@ def test_ingest_with_partial_failure(lake, landed):
     "source, answers, message",
     [
         ("coingecko", [("1", 200, json.dumps([COIN])), ("2", 500, None)], "answer 2 is failed"),
-        ("defillama", [("p", 200, "{")], "MALFORMED_RECORD"),
+        ("defillama", [("p", 200, "{")], "answer p is malformed"),
         ("fred", [("GDP", 200, "{}")], "No data extracted for any series"),
         ("yahoo_finance", [("X", 404, None)], "No data extracted for any symbol"),
     ],
