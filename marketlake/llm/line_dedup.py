@@ -2,10 +2,12 @@
 
 A line ends at a line break or after a sentence mark with white space behind it, so that a passage
 set into another paragraph shares lines too. Lines are compared without surrounding white space, by
-an 80-bit hash and their number of words. Lines of at least ``anchor_words`` words are rare: chance
-hardly repeats them, so a later holder of such a line is paired with the line's first holder. A line
-that very many documents hold costs one pair for each of them, never their square, so no frequency
-is cut off and nothing is missed for being common.
+an 80-bit hash and their number of words; scripts without spaces are counted by characters. From
+each line on, and up to each line, the shortest run of lines with ``anchor_words`` words is a key,
+however short its lines are. It depends on nothing outside the run, so it is the same in all
+documents that hold the run, and chance hardly repeats it: a later holder of a key is paired with
+the first one. A key that very many documents hold costs one pair for each of them, never their
+square, so no frequency is cut off and nothing is missed for being common.
 Each pair is aligned by patience diff: lines that are unique in both documents, in the longest
 increasing order, then the gaps between them in the same way; where a gap has no unique line, its
 rarest common one is taken. Runs of aligned neighbouring lines with ``min_block_words`` words or
@@ -164,6 +166,47 @@ def without(text: str, gone: list[int]) -> str:
     return "\n".join(kept)
 
 
+#: Signs of scripts without spaces: Han and kana, a word each, and Thai, Lao, Burmese and Khmer,
+#: whose words have about four.
+SPACELESS = re.compile(
+    r"([\u3040-\u30ff\u31f0-\u31ff\u3400-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff])"
+    r"|[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff]{1,4}"
+)
+
+
+def count_words(line: str) -> int:
+    """The number of words; signs of scripts without spaces part the words around them."""
+    if line.isascii():
+        return len(line.split())
+    rest, signs = SPACELESS.subn(" ", line)
+    return len(rest.split()) + signs
+
+
+def run_bounds(counts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and behind-last lines of the shortest runs of ``least`` words from and up to each line.
+
+    Every run of so many words is the union of those inside it, but for empty lines around it.
+    """
+    total = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+    own = np.flatnonzero(counts)
+    start, end = own[total[own] + least <= total[-1]], own[total[own + 1] >= least] + 1
+    starts = np.concatenate([start, np.searchsorted(total, total[end] - least, "right") - 1])
+    ends = np.concatenate([np.searchsorted(total, total[start] + least), end])
+    both = np.unique(np.stack([starts, ends], axis=1), axis=0)
+    return both[:, 0], both[:, 1]
+
+
+def run_keys(keys: bytes, least: int) -> np.ndarray:
+    """Signed 64-bit hashes of the shortest runs of lines with ``least`` words, each once."""
+    from xxhash import xxh3_64_intdigest
+
+    counts = np.frombuffer(keys, np.uint8).reshape(-1, 12)[:, 10:].copy().view("<u2").reshape(-1)
+    starts, ends = (12 * x for x in run_bounds(counts, least))
+    bounds = zip(starts.tolist(), ends.tolist(), strict=True)
+    found = [xxh3_64_intdigest(keys[i:j]) for i, j in bounds]
+    return np.unique(np.array(found, np.uint64)).view(np.int64)
+
+
 def line_keys(text: str) -> bytes:
     """Ten bytes of hash and two of the number of words (65535 for more) of each line."""
     from xxhash import xxh3_128_digest
@@ -171,10 +214,9 @@ def line_keys(text: str) -> bytes:
     out = []
     for lines in segments(text):
         for line in lines:
-            words = line.split()
             bare = line.strip()
             out.append(xxh3_128_digest(bare.encode("utf-8", "replace"))[:10])
-            out.append(min(len(words), 65_535).to_bytes(2, "little"))
+            out.append(min(count_words(line), 65_535).to_bytes(2, "little"))
     return b"".join(out)
 
 
@@ -217,31 +259,26 @@ def removed_lines(
         )
     )
 
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                found = []
-                for keys in part.column("keys"):
-                    rows = np.frombuffer(keys.as_buffer(), np.uint8).reshape(-1, 12)
-                    counts = rows[:, 10:].copy().view("<u2").reshape(-1)
-                    own = rows[counts >= anchor_words, :8].copy().view("<i8").reshape(-1)
-                    found.append(np.unique(own))
+                found = [run_keys(k.as_py(), anchor_words) for k in part.column("keys")]
                 repeat = np.repeat(np.arange(len(found)), [len(x) for x in found])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(found)), part.column("doc_id").take(pa.array(repeat))],
                     names=["key", "doc_id"],
                 )
 
-    distinctive = documents.select("doc_id", "keys").mapInArrow(rare, "key long, doc_id long")
+    distinctive = documents.select("doc_id", "keys").mapInArrow(runs, "key long, doc_id long")
     holders = (
         distinctive.groupBy("key")
         .agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
         .where("first_id < last_id")
         .select("key", "first_id")
     )
-    # Only shared lines have holders, so copying these rows for each salt is cheap, and it deals
-    # the holders of one very common line out to many tasks.
+    # Only shared runs have holders, so copying these rows for each salt is cheap, and it deals
+    # the holders of one very common run out to many tasks.
     salted = holders.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
     pairs = cut(

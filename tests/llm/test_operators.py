@@ -144,6 +144,39 @@ def test_line_dedup_finds_a_passage_inside_another_paragraph(spark):
     assert kept[2] == "Quite another text.\nWith words before Sentence number 0 tells something that no other sentence tells. Then more.\nLast."
 
 
+def shared_lines(texts, least=30):
+    """By brute force: the lines of each text in runs of ``least`` words that an earlier text has."""
+    lines = [[x.strip() for row in line_dedup.segments(t) for x in row] for t in texts]
+    gone = []
+    for k, own in enumerate(lines):
+        lost = set()
+        for i in range(len(own)):
+            for j in range(i + 1, len(own) + 1):
+                run = own[i:j]
+                if sum(map(line_dedup.count_words, run)) >= least and any(
+                    run == earlier[p : p + j - i] for earlier in lines[:k] for p in range(len(earlier))
+                ):
+                    lost |= set(range(i, j))
+        gone.append(sorted(lost))
+    return gone
+
+
+def removed(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = line_dedup.drop_shared_passages(docs, removed="gone").collect()
+    return [r["gone"] for r in sorted(rows, key=lambda r: r["doc_id"])]
+
+
+def test_line_dedup_finds_copies_of_short_lines(spark):
+    verse = "\n".join(f"verse {k} goes on" for k in range(12))
+    shout = " ".join(f"WORD{k}!! AGAIN{k}!!" for k in range(20))
+    han = "\n".join("".join(chr(0x4E00 + 97 * k + n) for n in range(9)) for k in range(5))
+    texts = [verse, shout, han, f"A new\n{verse}\nend.", f"He said:\n{shout}", f"{han}\n\u597d", verse]
+    gone = removed(spark, texts)
+    assert gone == shared_lines(texts)
+    assert gone[3:] == [[*range(1, 13)], [*range(1, 41)], [*range(5)], [*range(12)]]
+
+
 # --- language model -------------------------------------------------------------------
 
 
