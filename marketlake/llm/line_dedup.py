@@ -3,16 +3,18 @@
 A line ends at a line break or after a sentence mark with white space behind it, so that a passage
 set into another paragraph shares lines too. Lines are compared without surrounding white space, by
 an 80-bit hash and their number of words; scripts without spaces are counted by characters. From
-each line on, and up to each line, the shortest run of lines with ``anchor_words`` words is a key,
+each line on, and up to each line, the shortest run of lines with ``min_block_words`` words is a key,
 however short its lines are. It depends on nothing outside the run, so it is the same in all
-documents that hold the run, and chance hardly repeats it: a later holder of a key is paired with
-the first one. A key that very many documents hold costs one pair for each of them, never their
-square, so no frequency is cut off and nothing is missed for being common.
+documents that hold the run. A later holder of a key is paired with the first one, which holds the
+whole run: runs inside a shared passage cover it, so whatever is to go is in some pair. A key that
+very many documents hold costs one pair for each of them, never their square, so no frequency is cut
+off and nothing is missed for being common.
 Each pair is aligned by patience diff: lines that are unique in both documents, in the longest
 increasing order, then the gaps between them in the same way; where a gap has no unique line, its
 rarest common one is taken. Runs of aligned neighbouring lines with ``min_block_words`` words or
 more are deleted from the later document. Alignment goes on with what is left until it finds
-nothing more, so that moved and repeated blocks go as well. Every deleted block stays in an earlier
+nothing more, so that moved and repeated blocks go as well, and runs that stay out of order beside
+longer chains of single lines are looked up in the end. Every deleted block stays in an earlier
 document: the first holder of a line never loses it to another.
 
 Earlier is the smaller doc_id. Defined results: rows without doc_id have no place in the order and
@@ -37,7 +39,6 @@ from pyspark.sql import types as T
 
 from marketlake.llm.common import cut
 
-ANCHOR_WORDS = 8
 MIN_BLOCK_WORDS = 30
 SALTS = 32
 
@@ -133,7 +134,26 @@ def shared_blocks(later: list, words: list[int], earlier: list, min_words: int)
         gone += found
         out = set(found)
         left = [k for k in left if k not in out]
-    return sorted(gone)
+    return sorted({*gone, *_crossing(later, words, left, earlier, min_words)})
+
+
+def _crossing(
+    later: list, words: list[int], left: list[int], earlier: list, min_words: int
+) -> list[int]:
+    """Lines of the shortest runs of ``min_words`` words with a line that is left, held anywhere."""
+    if not any(words[k] for k in left):
+        return []
+    still, held = set(left), {}
+    gone: list[int] = []
+    for i, j in zip(*(x.tolist() for x in run_bounds(np.array(words), min_words)), strict=True):
+        if still.isdisjoint(range(i, j)):
+            continue
+        n = j - i
+        if n not in held:
+            held[n] = {tuple(earlier[p : p + n]) for p in range(len(earlier) - n + 1)}
+        if tuple(later[i:j]) in held[n]:
+            gone += range(i, j)
+    return gone
 
 
 SENTENCE_END = re.compile(r"[.!?…。！？]+[^\S\n]+")
@@ -232,12 +252,7 @@ def _free_name(taken: list[str], stem: str) -> str:
     return name
 
 
-def removed_lines(
-    docs: DataFrame,
-    *,
-    anchor_words: int = ANCHOR_WORDS,
-    min_block_words: int = MIN_BLOCK_WORDS,
-) -> DataFrame:
+def removed_lines(docs: DataFrame, *, min_block_words: int = MIN_BLOCK_WORDS) -> DataFrame:
     """(doc_id, version, gone) of documents that lose lines: a hash of the text, line numbers."""
     source = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
@@ -263,7 +278,7 @@ def removed_lines(
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                found = [run_keys(k.as_py(), anchor_words) for k in part.column("keys")]
+                found = [run_keys(k.as_py(), min_block_words) for k in part.column("keys")]
                 repeat = np.repeat(np.arange(len(found)), [len(x) for x in found])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(found)), part.column("doc_id").take(pa.array(repeat))],
@@ -317,7 +332,6 @@ def removed_lines(
 def drop_shared_passages(
     docs: DataFrame,
     *,
-    anchor_words: int = ANCHOR_WORDS,
     min_block_words: int = MIN_BLOCK_WORDS,
     removed: str | None = None,
 ) -> DataFrame:
@@ -325,7 +339,7 @@ def drop_shared_passages(
 
     ``removed`` names a column for the numbers of the deleted lines, from 0.
     """
-    gone = removed_lines(docs, anchor_words=anchor_words, min_block_words=min_block_words)
+    gone = removed_lines(docs, min_block_words=min_block_words)
     key, version, lost = (_free_name(docs.columns, s) for s in ("_key", "_version", "_lost"))
     joined = docs.withColumns(
         {key: F.col("doc_id").cast("long"), version: F.xxhash64(F.col("text").cast("string"))}

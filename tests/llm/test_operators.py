@@ -177,6 +177,32 @@ def test_line_dedup_finds_copies_of_short_lines(spark):
     assert gone[3:] == [[*range(1, 13)], [*range(1, 41)], [*range(5)], [*range(12)]]
 
 
+def test_line_dedup_finds_the_holder_of_the_whole_passage(spark):
+    lines = [f"Line {k} of the passage has as many as ten words." for k in range(4)]
+    alone = [f"{line} Text {k} has nothing else of it." for k, line in enumerate(lines)]
+    passage = " ".join(lines)
+    texts = [*alone, f"Once. {passage} Over.", f"Twice. {passage} Done."]
+    gone = removed(spark, texts)
+    assert gone == shared_lines(texts)
+    assert gone[-1] == [1, 2, 3, 4]
+
+
+def test_line_dedup_is_that_of_brute_force(spark):
+    rng = np.random.default_rng(5)
+    pool = [" ".join(f"w{k}x{n}" for n in range(rng.integers(1, 20))) for k in range(25)]
+    texts = []
+    for _ in range(150):
+        own = [pool[k] for k in rng.integers(0, 25, rng.integers(1, 12))]
+        if texts:
+            source = texts[rng.integers(len(texts))].split("\n")
+            at = rng.integers(len(source))
+            own[rng.integers(len(own)) :] = source[at : at + rng.integers(1, 9)]
+        texts.append("\n".join(own))
+    expected = shared_lines(texts)
+    assert sum(map(len, expected)) > 100
+    assert removed(spark, texts) == expected
+
+
 # --- language model -------------------------------------------------------------------
 
 
