@@ -100,10 +100,10 @@ def features(text: str | None, weights: Weights) -> list[float]:
     strong = [k for k in hits if weight[k] >= 5.0]
     mixed = MIXED.findall(text)
     plain = sum(weights[m.lower().translate(LOOKALIKES)] > 0 for m in mixed)
+    persons = np.array([k for k, w in enumerate(words) if w in SECOND_PERSON])
     close, total = 0, 0.0
     if hits:
         total = sum(weight[k] for k in hits)
-        persons = np.array([k for k, w in enumerate(words) if w in SECOND_PERSON])
         if len(persons):
             at = np.searchsorted(persons, hits)
             after = persons[np.minimum(at, len(persons) - 1)]
@@ -120,7 +120,7 @@ def features(text: str | None, weights: Weights) -> list[float]:
         total / n,
         max((weight[k] for k in hits), default=0.0),
         math.log1p(close),
-        sum(w in SECOND_PERSON for w in words) / n if len(words) < 200_000 else 0.0,
+        len(persons) / n,
         len(CAPITAL.findall(text)) / chars,
         len(SHOUT.findall(text)) / n,
         len(CLAIM.findall(text)) / n,

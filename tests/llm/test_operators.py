@@ -359,6 +359,12 @@ def test_toxicity_on_rows_it_did_not_learn_from(spark):
     assert wins > 0.75
 
 
+def test_second_person_counts_in_texts_of_any_length():
+    weights = toxicity.Weights({})
+    few, many = (toxicity.features("you and they " * n, weights) for n in (10, 80_000))
+    assert few[9] == many[9] == 1 / 3
+
+
 def test_toxicity_of_odd_rows(docs, labels, nothing):
     got = toxicity.score_documents(docs, labels).collect()
     assert sorted((r["doc_id"] for r in got), key=str) == sorted((i for i, _ in ROWS), key=str)
