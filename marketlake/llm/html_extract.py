@@ -52,7 +52,7 @@ ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""
 HINTED = ("class", "id", "role", "style", "hidden", "aria-hidden", "aria-label", "itemprop")
 
 #: Elements of the standard, by what they do to text.
-RAW = frozenset("script style textarea title noscript iframe template noembed noframes xmp svg math select datalist object canvas audio video head".split())
+RAW = frozenset("script style textarea title iframe template noembed noframes xmp datalist object canvas audio video head".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt "
@@ -76,14 +76,15 @@ LIST_SCOPE = frozenset("ul ol dl table select menu".split())
 CONTENT_TAGS = frozenset(["article", "main"])
 OUTSIDE_TAGS = frozenset("nav footer aside form menu dialog button fieldset search".split())
 CONTENT_HINT = re.compile(r"\b(?:article|main|content|post|entry|story|body-?text)\b|articlebody", re.I)
-OUTSIDE_HINT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|banner|sponsor(?:ed)?|promo(?:tion)?s?|cookies?|consent|gdpr|"
+OUTSIDE_WORD = (
+    r"(?:ads?|adverts?|advertisements?|banner|sponsor(?:ed)?|promo(?:tion)?s?|cookies?|consent|gdpr|"
     r"notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|"
     r"related|recommend(?:ed|ations?)?|side-?bar|widgets?|menus?|nav(?:bar|igation)?|breadcrumbs?|"
     r"pagination|pager|foot(?:er)?|masthead|topbar|toolbar|comments?|comment-?list|respon(?:d|ses)|replies|reply|"
-    r"disqus|discussion|copyright|disclaimer|hidden|sr-only|complementary|contentinfo|search)(?:$|[\s_-]|\d)",
-    re.I,
+    r"disqus|discussion|copyright|disclaimer|hidden|sr-only|complementary|contentinfo|search)\d*"
 )
+#: Names made of such words and numbers only: "has-sidebar" and "no-comments" say something else.
+OUTSIDE_HINT = re.compile(rf"(?:^|\s){OUTSIDE_WORD}(?:[_-](?:{OUTSIDE_WORD}|\d+))*(?=\s|$)", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -199,11 +200,10 @@ def blocks_of(page: str) -> list[Block]:
             if name == "head":
                 continue
             lowered = page.lower() if lowered is None else lowered
-            if not attributes.rstrip().endswith("/") or name not in ("svg", "math"):
-                end = lowered.find(f"</{name}", at)
-                at = size if end < 0 and name in ("script", "style", "textarea", "title", "xmp") else (
-                    at if end < 0 else end
-                )
+            end = lowered.find(f"</{name}", at)
+            at = size if end < 0 and name in ("script", "style", "textarea", "title", "xmp") else (
+                at if end < 0 else end
+            )
             continue
         if name == "br" or name == "wbr":
             if name == "br":
@@ -219,7 +219,7 @@ def blocks_of(page: str) -> list[Block]:
                 scope = LIST_SCOPE
                 while depth := nearest(CLOSES_SAME[name], scope):
                     pop_to(depth)
-        if name in VOID:
+        if name in VOID or name in ("svg", "math") and attributes.rstrip().endswith("/"):
             continue
         if name == "a":
             depth = nearest(frozenset(["a"]), BLOCK)
@@ -231,7 +231,10 @@ def blocks_of(page: str) -> list[Block]:
         if name in CONTENT_TAGS or name in OUTSIDE_TAGS or name in ("header", "li", "table", "blockquote", "pre"):
             inside = inside | {name}
         hint = _hint(name, attributes)
-        hint = -1 if -1 in (hint, above.hint) else max(hint, above.hint)
+        # The outermost article or main part is judged by the cut, whatever its wrappers are called.
+        outermost = name in CONTENT_TAGS and above.inside.isdisjoint(CONTENT_TAGS)
+        inherited = 0 if outermost else above.hint
+        hint = -1 if -1 in (hint, inherited) else max(hint, inherited)
         stack.append(_Element(name, next(numbers), inside, hint))
     flush()
     return blocks

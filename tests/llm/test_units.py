@@ -303,6 +303,20 @@ def test_main_text_without_marks_and_of_odd_pages():
     assert html_extract.main_text("<article>" + "<div>" * 5000 + "deep") == "deep"
 
 
+def test_main_text_keeps_formulas_and_articles_in_hinted_wrappers():
+    text = "This is a long paragraph of plain text, with several clauses, that goes on for a while."
+    page = f"<article><p>{text} <math><mi>E</mi><mo>=</mo><mi>m</mi></math></p><noscript><p>{text}</p></noscript></article>"
+    assert html_extract.main_text(page) == f"{text} E=m\n{text}"
+    for name in ("layout has-sidebar", "content no-comments", "with-footer", "sidebar"):
+        page = f'<div class="{name}"><article><p>{text}</p><p>{text}</p></article></div>'
+        assert html_extract.main_text(page) == f"{text}\n{text}"
+    page = f'<div class="has-sidebar"><div><p>{text}</p><p>{text}</p></div></div>'
+    assert html_extract.main_text(page) == f"{text}\n{text}"
+    for name in ("sidebar", "ad-banner-2", "cookie-notice", "comments"):
+        page = f'<div><p>{text}</p></div><div class="x {name}"><p>No {text}</p></div>'
+        assert html_extract.main_text(page) == text
+
+
 def test_boosting_separates_and_calibrates():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 4))
