@@ -173,15 +173,15 @@ class Matcher:
                     yield item_id, edits, len(pattern), begin, stop
 
 
-def _shards(items: DataFrame, shard_chars: int) -> list[list[tuple[int | None, str]]]:
+def _shards(items: DataFrame, shard_chars: int) -> Iterator[list[tuple[int | None, str]]]:
+    """The items in shards of about ``shard_chars``, one on the driver at a time."""
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     rows = rows.where(F.col("text").isNotNull())
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     count = max(1, -(-total // shard_chars))
     shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
-    return [
-        sorted(map(tuple, rows.where(shard == k).collect()), key=repr) for k in range(count)
-    ]
+    for k in range(count):
+        yield sorted(map(tuple, rows.where(shard == k).collect()), key=repr)
 
 
 def _matcher(held) -> Matcher:

@@ -81,8 +81,17 @@ from hashed join digests using (hex) join largest using (hex)
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_root(spark)
     warc.write_archive(table(spark, sf_dir, "pages"), path, min_revisit_bytes=0)
-    return warc.read_archive(spark, path, with_bytes=False).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    # The bytes are those of the rebuilt record of a response; a revisit has its payload elsewhere.
+    headers = F.length("warc_header") + F.length("http_header") + F.lit(len(2 * warc.EOL))
+    rebuilt = F.when(F.col("record_type") == "response", F.length("record") - headers).otherwise(
+        F.length("payload")
+    )
+    return warc.read_archive(spark, path).select(
+        "page_id",
+        rebuilt.cast("long").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        "refers_to",
     )
 
 

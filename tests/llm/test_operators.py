@@ -485,6 +485,13 @@ def test_benchmark_passages_are_found_and_clean_documents_stay(spark, result, do
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in documents} - bad
 
 
+def test_benchmark_shards_reach_the_driver_one_by_one(spark):
+    items = spark.createDataFrame([(k, f"item {k} of the test") for k in range(6)], "item_id long, text string")
+    shards = decontaminate._shards(items, 40)
+    assert iter(shards) is shards
+    assert sorted(i for shard in shards for i, _ in shard) == list(range(6))
+
+
 def test_decontamination_of_odd_rows(spark, docs, nothing):
     items = spark.createDataFrame(
         [(1, "one two three"), (2, None), (3, ""), (None, "?!"), (1, "one two three"), (4, LONG)],
@@ -577,6 +584,13 @@ def test_archive_of_nothing_and_small_payloads(spark, pages, tmp_path):
     assert types == {"response"}
 
 
+def test_archive_query_rebuilds_the_records(spark, monkeypatch):
+    read, asked = warc.read_archive, []
+    monkeypatch.setattr(warc, "read_archive", lambda *a, **k: asked.append(k) or read(*a, **k))
+    plan = QUERIES["op10_warc"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert asked == [{}] and "length(concat(" in plan
+
+
 def test_damaged_archive_fails(spark, pages, tmp_path):
     path = str(tmp_path / "archive")
     warc.write_archive(pages, path)
