@@ -9,9 +9,6 @@ emptiest ones; fuller ones are final as they are, so no task holds more than
 
 Pieces move through a shuffle only if their first bin stayed underfull.
 
-Words between ASCII white space are encoded once per Python worker and looked up afterwards. This
-gives the ids of encoding whole texts, as the tokenizer drops white space before it splits words.
-
 Defined results: a null text is empty and has the end id alone; a null doc_id is kept as null; each
 row is packed, also one that repeats; ties go by order of length, id and position; an empty
 table gives no rows. Other columns are ignored.
@@ -19,7 +16,6 @@ table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import cut
+from marketlake.llm.word_ids import encoder
 
 CAPACITY = 4096
 NEARLY_FULL = 0.99
 FAN_IN = 8
 MAX_OPEN = 16_384
-CACHED_WORDS = 500_000
 BATCH_TEXTS = 1000
 
 PIECES = (
@@ -93,76 +89,6 @@ def pack(
     return order, bins, offsets, fills[bins] if len(bins) else bins, closed[bins]
 
 
-#: A full stop or comma between a letter or digit and white space, which the tokenizer makes a
-#: piece of its own anyway.
-LAST_SIGN = re.compile(rb"(?<=[a-z0-9])[.,](?=[\x09-\x0d ]|\Z)")
-
-#: Words up to here in Unicode are one piece if they have letters only.
-LATIN_END = "\u0250"
-
-
-class WordIds:
-    """The ids of words as bytes, 4 a piece, little-endian."""
-
-    def __init__(self, tokenizer_path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        ids = self.tokenizer.get_vocab()
-        self.ends_word = np.zeros(max(ids.values()) + 1, bool)
-        self.ends_word[[k for token, k in ids.items() if token.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [
-            LAST_SIGN.sub(rb" \g<0>", text.encode("utf-8", "replace").lower()).split()
-            for text in texts
-        ]
-        new = {w for w in set().union(*split) if w not in self.known}
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known = {}
-            new = set().union(*split)
-        self._learn(new)
-        look_up = self.known.__getitem__
-        return [b"".join(map(look_up, words)) for words in split]
-
-    def _learn(self, new: set[bytes]) -> None:
-        plain, other = [], []
-        for word in new:
-            text = word.decode("utf-8").lower()
-            single = text.isalpha() and max(text) < LATIN_END
-            (plain if single else other).append((word, text if single else word.decode("utf-8")))
-        for at in range(0, len(plain), 4000):
-            part = plain[at : at + 4000]
-            joined = " ".join(text for _, text in part)
-            ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, dtype="<u4")
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) != len(part):
-                other += part
-                continue
-            data = ids.tobytes()
-            start = 0
-            for (word, _), end in zip(part, (4 * ends).tolist(), strict=True):
-                self.known[word] = data[start:end]
-                start = end
-        encoded = self.tokenizer.encode_batch([t for _, t in other], add_special_tokens=False)
-        for (word, _), one in zip(other, encoded, strict=True):
-            self.known[word] = np.array(one.ids, dtype="<u4").tobytes()
-
-
-_ENCODERS: dict[str, WordIds] = {}
-
-
-def encoder(tokenizer_path: str) -> WordIds:
-    """One per Python worker."""
-    import os
-
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    if tokenizer_path not in _ENCODERS:
-        _ENCODERS[tokenizer_path] = WordIds(tokenizer_path)
-    return _ENCODERS[tokenizer_path]
-
-
 def text_groups(
     batches: Iterator[pa.RecordBatch], size: int
 ) -> Iterator[tuple[list[int | None], list[str]]]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,13 +12,16 @@ from marketlake.llm import (
     decontaminate,
     fingerprints,
     html_extract,
+    importance,
     line_dedup,
     lm_scoring,
     packing,
+    periodic_runs,
     simhash,
     token_counts,
     toxicity,
     warc,
+    window_packing,
 )
 from marketlake.llm.common import table
 from marketlake.session import configure, scratch_root
@@ -160,3 +164,111 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(
         table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), modulus=7, held_out=2
     )
+
+
+def _planted_repeats(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Every tenth text, by its id, repeats the words after some place until its end."""
+    h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * -(-(n - a) // p))[: n - a]
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(
+        table(spark, sf_dir, "documents"), min_length=24, min_exponent=3, rewrite=_planted_repeats
+    )
+    lines = F.transform(
+        "runs",
+        lambda r: F.concat(
+            F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")
+        ),
+    )
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query()
+def op12_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_packing.pack_windows(
+        table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), capacity=2048, end_id=1
+    )
+
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+_IMPORTANCE_SQL = f"""
+with remainders as (
+  select list(list_reduce(list_prepend(n, range(8)),
+    lambda c, k: case when c % 2 = 1 then xor(3988292384, c // 2) else c // 2 end) order by n) as part
+  from range(256) r(n)
+),
+own as (select row_number() over () as r, doc_id, {_WORDS} as w from documents),
+features as (select r, unnest(w) as f from own),
+wanted as (select unnest({_WORDS}) as f from benchmark),
+kinds as (select f, hex(encode(f)) as digits from (select f from features union select f from wanted)),
+hashed as (
+  select f, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(length(digits) // 2),
+      lambda i: cast('0x' || substr(digits, 2 * i + 1, 2) as bigint))),
+    lambda c, b: xor(c // 256, part[1 + xor(c, b) % 256]))) % 10000 as bucket
+  from kinds, remainders
+),
+sources as (select bucket, count(*) as s from features join hashed using (f) group by bucket),
+targets as (select bucket, count(*) as t from wanted join hashed using (f) group by bucket),
+totals as (select (select count(*) from features) as all_s, (select count(*) from wanted) as all_t),
+gains as (
+  select bucket, floor(1000 * ln(
+    (coalesce(t, 0) + 1)::double * (all_s + 10000)::double
+    / ((coalesce(s, 0) + 1)::double * (all_t + 10000)::double)))::bigint as gain
+  from (select range as bucket from range(10000)) left join sources using (bucket)
+    left join targets using (bucket), totals
+),
+weighed as (
+  select r, count(*) as n, floor(sum(gain)::double / count(*))::bigint as weight
+  from features join hashed using (f) join gains using (bucket) group by r
+),
+scored as (
+  select doc_id, coalesce(n, 0) as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln(
+      (cast('0x' || substr(sha256('2024:' || doc_id), 1, 8) as bigint) + 0.5::double) / 4294967296::double)))::bigint as score
+  from own left join weighed using (r)
+),
+drawn as (
+  select *, n_features >= 20 as eligible,
+    row_number() over (partition by n_features >= 20 order by score desc, doc_id) as place,
+    count(*) filter (n_features >= 20) over () as n
+  from scored
+)
+select doc_id, n_features, weight, score,
+  case when eligible and place <= 10 * n // 100 then place end as rank
+from drawn
+"""
+
+
+@query(_IMPORTANCE_SQL)
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(
+        table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "benchmark"),
+        max_words=1,
+        buckets=10_000,
+        seed="2024",
+        min_words=20,
+        percent=10,
+    )
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
