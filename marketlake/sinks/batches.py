@@ -37,6 +37,41 @@ def write_batch(
     return relative
 
 
+def write_days(
+    lake: Lake,
+    df: DataFrame,
+    day_column: str,
+    source: str,
+    filename: str,
+    fmt: str = "parquet",
+    layer: str = "bronze",
+) -> list[str]:
+    """Write a batch that has rows of several days, in one job; returns a path per day.
+
+    Every day's rows become a batch of that name in the folder of the day. Days of an earlier write
+    under the same name are replaced one by one, so a write that broke off can be repeated.
+    """
+    spark = lake.spark
+    check_format(fmt)
+    staged = files.staging_path(lake.path(layer, source, filename))
+    writer = df.write.partitionBy(day_column)
+    if fmt == "json":
+        writer = writer.option("ignoreNullFields", False)
+    written = []
+    try:
+        writer.format(fmt).save(staged)
+        for folder in files.folder_names(spark, staged):
+            _, assigned, day = folder.partition("=")
+            if not assigned:
+                continue
+            relative = lake_path(source, datetime.fromisoformat(day), filename, fmt, layer)
+            files.replace(spark, f"{staged}/{folder}", lake.path(relative))
+            written.append(relative)
+    finally:
+        files.discard(spark, staged)
+    return written
+
+
 def write_folder(
     lake: Lake,
     df: DataFrame,
@@ -52,7 +87,7 @@ def write_folder(
     write and goes first.
     """
     spark = lake.spark
-    if files.exists(spark, f"{target}/{files.WRITING}"):
+    if files.is_unfinished(spark, target):
         files.discard(spark, target)
     replacing = files.exists(spark, target)
     place = files.staging_path(target) if replacing else target
@@ -67,6 +102,7 @@ def write_folder(
             accept()
     except Exception:
         files.discard(spark, place)
+        files.mark_finished(spark, place)
         raise
     files.mark_finished(spark, place)
     if replacing:

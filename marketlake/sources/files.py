@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
 
+from marketlake.functions.paths import DAY_FOLDER
 
-#: In a batch folder while it is being written.
-WRITING = "_WRITING"
+#: Beside the day folders of a source; has a mark for each batch that is being written.
+WRITING = "_writing"
 
 
 def _open(spark: SparkSession, path: str):
@@ -29,22 +31,46 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(handle) if s.isDirectory())
 
 
+def _mark_of(target: str) -> str:
+    """The mark of a batch stands beside its day folder, that of another folder beside itself."""
+    parent, _, name = target.rstrip("/").rpartition("/")
+    holder, _, day = parent.rpartition("/")
+    if re.fullmatch(DAY_FOLDER, day):
+        return f"{holder}/{WRITING}/{day}/{name}"
+    return f"{parent}/{WRITING}/{name}"
+
+
 def unfinished_folders(spark: SparkSession, roots: list[str]) -> list[str]:
     """Batches below the roots that carry the mark of a running or broken write.
 
-    A writer of this library leaves the mark from before its first file until its last one is
-    published. Files put there by others carry none and are finished.
+    A root is the folder of a source, a day folder or a batch, so its marks are beside it or up to
+    two folders above: a call or two per source, however many days and batches it has. A writer of
+    this library leaves the mark from before its first file until its last one is published. Files
+    put there by others carry none and are finished.
     """
-    found = []
+    holders: set[str] = set()
     for root in roots:
-        fs, _ = _open(spark, root)
-        for depth in range(3):
-            pattern = spark._jvm.org.apache.hadoop.fs.Path(root + "/*" * depth + f"/{WRITING}")
-            for status in fs.globStatus(pattern) or []:
-                found.append(status.getPath().getParent().toString())
+        folder = root.rstrip("/")
+        for _ in range(3):
+            holders.add(folder)
+            folder = folder.rpartition("/")[0]
+    found = []
+    for holder in sorted(filter(None, holders)):
+        fs, handle = _open(spark, f"{holder}/{WRITING}")
+        if not fs.exists(handle):
+            continue
+        base = fs.makeQualified(handle).toString()
+        marks = fs.listFiles(handle, True)
+        while marks.hasNext():
+            inner = marks.next().getPath().toString()[len(base) :]
+            found.append(base.removesuffix(f"/{WRITING}") + inner)
     return found
 
 
+def is_unfinished(spark: SparkSession, target: str) -> bool:
+    return exists(spark, _mark_of(target))
+
+
 def first_files(spark: SparkSession, roots: list[str], suffix: str, limit: int) -> list[str]:
     """Up to ``limit`` files below the roots, without hidden ones."""
     found: list[str] = []
@@ -63,14 +89,13 @@ def first_files(spark: SparkSession, roots: list[str], suffix: str, limit: int)
 
 
 def mark_writing(spark: SparkSession, path: str) -> None:
-    fs, handle = _open(spark, path)
-    fs.mkdirs(handle)
-    fs.create(spark._jvm.org.apache.hadoop.fs.Path(handle, WRITING), True).close()
+    fs, handle = _open(spark, _mark_of(path))
+    fs.create(handle, True).close()
 
 
 def mark_finished(spark: SparkSession, path: str) -> None:
-    fs, handle = _open(spark, path)
-    fs.delete(spark._jvm.org.apache.hadoop.fs.Path(handle, WRITING), False)
+    fs, handle = _open(spark, _mark_of(path))
+    fs.delete(handle, False)
 
 
 def make_folder(spark: SparkSession, path: str) -> None:
@@ -90,6 +115,8 @@ def replace(spark: SparkSession, staged: str, target: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path
     old = path(staging_path(target))
     had_old = fs.exists(target_handle)
+    if not had_old:
+        fs.mkdirs(target_handle.getParent())
     if had_old and not fs.rename(target_handle, old):
         raise OSError(f"cannot move {target} aside")
     if not fs.rename(path(staged), target_handle):

@@ -2,10 +2,10 @@
 
 An answer is one row: source, request key, status, body. Each source has a rule that says where
 its records are, and what happens to answers that failed or look different. A body is parsed
-once, into the text of each field of each record; the contract's columns are cast from it, and
-the fields it does not name can be kept beside them. Nothing is shuffled. An answer with a value
-that does not fit its column is a misfit, for whichever columns are selected: ``answers``,
-``rejects`` and ``decode`` agree on it.
+once, into the text of each field of the contract, and each text is cast once; only if the fields
+that the contract does not name are to be kept, a second pass finds them. Nothing is shuffled. An
+answer with a value that does not fit its column is a misfit, for whichever columns are selected:
+``answers``, ``rejects`` and ``decode`` agree on it.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ FAILED, MALFORMED, UNEXPECTED, IGNORED = "failed", "malformed", "unexpected", "i
 MISFIT, EMPTY, RECORDS = "misfit", "empty", "records"
 REJECTED = (FAILED, MALFORMED, UNEXPECTED, IGNORED, MISFIT)
 
-# A record as it is parsed: the text of each of its fields.
+# All fields of a record by name, as text.
 FIELDS = T.MapType(T.StringType(), T.StringType())
 # The column for fields that a contract does not name.
 REST = "other_fields"
@@ -135,8 +135,15 @@ def _result_rows(element: T.DataType) -> Parsed:
 
 
 def _bars(element: T.DataType) -> Parsed:
-    """A list of bars; without any date field it is no such list. A single empty date stays."""
-    dated = F.exists("listed", lambda bar: F.map_contains_key(bar, F.lit("Date")))
+    """A list of bars; without any date field it is no such list. A single empty date stays.
+
+    Names of fields without a value are looked for only if no bar has a date.
+    """
+    dated = F.exists(
+        F.from_json("body", T.ArrayType(FIELDS)), lambda bar: F.map_contains_key(bar, F.lit("Date"))
+    )
+    if isinstance(element, T.StructType) and "Date" in element.fieldNames():
+        dated = F.exists("listed", lambda bar: bar["Date"].isNotNull()) | dated
     trouble = F.when(_no_json(), MALFORMED).otherwise(IGNORED)
     return Parsed(F.when(dated | (F.size("listed") == 0), F.col("listed")), trouble)
 
@@ -196,45 +203,81 @@ def read_landed_documents(spark: SparkSession, path: str, source: str) -> DataFr
     )
 
 
-def answers(landed: DataFrame, source: str, contract: T.StructType | None = None) -> DataFrame:
-    """Each answer of a source with its ``outcome`` and its ``records``; nothing is raised."""
+def answers(
+    landed: DataFrame, source: str, contract: T.StructType | None = None, rest: str | None = None
+) -> DataFrame:
+    """Each answer of a source with its ``outcome`` and its ``records``; nothing is raised.
+
+    With a contract a record has its fields as ``text`` and ``typed``, and the others under the
+    name ``rest``, if one is given.
+    """
     rule = rule_of(source)
     contract = contract or rule.contract
-    element = T.VariantType() if contract is None else FIELDS
+    own = [] if contract is None else [f for f in contract.fields if f.name != rule.key_column]
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in own])
+    element = T.VariantType() if contract is None else texts
     usable = F.col("body").isNotNull() & (F.coalesce("status", F.lit(200)) < 400)
-    as_list = F.from_json("body", T.ArrayType(element))
-    columns = [
-        usable.alias("usable"),
-        F.when(usable & _starts_with("["), as_list).alias("listed"),
-    ]
-    if rule.fields:
-        schema = T.StructType([*rule.fields(element), T.StructField(_BAD, T.StringType())])
-        as_object = F.from_json("body", schema, {"columnNameOfCorruptRecord": _BAD})
-        columns.append(F.when(usable & _starts_with("{"), as_object).alias("keyed"))
     read = landed.where(F.col("source") == source).select(
-        "request_key", "fetched_at", "body", *columns
+        "request_key", "fetched_at", "body", usable.alias("usable"), *_shapes(rule, element, usable)
     )
     parsed = rule.find(element)
-    read = read.withColumn("records", parsed.records)
     outcome = (
         F.when(~F.col("usable"), FAILED)
-        .when(F.col("records").isNull(), parsed.trouble)
+        .when(F.col("records").isNull(), F.col("trouble"))
         .when(F.size("records") == 0, EMPTY)
     )
+    read = read.withColumns({"records": parsed.records, "trouble": parsed.trouble})
     if contract is not None:
-        own = [f for f in contract.fields if f.name != rule.key_column]
+        if rest:
+            found = F.col("records").isNotNull()
+            shapes = {c: expression for c, expression in _named_shapes(rule, FIELDS, found)}
+            read = read.withColumns(shapes)
+            maps = F.coalesce(rule.find(FIELDS).records, _none_of(FIELDS))
+            names = [f.name for f in own]
+            pairs = F.zip_with(
+                "records", maps, lambda r, m: _typed(r, own, _others(m, names).alias(rest))
+            )
+        else:
+            pairs = F.transform("records", lambda r: _typed(r, own))
+        read = read.withColumn("records", pairs)
         outcome = outcome.when(F.exists("records", lambda r: _unfit(r, own)), MISFIT)
     outcome = outcome.otherwise(RECORDS)
     return read.select("request_key", "fetched_at", outcome.alias("outcome"), "records")
 
 
+def _named_shapes(rule: Rule, element: T.DataType, usable: Column) -> list[tuple[str, Column]]:
+    """A body as a list and, if the rule asks for it, as an object."""
+    as_list = F.from_json("body", T.ArrayType(element))
+    shapes = [("listed", F.when(usable & _starts_with("["), as_list))]
+    if rule.fields:
+        schema = T.StructType([*rule.fields(element), T.StructField(_BAD, T.StringType())])
+        as_object = F.from_json("body", schema, {"columnNameOfCorruptRecord": _BAD})
+        shapes.append(("keyed", F.when(usable & _starts_with("{"), as_object)))
+    return shapes
+
+
+def _shapes(rule: Rule, element: T.DataType, usable: Column) -> list[Column]:
+    return [shape.alias(name) for name, shape in _named_shapes(rule, element, usable)]
+
+
+def _typed(record: Column, fields: list[T.StructField], *more: Column) -> Column:
+    """The record's texts beside what they are as the columns' types."""
+    typed = F.struct(*(_cast(record[f.name], f.dataType).alias(f.name) for f in fields))
+    return F.struct(record.alias("text"), typed.alias("typed"), *more)
+
+
+def _others(fields: Column, named: list[str]) -> Column:
+    others = F.map_filter(fields, lambda name, _: ~name.isin(named))
+    return F.when(F.size(others) > 0, others)
+
+
 def _unfit(record: Column, fields: list[T.StructField]) -> Column:
     """Whether the record is no object, or a field has a value that its column cannot hold."""
-    found = record.isNull()
+    text, typed = record["text"], record["typed"]
+    found = text.isNull()
     for field in fields:
-        text = record[field.name]
         if not isinstance(field.dataType, T.StringType):
-            found = found | (text.isNotNull() & _cast(text, field.dataType).isNull())
+            found = found | (text[field.name].isNotNull() & typed[field.name].isNull())
     return found
 
 
@@ -256,47 +299,46 @@ def decode(
     contract: T.StructType | None = None,
     counted: Observation | None = None,
     rest: str | None = None,
+    day_column: str | None = None,
+    skip: bool = False,
 ) -> DataFrame:
     """Records of a source, with the columns of its contract.
 
     ``rest`` names a column for all other fields of a record, as a map from name to text; it is
-    NULL where there are none. For a source without a contract the record is one variant
-    column, ``record``. A stopping answer fails the job that evaluates the result. ``counted``
-    learns the number of ``answers`` and of ``rejected`` ones from the first job that evaluates
-    the result.
+    NULL where there are none. ``day_column`` adds the date on which an answer was fetched. For a
+    source without a contract the record is one variant column, ``record``. A stopping answer fails
+    the job that evaluates the result, unless rejected answers are to be skipped. ``counted`` learns
+    the number of ``answers`` and of ``rejected`` ones from the first job that evaluates the result.
     """
     rule = rule_of(source)
     contract = contract or rule.contract
-    read = answers(landed, source, contract)
+    read = answers(landed, source, contract, rest)
     if counted is not None:
         rejected = F.count_if(F.col("outcome").isin(*REJECTED))
         read = read.observe(
             counted, F.count(F.lit(1)).alias("answers"), rejected.alias("rejected")
         )
     usable = F.when(F.col("outcome") == RECORDS, F.col("records"))
-    if rule.stops:
+    if rule.stops and not skip:
         problem = F.concat_ws(
             " ", F.lit(f"{source}: answer"), F.col("request_key"), F.lit("is"), F.col("outcome")
         )
         stop = F.raise_error(problem).cast(read.schema["records"].dataType)
         usable = F.when(F.col("outcome").isin(*rule.stops), stop).otherwise(usable)
-    rows = read.select("request_key", F.explode(usable).alias("record"))
+    days = [F.to_date("fetched_at").alias(day_column)] if day_column else []
+    rows = read.select("request_key", *days, F.explode(usable).alias("record"))
+    days = [day_column] if day_column else []
     if contract is None:
-        return rows.select("record")
-    record = F.col("record")
+        return rows.select("record", *days)
     columns = [
-        (
-            F.col("request_key").cast(f.dataType)
-            if f.name == rule.key_column
-            else _cast(record[f.name], f.dataType)
-        ).alias(f.name)
+        F.col("request_key").cast(f.dataType).alias(f.name)
+        if f.name == rule.key_column
+        else F.col("record.typed")[f.name].alias(f.name)
         for f in contract.fields
     ]
     if rest:
-        named = [f.name for f in contract.fields if f.name != rule.key_column]
-        others = F.map_filter(record, lambda name, _: ~name.isin(named))
-        columns.append(F.when(F.size(others) > 0, others).alias(rest))
-    return rows.select(*columns)
+        columns.append(F.col("record")[rest].alias(rest))
+    return rows.select(*columns, *days)
 
 
 def decode_query_result(

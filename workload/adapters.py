@@ -156,8 +156,7 @@ def _wrap(before: str, after: str) -> Column:
     return F.concat(F.lit(before), F.col("list"), F.lit(after)).alias("body")
 
 
-def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Market pages from ``events``, and answers of another shape from ``nation``."""
+def _event_records(events: DataFrame) -> DataFrame:
     record = F.to_json(
         F.struct(
             F.concat(F.lit("ev-"), "event_id").alias("id"),
@@ -168,13 +167,25 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             *(F.expr(text).alias(name) for name, text in PAGE_FIELDS.items()),
         )
     )
-    records = table(spark, sf_dir, "events").select(record.alias("json"))
-    pages = _pages(records).select(
+    return events.select(record.alias("json"))
+
+
+def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Market pages from ``events``, and answers of another shape from ``nation``."""
+    pages = _pages(_event_records(table(spark, sf_dir, "events"))).select(
         F.col("page").alias("request_key"), F.col("list").alias("body")
     )
     return stack([_landed(pages, "coingecko"), _landed(_odd_answers(spark, sf_dir), "coingecko")])
 
 
+def landed_lot(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
+    """Market pages of one of the three batches of ``events``, fetched on the batch's day."""
+    day, condition = BATCHES[number]
+    pages = _pages(_event_records(table(spark, sf_dir, "events").where(condition)))
+    pages = pages.select(F.col("page").alias("request_key"), F.col("list").alias("body"))
+    return _landed(pages, "coingecko").withColumn("fetched_at", F.lit(day))
+
+
 def _odd_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     message = F.to_json(F.struct(F.col("n_name").alias("message")))
     return table(spark, sf_dir, "nation").select(

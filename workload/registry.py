@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from functools import wraps
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +35,7 @@ from marketlake.sinks.batches import write_batch
 from marketlake.sinks.tables import create_layout, publish_table
 from marketlake.sources import catalog, drift, landing
 from marketlake.sources.lake import Lake
+from marketlake.streaming.ingest import ingest_new
 from workload import adapters
 
 RUN_DATE = date(2024, 2, 1)
@@ -503,6 +505,41 @@ def run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class _Died(Exception):
+    """Stands for a lost driver."""
+
+
+def _die(number: int) -> None:
+    raise _Died(f"after micro-batch {number} was written")
+
+
+@query(f"""
+select 'ev-' || event_id as id, event_type as symbol, value as current_price,
+  cast(user_id as double) as market_cap, event_id as market_cap_rank, {_PAGE_SQL},
+  props as properties, {adapters.BATCH_DAY} as ingest_date
+from events""")
+def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three lots of which the second is late, a run that dies before it commits, a lot landed twice."""
+    lake, landed = _new_lake(spark), scratch_root(spark)
+
+    def land(number: int, name: str) -> None:
+        adapters.landed_lot(spark, sf_dir, number).write.parquet(f"{landed}/{name}")
+
+    land(0, "first")
+    ingest_new(lake, "coingecko", landed)
+    land(2, "third")
+    try:
+        ingest_new(lake, "coingecko", landed, published=_die)
+        raise AssertionError("the run must die")
+    except StreamingQueryException:
+        pass
+    land(1, "late")
+    land(0, "again")
+    ingest_new(lake, "coingecko", landed)
+    read = lake.scan("coingecko", day_column="ingest_date")
+    return read.select("*", F.col(landing.REST)["properties"].alias("properties")).drop(landing.REST)
+
+
 def _bronze(spark: SparkSession, sf_dir: str, *sources: str, sound: bool = False):
     """A lake with bronze from the test tables, and the prefix of its databases.
 
