@@ -1,0 +1,347 @@
+"""Periodic runs, window packing and importance resampling against plain versions, and odd rows."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from marketlake.llm import importance, periodic_runs, window_packing, word_ids
+from marketlake.llm.common import table
+from marketlake.llm.queries import QUERIES, tokenizer
+from tests.conftest import SF_DIR
+from tests.llm.test_operators import DOCS, ROWS
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+@pytest.fixture
+def docs(spark):
+    return spark.createDataFrame(
+        [(i, t, None if i == 7 else "en", "s", len(t or ""), 1, 2, 3, 4, 5, 6) for i, t in ROWS], DOCS
+    ).repartition(3)
+
+
+@pytest.fixture
+def nothing(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    rows = table(spark, SF_DIR, "documents").select("doc_id", "text").collect()
+    return [(r["doc_id"], r["text"]) for r in rows]
+
+
+# --- periodic runs --------------------------------------------------------------------
+
+
+def runs_by_comparing(words, min_length=24, min_exponent=3):
+    """Every stretch that equals itself a period on, with its smallest period."""
+    smallest = {}
+    for q in range(len(words) // min_exponent, 0, -1):
+        k = 0
+        while k < len(words) - q:
+            start = k
+            while k < len(words) - q and words[k] == words[k + q]:
+                k += 1
+            if k > start and k - start + q >= max(min_length, min_exponent * q):
+                smallest[start, k - start + q] = q
+            k += 1
+    return sorted(((s, length, q) for (s, length), q in smallest.items()), key=lambda r: (r[0], r[2]))
+
+
+def without_repeats(words, runs):
+    gone = {k for start, length, q in runs for k in range(start + q, start + length)}
+    return b" ".join(w for k, w in enumerate(words) if k not in gone)
+
+
+def as_tuples(runs):
+    return [(r["start"], r["length"], r["period"]) for r in runs]
+
+
+@pytest.mark.parametrize("min_length, min_exponent", [(24, 3), (4, 2), (1, 2), (9, 4)])
+def test_runs_are_those_of_comparing_all_periods(min_length, min_exponent):
+    rng = random.Random(min_length)
+    for _ in range(150):
+        texts = []
+        for _ in range(rng.randint(1, 5)):
+            kinds, n = rng.randint(1, 4), rng.randint(0, 70)
+            words = [b"%d" % rng.randrange(kinds) for _ in range(n)]
+            if n and rng.random() < 0.6:
+                a, p = rng.randrange(n), rng.randint(1, 12)
+                words = words[:a] + (words[a : a + p] * n)[: n - a]
+            texts.append(words)
+        rows = periodic_runs._group_rows(list(range(len(texts))), texts, min_length, min_exponent)
+        for row, words in zip(rows.to_pylist(), texts, strict=True):
+            want = runs_by_comparing(words, min_length, min_exponent)
+            assert as_tuples(row["runs"]) == want
+            assert row["collapsed"].encode() == without_repeats(words, want)
+
+
+def test_runs_of_nested_and_touching_repeats():
+    inner = [b"a", b"b"] * 14
+    words = (inner + [b"x"]) * 4 + [b"y"] * 30
+    (row,) = periodic_runs._group_rows([1], [words], 24, 3).to_pylist()
+    assert as_tuples(row["runs"]) == runs_by_comparing(words)
+    assert {r["period"] for r in row["runs"]} == {1, 2, 29}
+    assert row["best"] == {"start": 116, "length": 30, "period": 1}
+
+
+def test_best_run_by_exact_exponent_then_start():
+    best = periodic_runs._best([(0, 60, 20), (5, 30, 10), (9, 31, 10), (50, 62, 20), (50, 31, 10)])
+    assert best == (9, 31, 10)
+    assert periodic_runs._best([]) is None
+    # Both quotients are the same double, and the second one is larger.
+    big = 3 * 2**53
+    assert big / 2**53 == (big + 1) / 2**53
+    assert periodic_runs._best([(0, big, 2**53), (1, big + 1, 2**53)]) == (1, big + 1, 2**53)
+
+
+def test_runs_of_very_long_texts():
+    n = 200_000
+    for words, count in (([b"w"] * n, 1), ([b"%d" % (k % 1000) for k in range(n)], 1), ([b"%d" % k for k in range(n)], 0)):
+        (row,) = periodic_runs._group_rows([1], [words], 24, 3).to_pylist()
+        assert len(row["runs"]) == count and row["n_words"] == n
+        if count:
+            assert row["best"]["length"] == n
+
+
+def test_runs_of_odd_rows(docs, nothing):
+    rows = periodic_runs.find_runs(docs).collect()
+    assert collections.Counter(r["doc_id"] for r in rows) == collections.Counter(i for i, _ in ROWS)
+    by_id = collections.defaultdict(list)
+    for r in rows:
+        by_id[r["doc_id"]].append((r["n_words"], as_tuples(r["runs"]), r["collapsed"]))
+    assert by_id[5] == [(0, [], "")] and by_id[6] == [(0, [], "")] and by_id[4] == [(0, [], "")]
+    assert by_id[9] == [(9000, [(0, 9000, 1)], "word")]
+    assert by_id[10] == [(7, [], "é ü ñ 日本語 русский 😀 tail")]
+    assert by_id[3][0] == by_id[3][1] and len(by_id[None]) == 2
+    assert periodic_runs.find_runs(nothing).collect() == []
+    with pytest.raises(ValueError):
+        periodic_runs.find_runs(docs, min_exponent=1)
+
+
+def test_runs_query_against_brute_force(spark, documents):
+    rows = {r["doc_id"]: r for r in QUERIES["op11_periodic_runs"](spark, SF_DIR).collect()}
+    assert len(rows) == len(documents)
+    planted = 0
+    for doc_id, text in documents:
+        words, h = re.findall(rb"[^\x20\x09-\x0d]+", text.encode()), zlib.crc32(str(doc_id).encode())
+        if h % 10 == 0 and words:
+            n, g = len(words), h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+        runs, r = runs_by_comparing(words), rows[doc_id]
+        planted += bool(runs)
+        assert r["n_runs"] == len(runs)
+        lines = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+        assert r["runs_sha256"] == hashlib.sha256(lines.encode()).hexdigest()
+        assert r["collapsed_sha256"] == hashlib.sha256(without_repeats(words, runs)).hexdigest()
+        best = min(runs, key=lambda x: (-x[1] / x[2], x[0], x[2])) if runs else (None,) * 3
+        assert (r["start"], r["length"], r["period"]) == best
+        assert r["exponent_milli"] == (1000 * best[1] // best[2] if runs else None)
+    assert planted >= 10
+
+
+# --- window packing -------------------------------------------------------------------
+
+
+def naive_best_fit(lengths, capacity):
+    fills = []
+    for length in sorted(lengths, reverse=True):
+        fitting = [k for k, f in enumerate(fills) if f + length <= capacity]
+        if fitting:
+            fills[max(fitting, key=lambda k: fills[k])] += length
+        else:
+            fills.append(length)
+    return sorted(fills)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_runs_of_windows_are_best_fit_over_all_pieces(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice([1, 7, 16, 33, 64])
+    top = rng.randint(1, capacity)
+    lengths = [rng.randint(1, top) if rng.random() < 0.7 else capacity for _ in range(rng.randint(0, 300))]
+    runs = window_packing.best_fit_runs(np.bincount(lengths, minlength=capacity + 1), capacity)
+    ordered = np.array(sorted(lengths), dtype=np.int64)
+    ranks = np.arange(len(ordered)) - np.searchsorted(ordered, ordered)
+    if not lengths:
+        assert runs == []
+        return
+    windows, offsets = window_packing.place(runs, ordered, ranks)
+    own = collections.defaultdict(list)
+    for window, offset, length in zip(windows.tolist(), offsets.tolist(), ordered.tolist(), strict=True):
+        own[window].append((offset, length))
+    fills = []
+    for pieces in own.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        fills.append(at)
+    assert sorted(fills) == naive_best_fit(lengths, capacity)
+
+
+@pytest.mark.parametrize("capacity", [1, 5, 2048])
+def test_tightest_window_is_the_least_room_that_holds_the_length(capacity):
+    rng = random.Random(capacity)
+    tree, rooms = window_packing.RoomTree(capacity), collections.Counter()
+    for _ in range(300):
+        room = rng.randint(1, capacity)
+        number = -1 if rooms[room] and rng.random() < 0.5 else 1
+        tree.add(room, number)
+        rooms[room] += number
+        length = rng.randint(1, capacity)
+        assert tree.tightest(length) == min((r for r, n in rooms.items() if n and r >= length), default=0)
+
+
+def test_plan_does_not_grow_with_the_pieces():
+    counts = np.random.default_rng(1).integers(1, 1000, 2049)
+    few = window_packing.best_fit_runs(counts, 2048)
+    many = window_packing.best_fit_runs(counts * 1_000_003, 2048)
+    assert len(many) < 2 * len(few) < 4 * 2048 * 2
+
+
+def check_windows(rows, documents, capacity):
+    encode = word_ids.encoder(tokenizer(TOKENIZER)).tokenizer.encode
+    texts = collections.Counter()
+    want = collections.Counter()
+    for doc_id, text in documents:
+        ids = [*encode(text or "", add_special_tokens=False).ids, 1]
+        texts[doc_id, len(ids)] += 1
+        for at in range(0, len(ids), capacity):
+            part = np.array(ids[at : at + capacity], "<u4")
+            want[doc_id, at, len(part), zlib.crc32(part.tobytes()), len(ids)] += 1
+    facts = "doc_id", "start", "length", "ids_crc32", "doc_tokens"
+    assert collections.Counter(tuple(r[c] for c in facts) for r in rows) == want
+    fills = collections.Counter()
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == fills[r["sequence_id"]]
+        fills[r["sequence_id"]] += r["length"]
+    assert not fills or max(fills.values()) <= capacity
+    return sorted(fills.values())
+
+
+def test_windows_of_all_documents(spark, documents):
+    rows = QUERIES["op12_window_packing"](spark, SF_DIR).collect()
+    fills = check_windows(rows, documents, 2048)
+    assert len(fills) <= -(-sum(fills) // 2048) + 1
+    assert fills == naive_best_fit([r["length"] for r in rows], 2048)
+
+
+def test_windows_over_many_tasks_are_one_best_fit(spark):
+    rows = [(k, "a " * (k % 37)) for k in range(600)] + [(k % 3, "b") for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(24)
+    got = window_packing.pack_windows(docs, tokenizer(TOKENIZER), capacity=32).collect()
+    fills = check_windows(got, rows, 32)
+    assert fills == naive_best_fit([r["length"] for r in got], 32)
+
+
+def test_windows_of_odd_rows(docs, nothing):
+    path = tokenizer(TOKENIZER)
+    check_windows(window_packing.pack_windows(docs, path, capacity=64).collect(), ROWS, 64)
+    check_windows(window_packing.pack_windows(docs, path, capacity=1).collect(), ROWS, 1)
+    assert window_packing.pack_windows(nothing, path).collect() == []
+
+
+@pytest.mark.parametrize("held", [3, 100_000])
+def test_ids_of_words_are_those_of_whole_texts(held):
+    ids_of = word_ids.WordIds(tokenizer(TOKENIZER), held)
+    rng = random.Random(1)
+    signs = "abcAéÉßĳİ ñ.,'\"$<|>endoftext!?-_ 12́ ​中文ж\t\nst'll"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(2000)]
+    texts += ["x<|ENDOFTEXT|>", "<|endoftext|> <|StartOfText|>", "a<|startoftext|>b", "<|endoftext|"]
+    for text, ids in zip(texts, ids_of.encode(texts), strict=True):
+        want = ids_of.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want, text
+
+
+# --- importance resampling ------------------------------------------------------------
+
+
+def drawn_plainly(documents, target, max_words, buckets, min_words, percent):
+    def features(text):
+        lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lower)
+        runs = [" ".join(words[k : k + n]) for n in range(1, max_words + 1) for k in range(len(words) - n + 1)]
+        return len(words), [zlib.crc32(f.encode()) % buckets for f in runs]
+
+    texts = [(i, *features(t)) for i, t in documents]
+    source = collections.Counter(b for _, _, own in texts for b in own)
+    wanted = collections.Counter(b for t in target for b in features(t)[1])
+    all_s, all_t = source.total(), wanted.total()
+    gain = [
+        math.floor(1000 * math.log((wanted[b] + 1.0) * (all_s + float(buckets)) / ((source[b] + 1.0) * (all_t + float(buckets)))))
+        for b in range(buckets)
+    ]
+    rows = []
+    for i, n, own in texts:
+        weight = sum(gain[b] for b in own) // len(own) if own else 0
+        h = int(hashlib.sha256(f"2024:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append((i, len(own), weight, score, n >= min_words))
+    order = sorted((r for r in rows if r[4]), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    ranks = {}
+    for k, r in enumerate(order[: percent * len(order) // 100]):
+        ranks.setdefault(r, []).append(k + 1)
+    return collections.Counter((*r[:4], ranks[r].pop(0) if ranks.get(r) else None) for r in rows)
+
+
+def as_counter(rows):
+    return collections.Counter(tuple(r[c] for c in ("doc_id", "n_features", "weight", "score", "rank")) for r in rows)
+
+
+def benchmark(spark):
+    return [r["text"] for r in table(spark, SF_DIR, "benchmark").collect()]
+
+
+def test_importance_query_against_plain_version(spark, documents):
+    rows = QUERIES["op13_importance"](spark, SF_DIR).collect()
+    assert as_counter(rows) == drawn_plainly(documents, benchmark(spark), 1, 10_000, 20, 10)
+
+
+@pytest.mark.parametrize("max_words, head, buckets", [(1, 0, 97), (2, 50, 10_000), (2, 0, 97), (2, 100_000, 500)])
+def test_draws_do_not_depend_on_the_head(spark, documents, max_words, head, buckets):
+    got = importance.resample(
+        table(spark, SF_DIR, "documents"), table(spark, SF_DIR, "benchmark"),
+        max_words=max_words, head=head, buckets=buckets, percent=37,
+    )
+    assert as_counter(got.collect()) == drawn_plainly(documents, benchmark(spark), max_words, buckets, 20, 37)
+
+
+def test_draws_of_odd_rows(spark, docs, nothing):
+    target = spark.createDataFrame([(None,), ("",), ("Word paragraph",)], "text string")
+    rows = importance.resample(docs, target, min_words=2, percent=60).collect()
+    assert as_counter(rows) == drawn_plainly(ROWS, ["", "", "Word paragraph"], 1, 10_000, 2, 60)
+    ranks = [r["rank"] for r in rows if r["rank"]]
+    assert sorted(ranks) == list(range(1, len(ranks) + 1)) and ranks
+    assert importance.resample(nothing, target).collect() == []
+    for percent, drawn in ((0, 0), (100, len(ROWS))):
+        rows = importance.resample(docs, target.limit(0), min_words=0, percent=percent).collect()
+        assert sorted(r["rank"] for r in rows if r["rank"]) == list(range(1, drawn + 1))
+    with pytest.raises(ValueError):
+        importance.resample(docs, target, max_words=3)
+
+
+def test_ranks_of_many_rows_with_one_score(spark):
+    docs = spark.range(3000).select((F.col("id") % 2).alias("doc_id"), F.lit("same words here").alias("text"))
+    rows = importance.resample(docs, docs.limit(1), min_words=1, percent=80).collect()
+    best = max(rows, key=lambda r: r["score"])["doc_id"]
+    assert sorted(r["rank"] for r in rows if r["rank"]) == list(range(1, 2401))
+    assert all(r["rank"] and r["rank"] <= 1500 for r in rows if r["doc_id"] == best)
+
+
+def test_frequent_features_are_in_the_head_and_long_ones_are_not(spark):
+    texts = ["the the the of of rare"] * 8 + ["x" * 100] * 50
+    counts = importance.feature_counts(spark.createDataFrame([(t,) for t in texts], "text string"), 1)
+    lowest = importance._lowest_steps(counts, 2, 1)
+    head = {bytes(r["feature"]) for r in counts.where(importance._in_head(lowest)).collect()}
+    assert head == {b"the", b"of"}
