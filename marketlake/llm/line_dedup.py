@@ -41,6 +41,7 @@ from marketlake.llm.common import cut
 
 MIN_BLOCK_WORDS = 30
 SALTS = 32
+FIRST_SALTS = 16
 
 Pair = tuple[int, int]
 
@@ -202,29 +203,67 @@ def count_words(line: str) -> int:
     return len(rest.split()) + signs
 
 
-def run_bounds(counts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+def run_bounds(
+    counts: np.ndarray, least: int, sizes: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """First and behind-last lines of the shortest runs of ``least`` words from and up to each line.
 
-    Every run of so many words is the union of those inside it, but for empty lines around it.
+    ``sizes`` are the numbers of lines of texts laid end to end; a run lies within one text. Every run
+    of so many words is the union of those inside it, but for empty lines around it.
     """
+    sizes = np.array([len(counts)]) if sizes is None else sizes
+    last = np.repeat(np.cumsum(sizes), sizes)
+    first = last - np.repeat(sizes, sizes)
     total = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
     own = np.flatnonzero(counts)
-    start, end = own[total[own] + least <= total[-1]], own[total[own + 1] >= least] + 1
+    start = own[total[own] + least <= total[last[own]]]
+    end = own[total[own + 1] - least >= total[first[own]]] + 1
     starts = np.concatenate([start, np.searchsorted(total, total[end] - least, "right") - 1])
     ends = np.concatenate([np.searchsorted(total, total[start] + least), end])
-    both = np.unique(np.stack([starts, ends], axis=1), axis=0)
-    return both[:, 0], both[:, 1]
+    size = len(counts) + 1
+    both = np.unique(starts * size + ends)
+    return both // size, both % size
 
 
-def run_keys(keys: bytes, least: int) -> np.ndarray:
-    """Signed 64-bit hashes of the shortest runs of lines with ``least`` words, each once."""
-    from xxhash import xxh3_64_intdigest
+#: An odd number has an inverse modulo 2**64, so the hash of a run follows from those of two prefixes.
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 2**64)
 
-    counts = np.frombuffer(keys, np.uint8).reshape(-1, 12)[:, 10:].copy().view("<u2").reshape(-1)
-    starts, ends = (12 * x for x in run_bounds(counts, least))
-    bounds = zip(starts.tolist(), ends.tolist(), strict=True)
-    found = [xxh3_64_intdigest(keys[i:j]) for i, j in bounds]
-    return np.unique(np.array(found, np.uint64)).view(np.int64)
+
+def _powers(base: int, number: int) -> np.ndarray:
+    out = np.full(number, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def run_keys(keys: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signed 64-bit hashes of the shortest runs of lines with ``least`` words, each once a text.
+
+    Returns the hashes and the number of the text of each. A run hashes to the sum of its lines'
+    hashes times powers of BASE, in the arithmetic of 64 bits, mixed in the end; runs of other lines
+    that meet cost an alignment that finds nothing.
+    """
+    lines = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 12)
+    counts = lines[:, 10:].copy().view("<u2").reshape(-1).astype(np.int64)
+    sizes = np.array([len(k) // 12 for k in keys], dtype=np.int64)
+    starts, ends = run_bounds(counts, least, sizes)
+    hashes = lines[:, :8].copy().view("<u8").reshape(-1)
+    prefix = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * _powers(BASE, len(hashes)), dtype=np.uint64, out=prefix[1:])
+    found = (prefix[ends] - prefix[starts]) * _powers(INVERSE, len(hashes) + 1)[starts]
+    found ^= (ends - starts).astype(np.uint64) << np.uint64(48)
+    found ^= found >> np.uint64(31)
+    found *= np.uint64(0xBF58476D1CE4E5B9)
+    found ^= found >> np.uint64(29)
+    owners = np.repeat(np.arange(len(keys)), sizes)[starts] if len(starts) else starts
+    order = np.lexsort((found, owners))
+    found, owners = found[order], owners[order]
+    new = np.ones(len(found), bool)
+    new[1:] = (found[1:] != found[:-1]) | (owners[1:] != owners[:-1])
+    return found[new].view(np.int64), owners[new]
+
+
+NUMBERS = [k.to_bytes(2, "little") for k in range(65_536)]
 
 
 def line_keys(text: str) -> bytes:
@@ -234,9 +273,8 @@ def line_keys(text: str) -> bytes:
     out = []
     for lines in segments(text):
         for line in lines:
-            bare = line.strip()
-            out.append(xxh3_128_digest(bare.encode("utf-8", "replace"))[:10])
-            out.append(min(count_words(line), 65_535).to_bytes(2, "little"))
+            out.append(xxh3_128_digest(line.strip().encode("utf-8", "replace"))[:10])
+            out.append(NUMBERS[min(count_words(line), 65_535)])
     return b"".join(out)
 
 
@@ -278,10 +316,9 @@ def removed_lines(docs: DataFrame, *, min_block_words: int = MIN_BLOCK_WORDS) ->
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                found = [run_keys(k.as_py(), min_block_words) for k in part.column("keys")]
-                repeat = np.repeat(np.arange(len(found)), [len(x) for x in found])
+                found, owners = run_keys(part.column("keys").to_pylist(), min_block_words)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found)), part.column("doc_id").take(pa.array(repeat))],
+                    [pa.array(found), part.column("doc_id").take(pa.array(owners))],
                     names=["key", "doc_id"],
                 )
 
@@ -309,8 +346,14 @@ def removed_lines(docs: DataFrame, *, min_block_words: int = MIN_BLOCK_WORDS) ->
         .groupBy("doc_id", "version")
         .agg(F.first("keys").alias("keys"))
     )
-    first = sequences.select(F.col("doc_id").alias("first_id"), F.col("keys").alias("first_keys"))
-    both = pairs.join(sequences, "doc_id").join(first, "first_id")
+    # The later holders of one very popular document are dealt out to as many tasks in the same way.
+    first = sequences.select(
+        F.col("doc_id").alias("first_id"),
+        F.col("keys").alias("first_keys"),
+        F.explode(F.sequence(F.lit(0), F.lit(FIRST_SALTS - 1))).alias("salt"),
+    )
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(FIRST_SALTS)).cast("int")
+    both = pairs.join(sequences, "doc_id").withColumn("salt", salt).join(first, ["first_id", "salt"])
 
     def align(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
