@@ -12,7 +12,9 @@ hash of page_id (at most 64 evenly spaced blocks of each; these bounded rows rea
 learns from pages that mark their article or main part, once with and once without sight of the
 containers, so that it also judges pages without such marks. Containers that mean boilerplate by
 the standard (navigation, footers, forms, asides), and class and id words for adverts, notices and
-reader comments, add fixed costs. Extraction is one narrow stage.
+reader comments, add fixed costs. Inside an article, words that its own sections may have too
+("discussion", "related", "notice") add a small cost only, which the cut can outweigh. Extraction is
+one narrow stage, and parsing takes time in proportion to the page, whatever is left open in it.
 
 Text is taken from the whole page: scripts, styles, comments and other raw elements are left out,
 character references decoded, white space inside a block made one space. A line break element
@@ -44,15 +46,16 @@ ADJACENT, SIBLING, COUSIN = 0.5, 1.0, 0.3
 
 NAME = r"[a-zA-Z][^\s/>]*"
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(/?)({NAME})((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<(/?)({NAME})([^>]*)>"
+    rf"<!--|<(/?)({NAME})((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<(/?)({NAME})([^>]*)>"
     r"|<[!?/][^>]*>",
     re.S,
 )
+COMMENT = "<!--"
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 HINTED = ("class", "id", "role", "style", "hidden", "aria-hidden", "aria-label", "itemprop")
 
 #: Elements of the standard, by what they do to text.
-RAW = frozenset("script style textarea title iframe template noembed noframes xmp datalist object canvas audio video head".split())
+RAW = frozenset("script style textarea title iframe template noembed noframes xmp datalist audio video head".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt "
@@ -71,6 +74,7 @@ CLOSES_SAME = {
     "td": frozenset(["td", "th"]),
     "th": frozenset(["td", "th"]),
 }
+PARAGRAPH, PARAGRAPH_SCOPE = frozenset(["p"]), frozenset(["button", "td", "th", "table", "caption"])
 LIST_SCOPE = frozenset("ul ol dl table select menu".split())
 
 CONTENT_TAGS = frozenset(["article", "main"])
@@ -83,6 +87,12 @@ OUTSIDE_WORD = (
     r"pagination|pager|foot(?:er)?|masthead|topbar|toolbar|comments?|comment-?list|respon(?:d|ses)|replies|reply|"
     r"disqus|discussion|copyright|disclaimer|hidden|sr-only|complementary|contentinfo|search)\d*"
 )
+#: What sections of an article may be called as well.
+AMBIGUOUS_WORD = (
+    r"(?:banner|notices?|alert|related|recommend(?:ed|ations?)?|share|sharing|social|search|"
+    r"respon(?:d|ses)|replies|reply|discussion|copyright|disclaimer|foot(?:er)?)\d*"
+)
+AMBIGUOUS_HINT = re.compile(rf"(?:^|\s){AMBIGUOUS_WORD}(?=\s|$)", re.I)
 #: Names made of such words and numbers only: "has-sidebar" and "no-comments" say something else.
 OUTSIDE_HINT = re.compile(rf"(?:^|\s){OUTSIDE_WORD}(?:[_-](?:{OUTSIDE_WORD}|\d+))*(?=\s|$)", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -94,20 +104,29 @@ class Block:
     linked: int
     tag: str
     inside: frozenset[str]
-    hint: int
+    hint: float
     parent: int
     grandparent: int
 
 
-@dataclass
+@dataclass(eq=False)
 class _Element:
+    """An open element; ``block`` is the nearest block from it up, ``above`` the next one."""
+
     name: str
     number: int
     inside: frozenset[str]
-    hint: int
+    hint: float
+    depth: int = 0
+    block: _Element | None = None
+    above: _Element | None = None
 
 
-def _hint(name: str, attributes: str) -> int:
+#: The hint of a container in an article that has an ambiguous name.
+UNSURE = -0.25
+
+
+def _hint(name: str, attributes: str, in_article: bool = False) -> float:
     """1 for a container of content, -1 for one of boilerplate, by what its attributes say."""
     if not attributes or "=" not in attributes and "hidden" not in attributes:
         return 0
@@ -122,17 +141,59 @@ def _hint(name: str, attributes: str) -> int:
     words = " ".join(re.sub(r"([a-z])([A-Z])", r"\1-\2", found.get(k, "")) for k in ("class", "id", "role", "aria-label"))
     if name in ("html", "body", "article", "main"):
         return 1 if CONTENT_HINT.search(words) else 0
+    if in_article and (unsure := AMBIGUOUS_HINT.search(words)):
+        rest = words[: unsure.start()] + " " + words[unsure.end() :]
+        return -1 if OUTSIDE_HINT.search(rest) else UNSURE
     if OUTSIDE_HINT.search(words):
         return -1
     return 1 if CONTENT_HINT.search(words + " " + found.get("itemprop", "")) else 0
 
 
+class _Stack:
+    """The open elements, with the depths of each name."""
+
+    def __init__(self) -> None:
+        self.root = _Element("", 0, frozenset(), 0)
+        self.root.block = self.root.above = self.root
+        self.elements = [self.root]
+        self.depths: dict[str, list[int]] = {}
+        self.made = 0
+
+    @property
+    def top(self) -> _Element:
+        return self.elements[-1]
+
+    def push(self, name: str, inside: frozenset[str], hint: float) -> None:
+        self.made += 1
+        top, own = self.top, _Element(name, self.made, inside, hint, len(self.elements))
+        own.block = own if name in BLOCK else top.block
+        own.above = top.block if name in BLOCK else top.above
+        self.depths.setdefault(name, []).append(own.depth)
+        self.elements.append(own)
+
+    def pop_to(self, depth: int) -> int:
+        """Close all elements from a depth on; returns how many of them were links."""
+        links = 0
+        while len(self.elements) > depth:
+            name = self.elements.pop().name
+            self.depths[name].pop()
+            links += name == "a"
+        return links
+
+    def deepest(self, names: frozenset[str]) -> int:
+        return max((self.depths[n][-1] for n in names if self.depths.get(n)), default=0)
+
+    def nearest(self, names: frozenset[str], scope: frozenset[str]) -> int:
+        """Depth of the innermost element of these names with none of ``scope`` inside it, or 0."""
+        depth = self.deepest(names)
+        barrier = (self.top.block.depth if scope is BLOCK else self.deepest(scope)) if depth else 0
+        return depth if depth > barrier else 0
+
+
 def blocks_of(page: str) -> list[Block]:
     """The blocks of text of a page, in page order."""
     blocks: list[Block] = []
-    root = _Element("", 0, frozenset(), 0)
-    stack = [root]
-    numbers = iter(range(1, 10**9))
+    stack = _Stack()
     parts: list[str] = []
     linked, in_link = 0, 0
 
@@ -141,37 +202,24 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                holders = [e for e in stack if e.name in BLOCK] or [root]
-                own = holders[-1]
-                above = holders[-2] if len(holders) > 1 else root
-                higher = holders[-3] if len(holders) > 2 else root
                 # What matters is where a paragraph stands, not that each is an element of its own.
+                top = stack.top
+                own, above = top.block, top.block.above
                 blocks.append(
-                    Block(text, linked, own.name, stack[-1].inside, stack[-1].hint, above.number, higher.number)
+                    Block(text, linked, own.name, top.inside, top.hint, above.number, above.above.number)
                 )
             parts.clear()
         linked = 0
 
-    def pop_to(depth: int) -> None:
-        nonlocal in_link
-        for element in stack[depth:]:
-            if element.name == "a":
-                in_link -= 1
-        del stack[depth:]
-
-    def nearest(names: frozenset[str], scope: frozenset[str]) -> int:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].name in names:
-                return depth
-            if stack[depth].name in scope:
-                return 0
-        return 0
-
     at, size = 0, len(page)
+    # No tag ends after the last bracket, and an element without an end tag has none further on.
+    last_end = page.rfind(">")
+    endless: set[str] = set()
     lowered = None
     while at < size:
-        match = TOKEN.search(page, at)
-        upto = match.start() if match else size
+        match = TOKEN.search(page, at, last_end + 1) if at <= last_end else None
+        upto = match.start() if match else page.find(COMMENT, at)
+        upto = size if upto < 0 else upto
         if upto > at:
             text = page[at:upto]
             parts.append(text)
@@ -180,30 +228,37 @@ def blocks_of(page: str) -> list[Block]:
         if not match:
             break
         at = match.end()
+        if match.group() == COMMENT:
+            end = page.find("-->", at)
+            at = size if end < 0 else end + 3
+            continue
         closing, name, attributes = match.group(1, 2, 3) if match.group(2) else match.group(4, 5, 6)
         if not name:
             continue
         name = name.lower()
         if closing:
             if name not in BLOCK and name != "a":
-                depth = nearest(frozenset([name]), BLOCK)
-                if depth:
-                    pop_to(depth)
+                if depth := stack.nearest(frozenset([name]), BLOCK):
+                    in_link -= stack.pop_to(depth)
                 continue
-            depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d].name == name), 0)
             if name in BLOCK:
                 flush()
-            if depth:
-                pop_to(depth)
+            if depth := stack.deepest(frozenset([name])):
+                in_link -= stack.pop_to(depth)
             continue
         if name in RAW:
             if name == "head":
                 continue
             lowered = page.lower() if lowered is None else lowered
-            end = lowered.find(f"</{name}", at)
-            at = size if end < 0 and name in ("script", "style", "textarea", "title", "xmp") else (
-                at if end < 0 else end
-            )
+            end = -1 if name in endless else lowered.find(f"</{name}", at)
+            if end < 0:
+                endless.add(name)
+                end = size if name in ("script", "style", "textarea", "title", "xmp") else at
+            if name == "xmp":
+                flush()
+                parts.append(page[at:end].replace("&", "&amp;"))
+                flush()
+            at = end
             continue
         if name == "br" or name == "wbr":
             if name == "br":
@@ -212,30 +267,27 @@ def blocks_of(page: str) -> list[Block]:
         if name in BLOCK:
             flush()
             if name in CLOSES_P:
-                depth = nearest(frozenset(["p"]), frozenset(["button", "td", "th", "table", "caption"]))
-                if depth:
-                    pop_to(depth)
+                if depth := stack.nearest(PARAGRAPH, PARAGRAPH_SCOPE):
+                    in_link -= stack.pop_to(depth)
             if name in CLOSES_SAME:
-                scope = LIST_SCOPE
-                while depth := nearest(CLOSES_SAME[name], scope):
-                    pop_to(depth)
+                while depth := stack.nearest(CLOSES_SAME[name], LIST_SCOPE):
+                    in_link -= stack.pop_to(depth)
         if name in VOID or name in ("svg", "math") and attributes.rstrip().endswith("/"):
             continue
         if name == "a":
-            depth = nearest(frozenset(["a"]), BLOCK)
-            if depth:
-                pop_to(depth)
+            if depth := stack.nearest(frozenset(["a"]), BLOCK):
+                in_link -= stack.pop_to(depth)
             in_link += 1
-        above = stack[-1]
+        above = stack.top
         inside = above.inside
+        in_article = not inside.isdisjoint(CONTENT_TAGS)
         if name in CONTENT_TAGS or name in OUTSIDE_TAGS or name in ("header", "li", "table", "blockquote", "pre"):
             inside = inside | {name}
-        hint = _hint(name, attributes)
+        hint = _hint(name, attributes, in_article)
         # The outermost article or main part is judged by the cut, whatever its wrappers are called.
-        outermost = name in CONTENT_TAGS and above.inside.isdisjoint(CONTENT_TAGS)
-        inherited = 0 if outermost else above.hint
-        hint = -1 if -1 in (hint, inherited) else max(hint, inherited)
-        stack.append(_Element(name, next(numbers), inside, hint))
+        inherited = 0 if name in CONTENT_TAGS and not in_article else above.hint
+        hint = min(hint, inherited) if min(hint, inherited) < 0 else max(hint, inherited)
+        stack.push(name, inside, hint)
     flush()
     return blocks
 
@@ -280,12 +332,15 @@ def block_features(blocks: list[Block], containers: bool = True) -> np.ndarray:
 DEFAULT_WEIGHTS = np.array([-1.5, 0.8, -3.0, -0.5, 1.0, 0.5, 0.7, -0.3, 1.0, 0.5, -0.7, 3.0, -3, -3, -2, -3, 2.0])
 
 
+UNSURE_COST = 2.0
+
+
 def fixed_costs(blocks: list[Block]) -> np.ndarray:
     """What the standard's containers and attribute words add to the cost of content."""
     out = np.zeros(len(blocks))
     for k, b in enumerate(blocks):
         if b.hint < 0:
-            out[k] -= 12.0
+            out[k] -= 12.0 if b.hint <= -1 else UNSURE_COST
         if not b.inside.isdisjoint(OUTSIDE_TAGS):
             out[k] -= 12.0
         if "header" in b.inside and b.inside.isdisjoint(CONTENT_TAGS):
@@ -298,7 +353,7 @@ def weak_labels(blocks: list[Block]) -> np.ndarray | None:
     inside = np.array([not b.inside.isdisjoint(CONTENT_TAGS) for b in blocks])
     if not inside.any():
         return None
-    outside = np.array([not b.inside.isdisjoint(OUTSIDE_TAGS) or b.hint < 0 for b in blocks])
+    outside = np.array([not b.inside.isdisjoint(OUTSIDE_TAGS) or b.hint <= -1 for b in blocks])
     return (inside & ~outside).astype(float)
 
 

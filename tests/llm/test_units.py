@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -317,6 +318,48 @@ def test_main_text_keeps_formulas_and_articles_in_hinted_wrappers():
         assert html_extract.main_text(page) == text
 
 
+OPEN_PAGES = {
+    "tags": "<a " * 350_000,
+    "quotes": '<a "' * 250_000,
+    "both quotes": "<a '><b \">" * 100_000,
+    "comments": "x<!--" * 200_000,
+    "declarations": "<!x " * 250_000,
+    "end tags": "</x " * 250_000,
+    "frames": "<iframe>x " * 100_000,
+    "nested blocks": "<div>word " * 100_000,
+    "blocks below a paragraph": "<p><button>" + "<div>w " * 100_000,
+    "nested spans": "<span>w " * 120_000,
+    "nested lists": "<ul><li>w " * 80_000,
+}
+
+
+@pytest.mark.parametrize("kind", OPEN_PAGES)
+def test_pages_of_a_million_signs_left_open_are_parsed_in_seconds(kind):
+    page = OPEN_PAGES[kind]
+    assert len(page) > 700_000
+    start = time.process_time()
+    html_extract.main_text(page)
+    assert time.process_time() - start < 30
+
+
+def test_sections_of_an_article_stay_whatever_their_names():
+    words = "We discuss the findings of the study, which were many and varied, in some detail here."
+    for name in ("discussion", "related", "notice", "responses", "search"):
+        page = f"<article><p>{words}</p><section id='{name}'><h2>Title</h2><p>{words}</p></section></article>"
+        assert html_extract.main_text(page) == f"{words}\nTitle\n{words}"
+    for name in ("comments", "discussion comments", "sidebar", "newsletter"):
+        page = f"<article><p>{words}</p><section class='{name}'><h2>Title</h2><p>{words}</p></section></article>"
+        assert html_extract.main_text(page) == words
+    page = f"<article><p>{words}</p></article><div class='discussion'><p>{words}</p></div>"
+    assert html_extract.main_text(page) == words
+
+
+def test_text_of_objects_and_examples_stays():
+    words = "The article has a paragraph that is long enough to be taken for its text."
+    page = f"<article><p>{words}</p><object>An object that cannot be shown.</object><xmp>a <b> &amp; c</xmp></article>"
+    assert html_extract.main_text(page) == f"{words}\nAn object that cannot be shown.\na <b> &amp; c"
+
+
 def test_boosting_separates_and_calibrates():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 4))
