@@ -346,14 +346,14 @@ def removed_lines(docs: DataFrame, *, min_block_words: int = MIN_BLOCK_WORDS) ->
         .groupBy("doc_id", "version")
         .agg(F.first("keys").alias("keys"))
     )
-    # The later holders of one very popular document are dealt out to as many tasks in the same way.
-    first = sequences.select(
-        F.col("doc_id").alias("first_id"),
-        F.col("keys").alias("first_keys"),
-        F.explode(F.sequence(F.lit(0), F.lit(FIRST_SALTS - 1))).alias("salt"),
-    )
+    # The later holders of one very popular document are dealt out to many tasks in the same way;
+    # a first document has as many copies as its pairs have salts, one for most.
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(FIRST_SALTS)).cast("int")
-    both = pairs.join(sequences, "doc_id").withColumn("salt", salt).join(first, ["first_id", "salt"])
+    dealt = pairs.withColumn("salt", salt)
+    first = dealt.select("first_id", "salt").distinct().join(
+        sequences.select(F.col("doc_id").alias("first_id"), F.col("keys").alias("first_keys")), "first_id"
+    )
+    both = dealt.join(sequences, "doc_id").join(first, ["first_id", "salt"])
 
     def align(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
