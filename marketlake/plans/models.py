@@ -22,31 +22,43 @@ def _renamed(
     names: tuple[tuple[str, str], ...],
     run_date: date | None,
     special: dict[str, str] | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Drop rows without their key, rename, and stamp the date of the run."""
+    """Drop rows without their key, rename, and stamp the date of the run.
+
+    ``keep`` names columns that go on as they are.
+    """
     present = " and ".join(f"{quoted(k)} is not null" for k in keys)
     values = {old: quoted(old) for old, _ in names} | (special or {})
     today = "current_date()" if run_date is None else f"date'{run_date}'"
     return bronze.where(present).selectExpr(
         *(f"{values[old]} as {new}" for old, new in names),
         f"{today} as {contracts.INGESTION_DATE}",
+        *map(quoted, keep),
     )
 
 
-def silver_coingecko(bronze: DataFrame, run_date: date | None = None) -> DataFrame:
+def silver_coingecko(
+    bronze: DataFrame, run_date: date | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Coin market snapshots; every snapshot is kept."""
-    return _renamed(bronze, ("id",), contracts.SILVER_COINGECKO, run_date)
+    return _renamed(bronze, ("id",), contracts.SILVER_COINGECKO, run_date, keep=keep)
 
 
-def silver_defillama(bronze: DataFrame, run_date: date | None = None) -> DataFrame:
+def silver_defillama(
+    bronze: DataFrame, run_date: date | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Protocol snapshots; the chain list and the values per chain are JSON text."""
     kinds = {f.name: f.dataType for f in bronze.schema.fields}
     texts = {c: json_text(c, kinds[c]) for c in ("chains", "chainTvls")}
-    return _renamed(bronze, ("id",), contracts.SILVER_DEFILLAMA, run_date, texts)
+    return _renamed(bronze, ("id",), contracts.SILVER_DEFILLAMA, run_date, texts, keep)
 
 
 def silver_yfinance(
-    bronze: DataFrame, run_date: date | None = None, exchange_zone: str | None = None
+    bronze: DataFrame,
+    run_date: date | None = None,
+    exchange_zone: str | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Price bars per symbol and day.
 
@@ -57,10 +69,10 @@ def silver_yfinance(
     if exchange_zone and isinstance(bronze.schema["Date"].dataType, T.TimestampType):
         moment = f"from_utc_timestamp(`Date`, '{exchange_zone}')"
     trade_date = {"Date": f"cast({moment} as date)"}
-    return _renamed(bronze, ("Symbol", "Date"), contracts.SILVER_YFINANCE, run_date, trade_date)
+    return _renamed(bronze, ("Symbol", "Date"), contracts.SILVER_YFINANCE, run_date, trade_date, keep)
 
 
-def gold_crypto_prices(silver: DataFrame) -> DataFrame:
+def gold_crypto_prices(silver: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Coin prices with ratios and labels."""
     # The columns and their order.
     return silver.select(
@@ -89,6 +101,7 @@ def gold_crypto_prices(silver: DataFrame) -> DataFrame:
         "price_change_pct_1y",
         "last_updated_at",
         contracts.INGESTION_DATE,
+        *keep,
     )
 
 

@@ -37,6 +37,18 @@ def write_batch(
     return relative
 
 
+def delete_batch(
+    lake: Lake,
+    source: str,
+    date: datetime,
+    filename: str | None = None,
+    fmt: str = "parquet",
+    layer: str = "bronze",
+) -> None:
+    """Remove a batch that was written with these arguments."""
+    files.discard(lake.spark, lake.path(lake_path(source, date, filename, fmt, layer)))
+
+
 def write_days(
     lake: Lake,
     df: DataFrame,

@@ -134,6 +134,43 @@ def _read(
     return reduce(DataFrame.unionByName, (part(i, own) for i, own in paths.items() if own))
 
 
+def read_placed(
+    lake: Lake,
+    source: str,
+    layer: str,
+    placed: list,
+    everything: list,
+    contract: T.StructType | None = None,
+    day_column: str | None = None,
+) -> DataFrame:
+    """One table over files whose schemas are known: rows of path, schema and nanos.
+
+    Without a contract it has the columns of ``everything``, rows of schema and nanos.
+    """
+    spark = lake.spark
+    wanted = contract
+    if wanted is None:
+        if not everything:
+            raise ValueError(f"no files of {layer}/{source} are indexed")
+        wanted = union_of([(r["schema"], r["nanos"]) for r in everything])
+    if day_column:
+        wanted = T.StructType([*wanted.fields, T.StructField(day_column, T.DateType())])
+    if not placed:
+        return spark.createDataFrame([], wanted)
+    variants, owner = group_variants({(r["schema"], r["nanos"]) for r in placed})
+    paths: dict[int, list[str]] = {}
+    for r in placed:
+        paths.setdefault(owner[r["schema"], r["nanos"]], []).append(r["path"])
+    day = day_of(F.col("_metadata.file_path"), layer, source) if day_column else None
+    parts = []
+    for index, own in sorted(paths.items()):
+        rows = spark.read.schema(variants[index].schema).parquet(*sorted(own))
+        if day_column:
+            rows = rows.select("*", day.alias(day_column))
+        parts.append(conform(rows, wanted, variants[index].nanos))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _place(rows, column: str, owner: dict, paths: dict[int, list[str]]) -> set[str]:
     """Give each place to the one variant it has; the places that have several are returned."""
     used: dict[str, set[int]] = {}
@@ -159,55 +196,57 @@ def file_schemas(files: DataFrame, columns: list[str] | None = None) -> DataFram
     return spread.mapInPandas(_footer_reader(columns), FOOTERS)
 
 
+def describe_footer(path: str, columns: list[str] | None = None):
+    """A file's schema as JSON, its nanosecond columns as JSON, and what else its footer says."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+    from pyspark.sql.pandas.types import from_arrow_type
+
+    def without_nulls(kind: pa.DataType) -> pa.DataType:
+        if pa.types.is_null(kind):
+            return pa.int32()
+        if pa.types.is_list(kind) or pa.types.is_large_list(kind):
+            return pa.list_(without_nulls(kind.value_type))
+        if pa.types.is_struct(kind):
+            return pa.struct([(f.name, without_nulls(f.type)) for f in kind])
+        return kind
+
+    try:
+        system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    except (pa.ArrowInvalid, OSError) as error:
+        raise ValueError(f"footers cannot be opened at {path}: {error}") from error
+    with system.open_input_file(inner) as handle:
+        footer = pq.ParquetFile(handle)
+        found, stored, metadata = footer.schema_arrow, footer.schema, footer.metadata
+        leaves = [stored.column(i) for i in range(len(stored))]
+        noted = json.loads((metadata.metadata or {}).get(SPARK_NOTE, b'{"fields": []}'))
+    # a variant looks like a struct of two binaries to others
+    variants = {f["name"] for f in noted["fields"] if f["type"] == "variant"}
+    # the old 96-bit timestamps look like nanoseconds, but Spark reads them itself
+    old_style = {leaf.path for leaf in leaves if leaf.physical_type == "INT96"}
+    fields, nanos = [], []
+    for name in found.names if columns is None else sorted(set(found.names) & set(columns)):
+        kind = found.field(name).type
+        if pa.types.is_null(kind):
+            continue
+        if name in variants:
+            fields.append(T.StructField(name, T.VariantType()))
+            continue
+        if name in old_style:
+            kind = pa.timestamp("us", tz="UTC")
+        elif pa.types.is_timestamp(kind) and kind.unit == "ns":
+            nanos.append([name, kind.tz is not None])
+            kind = pa.int64()
+        spark_type = from_arrow_type(without_nulls(kind), prefer_timestamp_ntz=True)
+        fields.append(T.StructField(name, spark_type))
+    return T.StructType(fields).json(), json.dumps(nanos), metadata
+
+
 def _footer_reader(columns: list[str] | None):
     def read(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pyarrow as pa
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-        from pyspark.sql.pandas.types import from_arrow_type
-
-        def without_nulls(kind: pa.DataType) -> pa.DataType:
-            if pa.types.is_null(kind):
-                return pa.int32()
-            if pa.types.is_list(kind) or pa.types.is_large_list(kind):
-                return pa.list_(without_nulls(kind.value_type))
-            if pa.types.is_struct(kind):
-                return pa.struct([(f.name, without_nulls(f.type)) for f in kind])
-            return kind
-
-        def describe(path: str) -> tuple[str, str]:
-            try:
-                system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-            except (pa.ArrowInvalid, OSError) as error:
-                raise ValueError(f"footers cannot be opened at {path}: {error}") from error
-            with system.open_input_file(inner) as handle:
-                footer = pq.ParquetFile(handle)
-                found, stored = footer.schema_arrow, footer.schema
-                leaves = [stored.column(i) for i in range(len(stored))]
-                noted = json.loads((footer.metadata.metadata or {}).get(SPARK_NOTE, b'{"fields": []}'))
-            # a variant looks like a struct of two binaries to others
-            variants = {f["name"] for f in noted["fields"] if f["type"] == "variant"}
-            # the old 96-bit timestamps look like nanoseconds, but Spark reads them itself
-            old_style = {leaf.path for leaf in leaves if leaf.physical_type == "INT96"}
-            fields, nanos = [], []
-            for name in found.names if columns is None else sorted(set(found.names) & set(columns)):
-                kind = found.field(name).type
-                if pa.types.is_null(kind):
-                    continue
-                if name in variants:
-                    fields.append(T.StructField(name, T.VariantType()))
-                    continue
-                if name in old_style:
-                    kind = pa.timestamp("us", tz="UTC")
-                elif pa.types.is_timestamp(kind) and kind.unit == "ns":
-                    nanos.append([name, kind.tz is not None])
-                    kind = pa.int64()
-                spark_type = from_arrow_type(without_nulls(kind), prefer_timestamp_ntz=True)
-                fields.append(T.StructField(name, spark_type))
-            return T.StructType(fields).json(), json.dumps(nanos)
-
         for chunk in chunks:
-            described = [describe(path) for path in chunk["path"]]
+            described = [describe_footer(path, columns) for path in chunk["path"]]
             yield pd.DataFrame(
                 {
                     "path": chunk["path"],

@@ -39,13 +39,23 @@ class Lake:
         last_day: date | None = None,
         day_column: str | None = None,
         fmt: str = "parquet",
+        indexed: bool = False,
     ) -> DataFrame:
         """All finished files below ``{layer}/{source}`` as one table.
 
         A date range is cut by folder, so other days are not even listed. ``day_column``
         adds the date of the folder a row was read from. Without a schema, Parquet files may
-        disagree: the table has the columns of all of them.
+        disagree: the table has the columns of all of them. ``indexed`` plans a Parquet scan from the
+        source's file index, after a refresh that opens only new files.
         """
+        if indexed and fmt == "parquet":
+            from marketlake.sources.index import FileIndex
+
+            index = FileIndex(self, source, layer)
+            index.refresh()
+            return index.scan(
+                contract=schema, day_column=day_column, first_day=first_day, last_day=last_day
+            )
         folders = [self.path(layer, source)]
         if first_day or last_day:
             folders = self._day_folders(layer, source, first_day, last_day)

@@ -1,0 +1,195 @@
+"""Models built by day: which partitions are written, restarts, and equality with full rebuilds."""
+
+import glob
+import os
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketlake import contracts
+from marketlake.functions import conform
+from marketlake.operators.quality import CheckFailure
+from marketlake.plans import incremental
+from marketlake.plans.build import build
+from marketlake.plans.incremental import DAY, build_incremental, changed_days, state_of
+from marketlake.plans.models import MODELS
+from marketlake.sinks.batches import write_batch
+from marketlake.sources import files
+from tests.conftest import plan
+
+RUN = date(2025, 2, 1)
+MON, TUE, WED = (datetime(2025, 1, d) for d in (6, 7, 8))
+
+
+@pytest.fixture
+def prefix(spark, request):
+    name = f"inc{abs(hash(request.node.name)) % 10**8}_"
+    yield name
+    for layer in ("silver", "gold"):
+        spark.sql(f"DROP DATABASE IF EXISTS `{name}{layer}` CASCADE")
+
+
+@pytest.fixture
+def put(lake):
+    """Write a batch of coins with these ids and a price."""
+
+    def write(day, name, ids, price=1.0):
+        rows = lake.spark.createDataFrame([(i, price) for i in ids], "id string, current_price double")
+        rows = rows.withColumns(
+            {"symbol": F.lit("s"), "name": F.lit("n"), "market_cap": F.lit(2e10), "market_cap_rank": F.lit(1)}
+        )
+        write_batch(lake, conform(rows, contracts.BRONZE_COINGECKO).coalesce(1), "coingecko", day, name)
+
+    return write
+
+
+def run(lake, prefix, **options):
+    done = build_incremental(lake, select="+crypto_prices", run_date=RUN, prefix=prefix, skip_checks=True, **options)
+    return {b.table.split("`")[3]: ([str(d) for d in sorted(b.written, key=str)], [str(d) for d in b.dropped]) for b in done.models}
+
+
+def rows(lake, prefix, table):
+    return sorted(tuple(r) for r in lake.spark.table(f"{prefix}{table}").select("coin_id", "price_usd", DAY).collect())
+
+
+def stamps(lake, layer, name, day):
+    return {
+        p: os.stat(p).st_mtime_ns
+        for p in glob.glob(f"{lake.root}/{layer}/{name}/{name}.parquet/{DAY}={day}/*.parquet")
+    }
+
+
+def same_as_full(lake, prefix):
+    """Both tables, without their day, are those of a full build beside them."""
+    for layer, name in (("silver", "coingecko"), ("gold", "crypto_prices")):
+        stored = lake.spark.table(f"{prefix}{layer}.{name}").drop(DAY)
+        full = incremental.MODELS["coingecko"].query(lake.scan("coingecko", schema=contracts.BRONZE_COINGECKO), RUN)
+        if layer == "gold":
+            full = MODELS["crypto_prices"].query(full)
+        assert stored.columns == full.columns
+        assert stored.exceptAll(full).isEmpty() and full.exceptAll(stored).isEmpty()
+
+
+def test_a_new_day_writes_one_partition(lake, put, prefix):
+    put(MON, "a", ["x", None, "y"])
+    put(TUE, "a", ["x"])
+    both = (["2025-01-06", "2025-01-07"], [])
+    assert run(lake, prefix) == {"coingecko": both, "crypto_prices": both}
+    before = {n: stamps(lake, l, n, d) for l, n in (("silver", "coingecko"), ("gold", "crypto_prices")) for d in ("2025-01-06",)}
+    assert all(before.values())
+    put(WED, "a", ["z"], 3.0)
+    one = (["2025-01-08"], [])
+    assert run(lake, prefix) == {"coingecko": one, "crypto_prices": one}
+    for layer, name in (("silver", "coingecko"), ("gold", "crypto_prices")):
+        assert stamps(lake, layer, name, "2025-01-06") == before[name]
+    assert rows(lake, prefix, "gold.crypto_prices") == [
+        ("x", 1.0, MON.date()), ("x", 1.0, TUE.date()), ("y", 1.0, MON.date()), ("z", 3.0, WED.date()),
+    ]
+    same_as_full(lake, prefix)
+    nothing = ([], [])
+    assert run(lake, prefix) == {"coingecko": nothing, "crypto_prices": nothing}
+
+
+def test_replaced_added_and_deleted_batches(lake, put, prefix):
+    for day in (MON, TUE, WED):
+        put(day, "a", ["x", "y"])
+    run(lake, prefix)
+    put(MON, "a", ["x", "w"], 5.0)
+    put(TUE, "late", ["v"])
+    files.discard(lake.spark, lake.path("bronze", "coingecko", "2025-01-08"))
+    want = (["2025-01-06", "2025-01-07"], ["2025-01-08"])
+    assert run(lake, prefix) == {"coingecko": want, "crypto_prices": want}
+    same_as_full(lake, prefix)
+    parts = lake.spark.sql(f"SHOW PARTITIONS `{prefix}gold`.`crypto_prices`").collect()
+    assert sorted(r[0] for r in parts) == [f"{DAY}=2025-01-06", f"{DAY}=2025-01-07"]
+
+
+def test_a_day_that_loses_all_its_rows_keeps_none(lake, put, prefix):
+    put(MON, "a", ["x"])
+    put(TUE, "a", ["y"])
+    run(lake, prefix)
+    put(TUE, "a", [None])
+    assert run(lake, prefix)["coingecko"] == (["2025-01-07"], [])
+    assert rows(lake, prefix, "silver.coingecko") == [("x", 1.0, MON.date())]
+    same_as_full(lake, prefix)
+
+
+def test_a_run_that_dies_before_it_notes_its_state(lake, put, prefix, monkeypatch):
+    put(MON, "a", ["x"])
+    run(lake, prefix)
+    put(TUE, "a", ["y"])
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(incremental, "write_folder", die)
+        with pytest.raises(RuntimeError, match="lost"):
+            run(lake, prefix)
+    one = (["2025-01-07"], [])
+    assert run(lake, prefix) == {"coingecko": one, "crypto_prices": one}
+    same_as_full(lake, prefix)
+
+
+def test_gold_follows_later(lake, put, prefix):
+    put(MON, "a", ["x"])
+    run(lake, prefix)
+    put(TUE, "a", ["y"])
+    build_incremental(lake, select="silver.coingecko", run_date=RUN, prefix=prefix, skip_checks=True)
+    done = run(lake, prefix)
+    assert done == {"coingecko": ([], []), "crypto_prices": (["2025-01-07"], [])}
+    same_as_full(lake, prefix)
+
+
+def test_tables_of_a_full_build_are_built_anew(lake, put, prefix):
+    put(MON, "a", ["x"])
+    put(TUE, "a", ["y"])
+    run(lake, prefix)
+    build(lake, select="+crypto_prices", run_date=RUN, skip_checks=True, prefix=prefix)
+    both = (["2025-01-06", "2025-01-07"], [])
+    assert run(lake, prefix) == {"coingecko": both, "crypto_prices": both}
+    same_as_full(lake, prefix)
+    assert run(lake, prefix, full_refresh=True) == {"coingecko": both, "crypto_prices": both}
+    same_as_full(lake, prefix)
+
+
+def test_files_outside_day_folders_are_the_day_null(lake, put, prefix):
+    put(MON, "a", ["x"])
+    loose = lake.spark.createDataFrame([("l", 9.0)], "id string, current_price double")
+    conform(loose, contracts.BRONZE_COINGECKO).coalesce(1).write.parquet(lake.path("bronze", "coingecko", "loose"))
+    assert run(lake, prefix)["coingecko"] == (["2025-01-06", "None"], [])
+    put(TUE, "a", ["y"])
+    assert run(lake, prefix)["crypto_prices"] == (["2025-01-07"], [])
+    files.discard(lake.spark, lake.path("bronze", "coingecko", "loose"))
+    assert run(lake, prefix)["crypto_prices"] == ([], ["None"])
+    same_as_full(lake, prefix)
+
+
+def test_partitions_are_pruned_by_list_or_while_the_query_runs(lake, put, prefix, monkeypatch):
+    for day in (MON, TUE, WED):
+        put(day, "a", ["x"])
+    run(lake, prefix)
+    gold = MODELS["crypto_prices"]
+    listed = changed_days(lake, gold, [MON.date()], "r", prefix)
+    assert "PartitionFilters: [" in plan(listed) and "2025-01-06" in plan(listed).split("PartitionFilters")[1]
+    assert len(listed.inputFiles()) == 1
+    monkeypatch.setattr(incremental, "LISTED_DAYS", 0)
+    joined = changed_days(lake, gold, [MON.date(), WED.date()], "r", prefix)
+    assert "dynamicpruning" in plan(joined)
+    assert {r[DAY] for r in joined.collect()} == {MON.date(), WED.date()}
+    put(TUE, "b", ["y"])
+    assert run(lake, prefix)["crypto_prices"] == (["2025-01-07"], [])
+    same_as_full(lake, prefix)
+
+
+def test_checks_of_incremental_tables(lake, put, prefix):
+    put(MON, "a", ["x"])
+    done = build_incremental(lake, select="+crypto_prices", run_date=RUN, prefix=prefix)
+    assert done.checks and all(r["failures"] == 0 for r in done.checks)
+    # The same coin on another day is a second row, which the check of unique ids reports.
+    put(TUE, "a", ["x"])
+    with pytest.raises(CheckFailure):
+        build_incremental(lake, select="+crypto_prices", run_date=RUN, prefix=prefix)
+    states = state_of(lake, MODELS["crypto_prices"], prefix).collect()
+    assert sorted(str(r[DAY]) for r in states) == ["2025-01-06", "2025-01-07"]

@@ -27,13 +27,16 @@ from marketlake.functions import (
 from marketlake.operators import normalize, profile, quality
 from marketlake.plans import models
 from marketlake.plans.build import build
+from marketlake.plans.incremental import IncrementalResult, build_incremental, state_of
 from marketlake.plans.ingest import ingest
 from marketlake.plans.query import create_view, query_source
 from marketlake.plans.run_log import query_log, run_log
 from marketlake.session import configure, scratch_root
-from marketlake.sinks.batches import write_batch
+from marketlake.plans.models import MODELS
+from marketlake.sinks.batches import delete_batch, write_batch
 from marketlake.sinks.tables import create_layout, publish_table
 from marketlake.sources import catalog, drift, landing
+from marketlake.sources.index import FileIndex
 from marketlake.sources.lake import Lake
 from marketlake.streaming.ingest import ingest_new
 from workload import adapters
@@ -570,6 +573,97 @@ def build_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.table(spark, f"{prefix}gold", "crypto_prices")
 
 
+@query(f"""
+with known as (
+  select *, case when market_cap_rank % 3 = 0 then date '2024-02-01'
+    when market_cap_rank % 3 = 1 then date '2024-02-02' else date '2024-02-03' end as batch_day
+  from ({_GOLD_SQL})
+)
+select *, batch_day <> date '2024-02-01' as written_last from known
+where batch_day <> date '2024-02-02' or market_cap_rank % 2 = 0""")
+def incremental_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after a second run, for which one day was new and the batch of another one replaced."""
+    lake, prefix = _new_lake(spark), _new_prefix()
+    coins = adapters.coins(spark, sf_dir)
+
+    def put(day: int, which: str) -> None:
+        write_batch(lake, coins.where(which), "coingecko", datetime(2024, 2, day), "coins")
+
+    def run() -> IncrementalResult:
+        return build_incremental(
+            lake, select="+crypto_prices", run_date=RUN_DATE, skip_checks=True, prefix=prefix
+        )
+
+    put(1, "market_cap_rank % 3 = 0")
+    put(2, "market_cap_rank % 3 = 1")
+    run()
+    put(2, "market_cap_rank % 3 = 1 and market_cap_rank % 2 = 0")
+    put(3, "market_cap_rank % 3 = 2")
+    last = run().models[-1]
+    state = state_of(lake, MODELS["crypto_prices"], prefix)
+    written = state.select("batch_day", (F.col("run") == last.run).alias("written_last"))
+    return spark.table(last.table).join(written, "batch_day")
+
+
+@query(f"""
+select event_id, ts, event_type, (
+  select count(distinct {adapters.BATCH_DAY}) from events
+  where ts between timestamp '2024-01-08' and timestamp '2024-01-14') as batches_read
+from events where ts between timestamp '2024-01-08' and timestamp '2024-01-14'""")
+def indexed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of times over an indexed source; files outside it are not read."""
+    lake = _events_lake(spark, sf_dir)
+    index = FileIndex(lake, "events")
+    index.refresh()
+    low, high = datetime(2024, 1, 8), datetime(2024, 1, 14)
+    batches = index.files_between("ts", low, high).select("batch").distinct().count()
+    found = index.scan("ts", low, high).select("event_id", "ts", "event_type")
+    return found.withColumn("batches_read", F.lit(batches))
+
+
+@query(f"""
+with kept as (
+  select * from events where {adapters.BATCH_DAY} = date '2024-01-10'
+  union all
+  select * from events where {adapters.BATCH_DAY} = date '2024-01-20' and event_id % 2 = 0
+),
+facts as (
+  select count(*) as n, count(distinct {adapters.BATCH_DAY}) as days, min(event_id) as low,
+    max(event_id) as high, count(*) - count(value) as nulls
+  from kept
+)
+select 'rows' as fact, cast(n as varchar) as value from facts
+union all select 'days', cast(days as varchar) from facts
+union all select 'least event_id', cast(low as varchar) from facts
+union all select 'greatest event_id', cast(high as varchar) from facts
+union all select 'value is null', cast(nulls as varchar) from facts""")
+def index_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of an indexed source, without its data, after a batch was replaced and another one deleted."""
+    lake = _events_lake(spark, sf_dir)
+    index = FileIndex(lake, "events")
+    index.refresh()
+    (_, _), (second, condition), (third, _) = adapters.BATCHES
+    half = adapters.table(spark, sf_dir, "events").where(condition).where("event_id % 2 = 0")
+    write_batch(lake, half, "events", second)
+    delete_batch(lake, "events", third)
+    index.refresh()
+    ids = index.column_range("event_id").where("kind = 'number'")
+    values = index.column_range("value").agg(F.sum("nulls").cast("string").alias("value"))
+
+    def fact(name: str, frame: DataFrame, value: str) -> DataFrame:
+        return frame.selectExpr(f"'{name}' as fact", f"{value} as value")
+
+    return normalize.stack(
+        [
+            fact("rows", index.row_count(), "cast(n_rows as string)"),
+            fact("days", index.days().agg(F.count(F.lit(1)).alias("n")), "cast(n as string)"),
+            fact("least event_id", ids, "low"),
+            fact("greatest event_id", ids, "high"),
+            fact("value is null", values, "value"),
+        ]
+    )
+
+
 @query("""
 select 'silver' as layer, 'coingecko' as name, count(*) as n_rows from part where p_partkey % 53 <> 0
 union all select 'silver', 'defillama', count(*) from supplier where s_suppkey % 29 <> 0
