@@ -6,9 +6,11 @@ least one piece of any such occurrence is intact. An automaton finds all intact
 over a document; around every hit Myers' bit-parallel distance, on words, decides. Nothing is
 sampled: an occurrence within the budget anywhere in a whole text is found.
 
-The test set is handed to the tasks in shards of at most ``shard_chars`` characters of items (one
-larger item is a shard of its own), whose size is known before they are sent. A set beyond that
-takes more passes over the documents. Scanning is one narrow stage without a shuffle.
+The test set is handed to the tasks in shards of about ``shard_chars`` characters of items, whose size
+is known before they are sent; they lie on the executors' disks until they are asked for. A task
+holds the automata of ``HELD_MATCHERS`` shards. Beyond that it takes the shards in turn over
+``CHUNK_CHARS`` characters of documents at a time, so that an automaton is built once a chunk and not
+once a batch. Documents are scanned once, in one narrow stage without a shuffle.
 
 Defined results: a null or empty text has no hits, a null or wordless item is never found; rows
 that repeat count one by one; a hit of a row without id has a null doc_id; equal items are found
@@ -18,7 +20,8 @@ each under its own id; empty tables give no hits. Other columns are left alone.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -28,6 +31,8 @@ from pyspark.sql import types as T
 
 EDIT_RATE = 0.2
 SHARD_CHARS = 1_000_000
+HELD_MATCHERS = 4
+CHUNK_CHARS = 32_000_000
 
 WORD = re.compile(r"\w+")
 
@@ -174,50 +179,59 @@ class Matcher:
 
 
 def _shards(items: DataFrame, shard_chars: int) -> Iterator[list[tuple[int | None, str]]]:
-    """The items in shards of about ``shard_chars``, one on the driver at a time."""
+    """The items in shards of about ``shard_chars``, dealt out in one pass, one on the driver at a time."""
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     rows = rows.where(F.col("text").isNotNull())
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     count = max(1, -(-total // shard_chars))
-    shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
-    for k in range(count):
-        yield sorted(map(tuple, rows.where(shard == k).collect()), key=repr)
+    shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(count)).alias("shard")
+    dealt = rows.select(shard, "item_id", "text").repartition(count, "shard").sortWithinPartitions("shard")
+    for _, own in groupby(dealt.toLocalIterator(), key=lambda r: r["shard"]):
+        yield sorted(((r["item_id"], r["text"]) for r in own), key=repr)
 
 
-def _matcher(held) -> Matcher:
-    """The matcher of a broadcast shard, built once in each Python worker."""
-    if held.id not in _BUILT:
-        _BUILT.clear()
-        _BUILT[held.id] = Matcher(*held.value)
-    return _BUILT[held.id]
+class _Held:
+    """A broadcast shard that is known by its number in every worker."""
 
+    def __init__(self, broadcast, number: int):
+        self.broadcast, self.number = broadcast, number
 
-class _Held:
-    def __init__(self, broadcast):
-        self.broadcast, self.id = broadcast, broadcast._jbroadcast.id()
 
-    @property
-    def value(self):
-        return self.broadcast.value
+_BUILT: dict[int, Matcher] = {}
 
-    def __reduce__(self):
-        return _restore, (self.broadcast, self.id)
 
+def _matcher(held: _Held) -> Matcher:
+    """The matcher of a shard; a worker keeps those it used last."""
+    matcher = _BUILT.pop(held.number, None)
+    if matcher is None:
+        while len(_BUILT) >= HELD_MATCHERS:
+            _BUILT.pop(next(iter(_BUILT)))
+        matcher = Matcher(*held.broadcast.value)
+    _BUILT[held.number] = matcher
+    return matcher
 
-def _restore(broadcast, key):
-    held = _Held.__new__(_Held)
-    held.broadcast, held.id = broadcast, key
-    return held
 
+def _held_shards(docs: DataFrame, items: DataFrame, edit_rate: float, shard_chars: int) -> list[_Held]:
+    context = docs.sparkSession.sparkContext
+    shards = (context.broadcast((shard, edit_rate)) for shard in _shards(items, shard_chars) if shard)
+    return [_Held(b, b._jbroadcast.id()) for b in shards]
 
-_BUILT: dict[int, Matcher] = {}
 
+def _chunks(parts: Iterator, size: Callable) -> Iterator[list]:
+    """Consecutive parts of about CHUNK_CHARS characters together."""
+    held, chars = [], 0
+    for part in parts:
+        held.append(part)
+        chars += size(part)
+        if chars >= CHUNK_CHARS:
+            yield held
+            held, chars = [], 0
+    if held:
+        yield held
 
-def _held_shards(docs: DataFrame, items: DataFrame, edit_rate: float, shard_chars: int):
-    context = docs.sparkSession.sparkContext
-    for shard in _shards(items, shard_chars):
-        if shard:
-            yield _Held(context.broadcast((shard, edit_rate)))
+
+def _characters(texts: pd.Series) -> int:
+    return int(texts.map(lambda t: len(t) if t else 0).sum())
 
 
 def find_benchmark(
@@ -231,23 +245,24 @@ def find_benchmark(
     source = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    result = None
-    for held in _held_shards(docs, items, edit_rate, shard_chars):
-
-        def scan(frames: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            matcher = _matcher(held)
-            for frame in frames:
-                rows = [
-                    (None if pd.isna(doc_id) else int(doc_id), *hit)
-                    for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True)
-                    for hit in matcher.find(text)
-                ]
-                out = pd.DataFrame(rows, columns=HITS.fieldNames())
-                yield out.astype({"doc_id": "Int64", "item_id": "Int64"})
-
-        part = source.mapInPandas(scan, HITS)
-        result = part if result is None else result.unionByName(part)
-    return result if result is not None else docs.sparkSession.createDataFrame([], HITS)
+    shards = _held_shards(docs, items, edit_rate, shard_chars)
+    if not shards:
+        return docs.sparkSession.createDataFrame([], HITS)
+
+    def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for chunk in _chunks(frames, lambda frame: _characters(frame["text"])):
+            for held in shards:
+                matcher = _matcher(held)
+                for frame in chunk:
+                    rows = [
+                        (None if pd.isna(doc_id) else int(doc_id), *hit)
+                        for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True)
+                        for hit in matcher.find(text)
+                    ]
+                    out = pd.DataFrame(rows, columns=HITS.fieldNames())
+                    yield out.astype({"doc_id": "Int64", "item_id": "Int64"})
+
+    return source.mapInPandas(scan, HITS)
 
 
 def decontaminate(
@@ -258,16 +273,20 @@ def decontaminate(
     shard_chars: int = SHARD_CHARS,
 ) -> DataFrame:
     """The documents that hold no test item, with all their columns."""
-    kept = docs
-    for held in _held_shards(docs, items, edit_rate, shard_chars):
-        kept = kept.where(_clean(held)(F.col("text").cast("string")))
-    return kept
+    shards = _held_shards(docs, items, edit_rate, shard_chars)
+    if not shards:
+        return docs
 
-
-def _clean(held: _Held):
     @F.pandas_udf(T.BooleanType())
-    def clean(texts: pd.Series) -> pd.Series:
-        matcher = _matcher(held)
-        return pd.Series([not matcher.contains(t) for t in texts], dtype=bool)
-
-    return clean
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for chunk in _chunks(batches, _characters):
+            kept = [np.ones(len(texts), bool) for texts in chunk]
+            for held in shards:
+                matcher = _matcher(held)
+                for texts, flags in zip(chunk, kept, strict=True):
+                    for k, text in enumerate(texts):
+                        if flags[k] and matcher.contains(text):
+                            flags[k] = False
+            yield from map(pd.Series, kept)
+
+    return docs.where(clean(F.col("text").cast("string")))

@@ -7,6 +7,12 @@ fit again, until one group is left. What goes on from a group is at most ``max_o
 emptiest ones; fuller ones are final as they are, so no task holds more than
 ``fan_in * max_open`` numbers and nothing is left out. A merged bin keeps the id of its first part.
 
+The cap costs no sequence of the method. Best fit leaves at most one bin of a group that is half full
+or less, for of two such bins the second one would have gone into the first. So a merge of ``fan_in``
+groups has at most ``fan_in`` bins that fit together with any other; two bins over half full never do.
+Each of these few can go into one of the ``max_open`` emptiest bins if it fits into a bin at all, and
+all of those stay open.
+
 Pieces move through a shuffle only if their first bin stayed underfull.
 
 Defined results: a null text is empty and has the end id alone; a null doc_id is kept as null; each

@@ -422,33 +422,74 @@ def test_packing_merges_over_many_tasks(spark):
     assert used <= 1.05 * least
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_closing_the_fuller_of_many_open_bins_costs_no_sequence(seed):
+    """Groups of mostly half full bins, merged over a tree with a cap on open bins and without one."""
+    rng = np.random.default_rng(seed)
+    tasks = [rng.integers(500, 1000, 300).tolist() + rng.integers(1, 400, 40).tolist() for _ in range(16)]
+
+    def sequences(cap):
+        closed, groups = 0, tasks
+        while True:
+            merged = []
+            for lengths in groups:
+                lengths = np.array(lengths, dtype=np.int64)
+                keys = np.arange(len(lengths))[None, :]
+                _, bins, offsets, fills, final = packing.pack(keys, lengths, 1000, 0.99, cap)
+                heads = offsets == 0
+                closed += int((heads & final).sum())
+                merged.append(fills[heads & ~final].tolist())
+            if len(merged) == 1:
+                return closed + len(merged[0])
+            groups = [sum(merged[k : k + 4], []) for k in range(0, len(merged), 4)]
+
+    free = sequences(10**9)
+    assert sequences(200) == free
+
+
 # --- token counts ---------------------------------------------------------------------
 
 
-def test_tokens_of_lines_add_up(result, documents):
-    lengths = token_counts.Lengths(tokenizer("byte_bpe_multi_50k.tiktoken"))
+def check_tokens(found, documents, ranks="byte_bpe_multi_50k.tiktoken"):
+    """Every token of every text, byte by byte, by the majority of its bytes; ties to the first line."""
+    lengths = token_counts.Lengths(tokenizer(ranks))
     rows = collections.defaultdict(list)
-    for r in result("op7_token_counts"):
+    for r in found:
         rows[r["doc_id"]].append(r)
+    crossed = 0
     for doc_id, text in documents:
         text = text or ""
         own = sorted(rows[doc_id], key=lambda r: r["section"])
         assert "".join(text[r["start"] : r["end"]] for r in own) == text
         assert [r["end"] for r in own[:-1]] == [r["start"] for r in own[1:]]
-        assert sum(r["n_tokens"] for r in own) == len(lengths.encoding.encode_ordinary(text))
-        at, want = 0, [0] * len(own)
+        line_of = [k for k, r in enumerate(own) for c in text[r["start"] : r["end"]] for _ in c.encode()]
+        at, want, crossing = 0, [0] * len(own), [0] * len(own)
         for token in lengths.encoding.encode_ordinary(text):
             size = len(lengths.encoding.decode_single_token_bytes(token))
-            held = collections.Counter()
-            for byte in range(at, at + size):
-                char = len(text.encode()[:byte].decode("utf-8", "ignore")) if not text.isascii() else byte
-                held[next(k for k, r in enumerate(own) if r["start"] <= char < r["end"])] += 1
-            want[min(k for k, n in held.items() if n == max(held.values()))] += 1
+            held = collections.Counter(line_of[at : at + size])
+            owner = min(k for k, n in held.items() if n == max(held.values()))
+            want[owner] += 1
+            crossing[owner] += len(held) > 1
             at += size
-            if at > 300:
-                break
-        else:
-            assert [r["n_tokens"] for r in own] == want
+        assert at == len(line_of)
+        assert [r["n_tokens"] for r in own] == want
+        assert [r["n_crossing"] for r in own] == crossing
+        crossed += sum(crossing)
+    return crossed
+
+
+def test_tokens_of_lines_add_up(result, documents):
+    check_tokens(result("op7_token_counts"), documents)
+
+
+def test_tokens_across_line_ends(spark):
+    texts = ["a\n\n\n\nb", "x \n\n \n  y\n", "\n" * 40, "é\n\n日本\n\n\n語", "\r\n\r\n z", "    \n    \n  "]
+    documents = list(enumerate(texts))
+    found = token_counts.count_tokens(
+        spark.createDataFrame(documents, "doc_id long, text string"),
+        tokenizer("byte_bpe_50k.tiktoken"), sections="line", rule="majority",
+    )
+    assert check_tokens(found.collect(), documents, "byte_bpe_50k.tiktoken")
 
 
 def test_token_counts_of_odd_rows(docs, nothing):
@@ -492,6 +533,47 @@ def test_benchmark_shards_reach_the_driver_one_by_one(spark):
     assert sorted(i for shard in shards for i, _ in shard) == list(range(6))
 
 
+@pytest.mark.parametrize("held, chunk, builds", [(1, 10**9, 4), (4, 1, 4), (1, 1, 4 * 7)])
+def test_automata_are_built_once_a_chunk_or_held(monkeypatch, held, chunk, builds):
+    """Seven batches of texts against four shards."""
+    made = []
+
+    class Counted(decontaminate.Matcher):
+        def __init__(self, *args):
+            made.append(args)
+            super().__init__(*args)
+
+    class Sent:
+        def __init__(self, value):
+            self.value = value
+
+    monkeypatch.setattr(decontaminate, "Matcher", Counted)
+    monkeypatch.setattr(decontaminate, "_BUILT", {})
+    monkeypatch.setattr(decontaminate, "HELD_MATCHERS", held)
+    monkeypatch.setattr(decontaminate, "CHUNK_CHARS", chunk)
+    shards = [decontaminate._Held(Sent(([(k, f"word{k} of the test")], 0.2)), k) for k in range(4)]
+    found = []
+    frames = iter([f"some word{k % 5} of the test here"] for k in range(7))
+    for texts in decontaminate._chunks(frames, lambda part: sum(map(len, part))):
+        for shard in shards:
+            matcher = decontaminate._matcher(shard)
+            found += [text for part in texts for text in part if matcher.contains(text)]
+    assert len(found) == 6 and len(made) == builds
+
+
+def test_several_shards_find_what_one_does(spark, monkeypatch):
+    documents, items = table(spark, SF_DIR, "documents"), table(spark, SF_DIR, "benchmark")
+    hits = {
+        chars: sorted(map(tuple, decontaminate.find_benchmark(documents, items, shard_chars=chars).collect()))
+        for chars in (10**6, 1500)
+    }
+    assert hits[10**6] and hits[10**6] == hits[1500]
+    kept = decontaminate.decontaminate(documents, items, shard_chars=1500)
+    assert "ArrowEvalPython" in kept._jdf.queryExecution().executedPlan().toString()
+    assert {r["doc_id"] for r in kept.collect()}.isdisjoint({h[0] for h in hits[1500]})
+    assert kept.count() == documents.count() - len({h[0] for h in hits[1500]})
+
+
 def test_decontamination_of_odd_rows(spark, docs, nothing):
     items = spark.createDataFrame(
         [(1, "one two three"), (2, None), (3, ""), (None, "?!"), (1, "one two three"), (4, LONG)],
