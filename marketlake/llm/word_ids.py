@@ -57,20 +57,22 @@ class WordIds:
         self.ends_word = np.zeros(max(ids.values()) + 1, bool)
         self.ends_word[[k for token, k in ids.items() if token.endswith("</w>")]] = True
         added = self.tokenizer.get_added_tokens_decoder().values()
-        self.special = [token.content.lower().encode() for token in added]
+        self.special = [token.content.lower() for token in added]
+        if not all(token.startswith("<|") for token in self.special):
+            raise ValueError("special tokens are looked for by their first signs")
         self.held = _Held(self, {})
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            data = text.encode("utf-8", "replace").lower()
-            if any(token in data for token in self.special):
-                out.append(self._whole(text))
-                continue
-            out.append(b"".join(map(self.held.__getitem__, data.split())))
-            if len(self.held) > self.held_words:
-                self.held = _Held(self, dict(self.held))
-        return out
+        return [self.encode_split(t, t.encode("utf-8", "replace").lower().split()) for t in texts]
+
+    def encode_split(self, text: str, words: list[bytes]) -> bytes:
+        """The same for a text whose words, in lower case (A-Z), are known."""
+        if "<|" in text and any(token in text.lower() for token in self.special):
+            return self._whole(text)
+        ids = b"".join(map(self.held.__getitem__, words))
+        if len(self.held) > self.held_words:
+            self.held = _Held(self, dict(self.held))
+        return ids
 
     def learn(self, word: bytes) -> bytes:
         """Letters, then signs, are pieces of their own; any other word is encoded as a text."""
