@@ -7,7 +7,6 @@ form is for the one path a job writes to.
 from __future__ import annotations
 
 from datetime import UTC, datetime
-from string import Formatter
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,9 +16,8 @@ from marketlake.contracts import FILE_FORMATS
 DAY_FOLDER = r"\d{4}-\d{2}-\d{2}"
 
 
-# Where existing lakes keep a batch, and what a batch without a name is called.
+# How existing lakes write the day of a batch, and the time of one without a name.
 # Dates are written by Python for one path and by Spark for a column of them.
-LAYOUT = "{layer}/{source}/{day}/{entry}"
 DAY = ("%Y-%m-%d", "yyyy-MM-dd")
 STAMP = ("%Y%m%d_%H%M%S", "yyyyMMdd_HHmmss")
 
@@ -44,9 +42,7 @@ def lake_path(
     """Path of one batch, relative to the lake root."""
     date = date or datetime.now(UTC)
     stem = (filename or run_id(source, date)).removesuffix(f".{fmt}")
-    return LAYOUT.format(
-        layer=layer, source=source, day=date.strftime(DAY[0]), entry=f"{stem}.{fmt}"
-    )
+    return f"{layer}/{source}/{date.strftime(DAY[0])}/{stem}.{fmt}"
 
 
 def lake_path_column(
@@ -59,16 +55,9 @@ def lake_path_column(
     """The same path for every row of a table of batches."""
     unnamed = F.concat(source, F.lit("_"), F.date_format(date, STAMP[1]))
     stem = unnamed if filename is None else F.coalesce(filename, unnamed)
-    parts = {
-        "layer": F.lit(layer),
-        "source": source,
-        "day": F.date_format(date, DAY[1]),
-        "entry": F.concat(F.regexp_replace(stem, rf"\.{fmt}$", ""), F.lit(f".{fmt}")),
-    }
-    pieces = []
-    for text, name, _, _ in Formatter().parse(LAYOUT):
-        pieces += [F.lit(text)] * bool(text) + [parts[name]]
-    return F.concat(*pieces)
+    day = F.date_format(date, DAY[1])
+    entry = F.concat(F.regexp_replace(stem, rf"\.{fmt}$", ""), F.lit(f".{fmt}"))
+    return F.concat(F.lit(f"{layer}/"), source, F.lit("/"), day, F.lit("/"), entry)
 
 
 def parse_lake_path(path: Column) -> Column:

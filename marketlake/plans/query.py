@@ -7,13 +7,16 @@ import logging
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from marketlake.operators.profile import row_count
+from marketlake.operators.profile import first_rows, row_count
 from marketlake.sources.drift import scan_any_schema
 from marketlake.sources.lake import Lake
 
 log = logging.getLogger(__name__)
 
-DEFAULT_ROWS = 10
+#: Rows shown where no query is given.
+SHOWN = 10
+#: Where a text has the source's rows.
+ROWS = "{view}"
 
 
 def create_view(
@@ -41,10 +44,21 @@ def query_source(
     layer: str = "bronze",
     contract: T.StructType | None = None,
 ) -> DataFrame:
-    """Run SQL over a source; ``{view}`` stands for its view, no query shows the first rows."""
-    name, _ = create_view(lake, source, layer, contract=contract)
-    text = query or f"SELECT * FROM {name} LIMIT {DEFAULT_ROWS}"
-    text = text.replace("{view}", name)
-    if name not in text:
-        log.warning("query does not use the view %s: %s", name, text)
-    return lake.spark.sql(text)
+    """Run SQL over a source, whose rows stand where the text has ``{view}`` or its view's name.
+
+    A text without the former gets a view of that name, which is dropped, with a warning, if the
+    analysed query reads no such thing. Other braces of the text stay. No query shows the first rows.
+    """
+    rows = scan_any_schema(lake, source, contract, layer)
+    if query is None:
+        return first_rows(rows, SHOWN)
+    if ROWS in query:
+        literal = query.replace("{", "{{").replace("}", "}}").replace(f"{{{ROWS}}}", ROWS)
+        return lake.spark.sql(literal, view=rows)
+    name = f"{source}_{layer}"
+    rows.createOrReplaceTempView(name)
+    answer = lake.spark.sql(query)
+    if f"SubqueryAlias {name}\n" not in answer._jdf.queryExecution().analyzed().toString():
+        lake.spark.catalog.dropTempView(name)
+        log.warning("query does not use the view %s: %s", name, query)
+    return answer

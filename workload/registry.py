@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from marketlake import contracts
 from marketlake.contracts import accepted_range, accepted_values, not_null, unique
 from marketlake.functions import (
+    conform,
     keys_first,
     lake_path_column,
     nested_to_json,
@@ -25,8 +26,10 @@ from marketlake.functions import (
     tag,
 )
 from marketlake.operators import normalize, profile, quality
+from marketlake.operators.asof import as_of
 from marketlake.plans import models
 from marketlake.plans.build import build
+from marketlake.plans.concurrent import ConcurrentBuild
 from marketlake.plans.incremental import IncrementalResult, build_incremental, state_of
 from marketlake.plans.ingest import ingest
 from marketlake.plans.query import create_view, query_source
@@ -34,7 +37,8 @@ from marketlake.plans.run_log import query_log, run_log
 from marketlake.session import configure, scratch_root
 from marketlake.plans.models import MODELS
 from marketlake.sinks.batches import delete_batch, write_batch
-from marketlake.sinks.tables import create_layout, publish_table
+from marketlake.sinks.functions import create_day_function, create_functions, run_sql
+from marketlake.sinks.tables import create_layout, publish_bucketed, publish_table
 from marketlake.sources import catalog, drift, landing
 from marketlake.sources.index import FileIndex
 from marketlake.sources.lake import Lake
@@ -605,6 +609,123 @@ def incremental_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(last.table).join(written, "batch_day")
 
 
+_SNAPSHOTS = """
+select case when event_id % 2 = 0 then 'coin-hot' else 'coin-' || cast(user_id % 40 as varchar(20)) end as id,
+  ts, event_id, value, user_id
+from {events}"""
+_MOMENTS = """
+select o_orderkey, case when o_orderkey % 2 = 0 then 'coin-hot'
+    when o_orderkey % 41 = 0 then null else 'coin-' || cast(o_custkey % 45 as varchar(20)) end as wanted,
+  {moment} as moment
+from {orders}"""
+
+
+@query(f"""
+with snapshots as ({_SNAPSHOTS.format(events="events")}),
+gold as (
+  select id as coin_id, ts as seen_at, value as price_usd, value * 1000 as market_cap_usd,
+    value * 1000 / nullif(user_id % 5, 0) as price_per_coin
+  from snapshots where ts is not null
+  qualify row_number() over (partition by id, ts order by event_id desc) = 1
+),
+moments as ({_MOMENTS.format(orders="orders", moment="timestamp '2024-01-01' + to_seconds(o_orderkey * 7919 % 3000000)")})
+select o_orderkey, wanted, moment, price_usd, market_cap_usd, price_per_coin, seen_at
+from moments asof left join gold on wanted = coin_id and moment >= seen_at""")
+def gold_as_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold row of a coin as of the moment of every order; one coin has half of all rows."""
+    snapshots = spark.sql(_SNAPSHOTS, events=adapters.table(spark, sf_dir, "events"))
+    bronze = snapshots.selectExpr(
+        "id", "value as current_price", "value * 1000 as market_cap",
+        "cast(user_id % 5 as double) as circulating_supply", "event_id as market_cap_rank",
+        "cast(ts as timestamp) as seen_at",
+    )
+    dated = T.StructType([*contracts.BRONZE_COINGECKO.fields, T.StructField("seen_at", T.TimestampType())])
+    silver = models.silver_coingecko(conform(bronze, dated), RUN_DATE, keep=("seen_at",))
+    gold = models.gold_crypto_prices(silver, keep=("seen_at",))
+    moment = "timestamp '2024-01-01' + make_dt_interval(0, 0, 0, o_orderkey * 7919 % 3000000)"
+    moments = spark.sql(_MOMENTS.replace("{moment}", moment), orders=adapters.table(spark, sf_dir, "orders"))
+    renamed = moments.withColumn("coin_id", F.col("wanted"))
+    matched = as_of(
+        renamed, gold, ["coin_id"], "moment", "seen_at",
+        ["price_usd", "market_cap_usd", "price_per_coin"],
+        ties=("market_cap_rank",), matched_time="seen_at",
+    )
+    return matched.drop("coin_id").withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in ("moment", "seen_at")}
+    )
+
+
+@query(f"""
+select coin_id, price_usd, volume_to_market_cap_ratio, trend_7d, market_cap_category,
+  'silver/coins/' || strftime(ingestion_date, '%Y-%m-%d') || '/coins_' || strftime(ingestion_date, '%Y%m%d')
+    || '_000000.parquet' as path,
+  batch_day
+from (
+  select *, case when market_cap_rank % 2 = 0 then date '2024-02-01' else date '2024-02-02' end as batch_day
+  from ({_GOLD_SQL})
+) where batch_day = date '2024-02-02'""")
+def catalog_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Functions of the lake by name in SQL: two days of a table, of which one is read."""
+    lake, prefix = _new_lake(spark), _new_prefix()
+    coins = adapters.coins(spark, sf_dir)
+    for day in (1, 2):
+        which = coins.where(f"market_cap_rank % 2 = {day - 1}")
+        write_batch(lake, which, "coingecko", datetime(2024, 2, day), "coins")
+    build_incremental(lake, select="silver.coingecko", run_date=RUN_DATE, skip_checks=True, prefix=prefix)
+    database = f"{prefix}silver"
+    create_functions(lake, database)
+    create_day_function(lake, database, "coingecko")
+    text = """
+    select coin_id, price_usd, calculate_ratio_pct(volume_24h_usd, market_cap_usd) as volume_to_market_cap_ratio,
+      trend_label(price_change_pct_7d) as trend_7d, cap_label(market_cap_usd) as market_cap_category,
+      lake_path('coins', cast(ingestion_date as timestamp), layer => 'silver') as path, batch_day
+    from coingecko_between(date'2024-02-02', date'2024-02-29')"""
+    return run_sql(lake, database, text)
+
+
+@query(f"""
+select g.coin_id, g.trend_7d, s.coin_name, n_rows
+from ({_GOLD_SQL}) g join ({_SILVER_COINS_SQL}) s on g.coin_id = s.coin_id
+join (select id, count(*) as n_rows from ({_COINS}) group by id) on g.coin_id = id""")
+def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables in buckets of the coin, joined and counted without a shuffle."""
+    lake, prefix = _new_lake(spark), _new_prefix()
+    silver = _silver_coins(spark, sf_dir)
+    names = [
+        publish_bucketed(lake, frame, layer, name, ["coin_id"], 8, f"{prefix}{layer}")
+        for frame, layer, name in (
+            (silver, "silver", "coins"),
+            (models.gold_crypto_prices(silver), "gold", "prices"),
+        )
+    ]
+    coins, prices = map(spark.table, names)
+    counts = coins.groupBy("coin_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    joined = prices.select("coin_id", "trend_7d").join(
+        coins.select("coin_id", "coin_name").hint("merge"), "coin_id"
+    )
+    return joined.join(counts.hint("merge"), "coin_id")
+
+
+@query("""
+select 'coingecko' as model, 'failed' as outcome, count(*) as odd_rows, 0 as rows from part
+where p_partkey % 47 = 0 and p_partkey % 53 <> 0
+union all select 'defillama', 'built', 0, count(*) from supplier where s_suppkey % 29 <> 0
+union all select 'yfinance', 'built', 0, count(*) from events
+  where event_type is not null and ts is not null and event_id % 31 <> 0
+union all select 'crypto_prices', 'skipped', 0, 0""")
+def concurrent_builds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of models built side by side, one of which a check rejects."""
+    lake, prefix = _bronze(spark, sf_dir, *contracts.SOURCES)
+    outcomes = ConcurrentBuild(lake, run_date=RUN_DATE, prefix=prefix).run()
+    rows = []
+    for o in outcomes:
+        table = f"`{prefix}{models.MODELS[o.model].layer}`.`{o.model}`"
+        n = spark.table(table).count() if spark.catalog.tableExists(table) else 0
+        odd = re.search(r"market_cap_usd not_null: (\d+)", o.reason or "")
+        rows.append((o.model, o.outcome, int(odd[1]) if odd else 0, n))
+    return spark.createDataFrame(rows, "model string, outcome string, odd_rows long, rows int")
+
+
 @query(f"""
 select event_id, ts, event_type, (
   select count(distinct {adapters.BATCH_DAY}) from events
