@@ -42,6 +42,15 @@ def _outside_sql(check: Check) -> str:
     return f"({' or '.join(broken) or 'false'})"
 
 
+def broken_sql(check: Check) -> str:
+    """SQL that is true for a row that breaks a check of single rows, else false."""
+    if check.kind == "not_null":
+        return f"{quoted(check.column)} is null"
+    if check.kind in ("accepted_values", "accepted_range"):
+        return f"coalesce({_outside_sql(check)}, false)"
+    raise ValueError(f"{check.kind} is no check of single rows")
+
+
 def failing_rows(df: DataFrame, check: Check) -> DataFrame:
     """Rows, or values with their counts, that break a check."""
     column = F.col(quoted(check.column))

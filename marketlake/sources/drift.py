@@ -57,19 +57,23 @@ def scan_any_schema(
     layer: str = "bronze",
     folders: list[str] | None = None,
     day_column: str | None = None,
+    path_column: str | None = None,
 ) -> DataFrame:
     """All Parquet files of a source as one table; a column a file lacks is NULL.
 
     Rows are cast to the contract, or else to the union of all files' columns. ``folders``
-    limits the scan to some day folders; ``day_column`` adds the date of a row's folder.
+    limits the scan to some day folders or batches; ``day_column`` adds the date of a row's folder, or
+    ``path_column`` its file.
     """
     batch = batch_of(F.col("path"), layer, source)
     folder = F.regexp_extract("batch", f"^(.*/{layer}/{source}/{DAY_FOLDER})/[^/]+$", 1)
     roots = folders or [lake.path(layer, source)]
     listed = reduce(DataFrame.unionByName, (lake.list_folder(f) for f in roots))
     files = listed.select("path", batch.alias("batch")).withColumn("day_folder", folder)
-    day = day_of(F.col("_metadata.file_path"), layer, source) if day_column else None
-    return _read(lake.spark, files, contract, roots, day_column, day)
+    place = F.col("_metadata.file_path")
+    if path_column:
+        return _read(lake.spark, files, contract, roots, path_column, place, T.StringType())
+    return _read(lake.spark, files, contract, roots, day_column, day_of(place, layer, source))
 
 
 def read_any_schema(
@@ -89,6 +93,7 @@ def _read(
     roots: list[str],
     day_column: str | None,
     day,
+    day_type: T.DataType = T.DateType(),
 ) -> DataFrame:
     names = contract and contract.fieldNames()
     few = storage.first_files(spark, roots, ".parquet", FEW_FILES + 1)
@@ -105,11 +110,11 @@ def _read(
         if contract is None:
             raise ValueError(f"no files below {', '.join(roots)}")
         empty = spark.createDataFrame([], contract)
-        return empty.withColumn(day_column, F.lit(None).cast("date")) if day_column else empty
+        return empty.withColumn(day_column, F.lit(None).cast(day_type)) if day_column else empty
     variants, owner = group_variants({(r["schema"], r["nanos"]) for r in found})
     wanted = contract or union_of([(r["schema"], r["nanos"]) for r in found])
     if day_column:
-        wanted = T.StructType([*wanted.fields, T.StructField(day_column, T.DateType())])
+        wanted = T.StructType([*wanted.fields, T.StructField(day_column, day_type)])
 
     def part(index: int, paths: list[str]) -> DataFrame:
         variant = variants[index]

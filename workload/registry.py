@@ -25,7 +25,7 @@ from marketlake.functions import (
     parse_lake_path,
     tag,
 )
-from marketlake.operators import normalize, profile, quality
+from marketlake.operators import normalize, profile, quality, sketches
 from marketlake.operators.asof import as_of
 from marketlake.plans import models
 from marketlake.plans.build import build
@@ -36,8 +36,10 @@ from marketlake.plans.query import create_view, query_source
 from marketlake.plans.run_log import query_log, run_log
 from marketlake.session import configure, scratch_root
 from marketlake.plans.models import MODELS
+from marketlake.sinks import quarantine
 from marketlake.sinks.batches import delete_batch, write_batch
 from marketlake.sinks.functions import create_day_function, create_functions, run_sql
+from marketlake.sinks.quarantine import write_checked
 from marketlake.sinks.tables import create_layout, publish_bucketed, publish_table
 from marketlake.sources import catalog, drift, landing
 from marketlake.sources.index import FileIndex
@@ -609,6 +611,87 @@ def incremental_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(last.table).join(written, "batch_day")
 
 
+@query(f"""
+with days(low, high) as (
+  values (date '2024-01-10', date '2024-01-10'), (date '2024-01-10', date '2024-01-20'),
+    (date '2024-01-20', date '2024-01-31'), (date '2024-01-10', date '2024-01-31')
+)
+select low as first_day, high as last_day, count(*) as rows, count(*) - count(value) as nulls,
+  cast(min(event_id) as varchar) as least_id, cast(max(event_id) as varchar) as greatest_id,
+  true as quartiles_fit, true as distinct_fits
+from days join events on {adapters.BATCH_DAY} between low and high group by low, high""")
+def merged_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles kept per batch, merged over ranges of days and held against exact numbers."""
+    lake = _events_lake(spark, sf_dir)
+    profiles = sketches.BatchProfiles(lake, "events")
+    profiles.refresh()
+    everything = lake.scan("events", day_column="ingest_date").select("value", "user_id", "ingest_date")
+    rows = []
+    for low, high in ((10, 10), (10, 20), (20, 31), (10, 31)):
+        first, last = date(2024, 1, low), date(2024, 1, high)
+        found = {r["column"]: r for r in profiles.describe(first, last).collect()}
+        guessed = found["value"]["quantiles"] or [0.0] * 3
+        exact = everything.where(F.col("ingest_date").between(first, last)).agg(
+            F.count("value").alias("n"),
+            F.count_distinct("user_id").alias("users"),
+            *(F.count_if(F.col("value") < q).alias(f"below{k}") for k, q in enumerate(guessed)),
+            *(F.count_if(F.col("value") <= q).alias(f"upto{k}") for k, q in enumerate(guessed)),
+        ).first()
+        slack = sketches.QUANTILE_ERROR * exact["n"] + 1
+        fits = all(
+            exact[f"below{k}"] - slack <= share * exact["n"] <= exact[f"upto{k}"] + slack
+            for k, share in enumerate((0.25, 0.5, 0.75))
+        )
+        off = abs(found["user_id"]["distinct"] - exact["users"])
+        rows.append(
+            (
+                first, last, found["value"]["rows"], found["value"]["nulls"], found["event_id"]["low"],
+                found["event_id"]["high"], fits, off <= 4 * sketches.DISTINCT_ERROR * exact["users"] + 1,
+            )
+        )
+    return spark.createDataFrame(
+        rows,
+        "first_day date, last_day date, rows long, nulls long, least_id string, greatest_id string, "
+        "quartiles_fit boolean, distinct_fits boolean",
+    )
+
+
+_FIRST_THIRD = adapters.BATCHES[0][1].replace("timestamp_ntz", "timestamp ")
+
+
+@query(f"""
+with batch as (
+  select event_id - case when event_id % 5 = 0 then 1 else 0 end as id, event_type, value
+  from events where not ({_FIRST_THIRD}) or ts is null
+),
+taken as (select distinct event_id - case when event_id % 5 = 0 then 1 else 0 end as id from events where {_FIRST_THIRD}),
+judged as (
+  select batch.id, event_type, value, count(*) over (partition by batch.id) > 1 or taken.id is not null as again,
+    event_type not in ('click', 'view') as odd_type, value < 10 or value > 90 as odd_value
+  from batch left join taken on batch.id = taken.id
+)
+select id, event_type, value, case when again then 'id unique,' else '' end
+  || case when odd_type then 'event_type accepted_values,' else '' end
+  || case when odd_value then 'value accepted_range,' else '' end as reasons
+from judged""")
+def checked_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good rows and rows set aside, with the checks they break."""
+    lake, events = _new_lake(spark), adapters.table(spark, sf_dir, "events")
+    rows = events.selectExpr("event_id - if(event_id % 5 = 0, 1, 0) as id", "event_type", "value", "ts")
+    early = F.coalesce(F.expr(adapters.BATCHES[0][1]), F.lit(False))
+    checks = [
+        *unique("id"), accepted_values("event_type", ("click", "view")), accepted_range("value", 10, 90),
+    ]
+    write_checked(
+        lake, rows.where(~early).drop("ts"), "events", checks, datetime(2024, 1, 31), stored=rows.where(early)
+    )
+    both = normalize.stack([lake.scan("events"), quarantine.read_quarantine(lake, "events").drop("day")])
+    reasons = F.coalesce(F.col(quarantine.REASONS), F.array().cast("array<string>"))
+    return both.select(
+        "id", "event_type", "value", F.concat_ws("", F.transform(reasons, lambda r: F.concat(r, F.lit(",")))).alias("reasons")
+    )
+
+
 _SNAPSHOTS = """
 select case when event_id % 2 = 0 then 'coin-hot' else 'coin-' || cast(user_id % 40 as varchar(20)) end as id,
   ts, event_id, value, user_id
