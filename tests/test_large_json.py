@@ -1,0 +1,86 @@
+"""Large arrays by ranges of bytes: any cut gives the records of the whole document."""
+
+import json
+import random
+
+import pytest
+
+from marketlake.sources.landing import decode, rejects
+from marketlake.sources.large_json import BLANKS, State, _bodies, _summed, read_large_arrays
+from marketlake.sources import large_json
+
+TEXTS = [
+    "", 'a"b\\c', '[{"x":1},]', "\\", "\\\\", '\\"', "{", "}", ",", 'é,"日本"', "]",
+]
+
+
+def value(rng, depth=0):
+    kind = rng.random()
+    if kind < 0.3 or depth > 3:
+        return rng.choice([1, -2.5, True, None, *TEXTS])
+    if kind < 0.65:
+        return {rng.choice(["a", "b,", 'c"', "[d"]): value(rng, depth + 1) for _ in range(rng.randint(0, 3))}
+    return [value(rng, depth + 1) for _ in range(rng.randint(0, 3))]
+
+
+def bodies(path, data, size, per_body):
+    path.write_bytes(data)
+    state, out = State(), []
+    first = data.lstrip(BLANKS)[:1]
+    for start in range(0, max(1, len(data)), size):
+        stop = min(start + size, len(data))
+        found = _bodies(f"file://{path}", len(data), start, stop, first == b"[", state, per_body)
+        out += [body for _, body in found]
+        state = state.behind(**_summed(data[start:stop]))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_any_cut_gives_the_records_of_the_whole(tmp_path, monkeypatch, seed):
+    rng = random.Random(seed)
+    monkeypatch.setattr(large_json, "MORE_BYTES", rng.choice([1, 5, 1 << 18]))
+    for _ in range(12):
+        records = [value(rng) for _ in range(rng.randint(0, 8))]
+        text = json.dumps(records, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 1]))
+        text = rng.choice(["", " \n"]) + text + rng.choice(["", " \n "])
+        for size in (1, 2, 3, 7, 50, 10**6):
+            if size < 7 and len(text) > 300:
+                continue
+            found = bodies(tmp_path / "doc", text.encode(), size, rng.choice([1, 2, 256]))
+            assert json.dumps([r for b in found for r in json.loads(b)]) == json.dumps(records)
+
+
+BROKEN = ["[1,2", "[1,,2]", "[1,2]x", '[{"a":1}', "[1,2] ,", '["a', "[[1]]]", "[1,]", "[,1]", "["]
+
+
+@pytest.mark.parametrize("text", BROKEN)
+def test_what_is_not_well_formed_stays_so(tmp_path, text):
+    for size in (1, 2, 3, 100):
+        with pytest.raises(json.JSONDecodeError):
+            for body in bodies(tmp_path / "doc", text.encode(), size, 256):
+                json.loads(body)
+
+
+@pytest.mark.parametrize("text", ['{"a":[1,2]}', '"x"', "", "  ", "5"])
+def test_a_document_that_is_no_array_is_one_answer(tmp_path, text):
+    for size in (1, 3, 100):
+        assert bodies(tmp_path / "doc", text.encode(), size, 256) == [text]
+    assert bodies(tmp_path / "doc", b" [ ] ", 2, 256) == []
+
+
+def test_records_of_large_arrays_are_decoded_by_many_tasks(spark, tmp_path):
+    records = [{"id": f"c{k}", "current_price": k, "note": TEXTS[k % len(TEXTS)]} for k in range(3000)]
+    folder = tmp_path / "landed"
+    folder.mkdir()
+    (folder / "coins.json").write_text(json.dumps(records, ensure_ascii=False))
+    (folder / "one.json").write_text('{"status": "busy"}')
+    (folder / "none.json").write_text("[]")
+    landed = read_large_arrays(spark, str(folder), "coingecko", range_bytes=8192, per_body=100)
+    rows = decode(landed, "coingecko", rest="rest")
+    found = {r["id"]: (r["current_price"], r["rest"]["note"]) for r in rows.collect()}
+    assert found == {r["id"]: (float(r["current_price"]), r["note"]) for r in records}
+    assert [tuple(r)[1::2] for r in rejects(landed, "coingecko").collect()] == [("one-000000000000000-0", "ignored")]
+    assert landed.selectExpr("spark_partition_id() p").distinct().count() >= 8
+    (folder / "cut.json").write_text(json.dumps(records)[:-1])
+    with pytest.raises(Exception, match="cut-.* is malformed"):
+        decode(read_large_arrays(spark, str(folder), "coingecko", range_bytes=8192), "coingecko").collect()

@@ -178,6 +178,19 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stack([_landed(pages, "coingecko"), _landed(_odd_answers(spark, sf_dir), "coingecko")])
 
 
+def write_event_array(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """All events as market records in one JSON array in one file, a record a line."""
+    records = _event_records(table(spark, sf_dir, "events")).select(
+        F.monotonically_increasing_id().alias("place"), "json"
+    )
+    comma = F.when(F.col("place") == 0, "").otherwise(",")
+    lines = records.select("place", F.concat(comma, "json").alias("line"))
+    ends = spark.createDataFrame([(-1, "["), (2**62, "]")], "place long, line string")
+    # The file is what is tested; rows pass through the one task that writes it, none is held there.
+    whole = lines.unionByName(ends).repartition(1).sortWithinPartitions("place")
+    whole.select("line").write.text(folder)
+
+
 def landed_lot(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
     """Market pages of one of the three batches of ``events``, fetched on the batch's day."""
     day, condition = BATCHES[number]

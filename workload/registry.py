@@ -41,7 +41,7 @@ from marketlake.sinks.batches import delete_batch, write_batch
 from marketlake.sinks.functions import create_day_function, create_functions, run_sql
 from marketlake.sinks.quarantine import write_checked
 from marketlake.sinks.tables import create_layout, publish_bucketed, publish_table
-from marketlake.sources import catalog, drift, landing
+from marketlake.sources import catalog, drift, landing, large_json
 from marketlake.sources.index import FileIndex
 from marketlake.sources.lake import Lake
 from marketlake.streaming.ingest import ingest_new
@@ -357,6 +357,27 @@ def decode_paged_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+select 'ev-' || event_id as id, event_type as symbol, value as current_price,
+  cast(user_id as double) as market_cap, event_id as market_cap_rank,
+  value + 6e0 as max_supply, true as by_many_tasks
+from events""")
+def decode_large_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One array of all events in one file, by ranges of a sixteenth of it."""
+    folder = scratch_root(spark)
+    adapters.write_event_array(spark, sf_dir, folder)
+    (size,) = spark.read.format("binaryFile").load(folder).agg(F.sum("length")).first()
+    landed = large_json.read_large_arrays(
+        spark, folder, "coingecko", range_bytes=max(1, size // 16), suffix=".txt"
+    )
+    records = landing.decode(landed, "coingecko")
+    tasks = landed.select(F.spark_partition_id().alias("p")).distinct().count()
+    return records.select(
+        "id", "symbol", "current_price", "market_cap", "market_cap_rank", "max_supply",
+        F.lit(tasks >= 8).alias("by_many_tasks"),
+    )
+
+
 @query("""
 select cast(s_suppkey as varchar) as id, s_name as name, s_acctbal as tvl,
   s_name as first_chain, cast(s_nationkey as double) as chain_tvl
