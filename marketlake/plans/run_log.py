@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
@@ -39,11 +41,14 @@ RUN_RECORD = T.StructType(
 
 
 def append_record(lake: Lake, **fields) -> None:
-    """Append one run record."""
+    """Append one run record: a line in a file of its own, without a job."""
     fields.setdefault("timestamp", datetime.now(UTC).isoformat())
-    row = tuple(fields.get(n) for n in RUN_RECORD.fieldNames())
-    record = lake.spark.createDataFrame([row], RUN_RECORD).coalesce(1)
-    record.write.mode("append").json(lake.path("_runs"))
+    if unknown := fields.keys() - set(RUN_RECORD.fieldNames()):
+        raise ValueError(f"a run record has no {', '.join(sorted(unknown))}")
+    line = json.dumps({n: fields[n] for n in RUN_RECORD.fieldNames() if fields.get(n) is not None})
+    name = f"{fields['timestamp'].replace(':', '')}-{uuid.uuid4().hex}.json"
+    files.make_folder(lake.spark, lake.path("_runs"))
+    files.write_line(lake.spark, lake.path("_runs", name), line)
 
 
 def run_log(lake: Lake) -> DataFrame:

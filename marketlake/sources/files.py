@@ -98,6 +98,19 @@ def mark_finished(spark: SparkSession, path: str) -> None:
     fs.delete(handle, False)
 
 
+def write_line(spark: SparkSession, path: str, line: str) -> None:
+    """A small file of one line, whole or not there."""
+    fs, handle = _open(spark, path)
+    staged = spark._jvm.org.apache.hadoop.fs.Path(staging_path(path))
+    out = fs.create(staged, True)
+    try:
+        out.write(bytearray(f"{line}\n".encode()))
+    finally:
+        out.close()
+    if not fs.rename(staged, handle):
+        raise OSError(f"cannot publish {path}")
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, handle = _open(spark, path)
     fs.mkdirs(handle)
