@@ -5,7 +5,8 @@ bias by distance. The probability of the next id is that of its class, from the
 ``B[input] + context @ U``, times its share of the class after this input. ``B`` is the class bigram
 of all training documents and the shares come from their counts of id pairs (smoothed towards the
 ids' own counts); queries, keys, values, ``U`` and the distance bias are trained by gradient descent
-on windows. Positive weights come from
+on windows (``Fit``), of which any number of workers take their own and send how far each weight
+moved. Positive weights come from
 phi(x) = max(1 + x / 8, 0.05) ** 8, close to the exponential and a few multiplications in numpy.
 
 Windows overlap: the inputs of a text stand in blocks of 16; each block is the queries of one
@@ -15,9 +16,11 @@ windows goes through masked matrix products at once.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, replace
 
 import numpy as np
+from numpy.lib.stride_tricks import as_strided
 
 STRIDE, WINDOW = 16, 32
 WIDTH = 16
@@ -29,19 +32,21 @@ PAIRED = 2048
 PAIR_PRIOR = 5.0
 CHUNK = 256
 
+#: A step of training takes BATCH windows, in runs of RUN neighbours that share their blocks; PIECE of them
+#: at a time stay in the processor's cache. Texts of about GROUP_IDS ids are mixed.
+BATCH, RUN, PIECE = 512, 16, 64
+GROUP_IDS = 500_000
+RATE, LEAST_PACE, WARM_STEPS = 0.05, 0.05, 30
+
+#: Classes look at the COMMON most frequent ids up to NEAR places away.
+COMMON, NEAR = 64, 8
+
 #: Key k of query q is visible if it is not later; both count within the window.
 CAUSAL = (np.arange(WINDOW)[None, :] <= STRIDE + np.arange(STRIDE)[:, None]).astype(np.float32)
 ONES, SEEN = np.ones(CLASSES, np.float32), np.ones(WINDOW, np.float32)
 DISTANCE = np.clip(STRIDE + np.arange(STRIDE)[:, None] - np.arange(WINDOW)[None, :], 0, WINDOW - 1)
 
 
-def base_of(x: np.ndarray) -> np.ndarray:
-    """1 + x / 8 in place, not below LEAST; its eighth power is phi."""
-    x *= 0.125
-    x += 1.0
-    return np.maximum(x, LEAST, out=x)
-
-
 def eighth(y: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
     out = np.multiply(y, y, out=out)
     np.multiply(out, out, out=out)
@@ -121,16 +126,14 @@ class Model:
     begin: int
     end: int
 
-    def score(self, texts: list[np.ndarray]) -> np.ndarray:
-        """log10 of the probability of each text's ids and the end after them."""
-        if not texts:
-            return np.empty(0)
-        nothing = len(self.qkv) - 1
+    def laid_out(self, texts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        """Where each text starts, its number of blocks, and the blocks of all of them: table rows and
+        ids of the inputs, and the targets. An empty block stands before each text and after the last."""
         counts = np.array([-(-(len(t) + 1) // STRIDE) for t in texts])
         first = np.concatenate([[0], np.cumsum(counts + 1)])
-        inputs = np.full((first[-1], STRIDE), nothing, np.int32)
-        ids = np.full((first[-1], STRIDE), self.begin, np.int32)
-        targets = np.full((first[-1], STRIDE), -1, np.int32)
+        inputs = np.full((first[-1] + 1, STRIDE), len(self.qkv) - 1, np.uint16)
+        ids = np.full(inputs.shape, self.begin, np.int32)
+        targets = np.full(inputs.shape, -1, np.int32)
         flat_in, flat_out, flat_ids = inputs.reshape(-1), targets.reshape(-1), ids.reshape(-1)
         for text, at in zip(texts, (first[:-1] + 1) * STRIDE, strict=True):
             n = len(text)
@@ -139,6 +142,13 @@ class Model:
             flat_ids[at + 1 : at + 1 + n] = text
             flat_out[at : at + n] = text
             flat_out[at + n] = self.end
+        return first, counts, inputs, ids, targets
+
+    def score(self, texts: list[np.ndarray]) -> np.ndarray:
+        """log10 of the probability of each text's ids and the end after them."""
+        if not texts:
+            return np.empty(0)
+        first, counts, inputs, ids, targets = self.laid_out(texts)
         blocks = np.concatenate([np.arange(a + 1, a + 1 + n) for a, n in zip(first, counts, strict=False)])
         out = np.empty(len(blocks))
         scaled = self._scaled()
@@ -207,37 +217,60 @@ def windows(text: np.ndarray, begin: int, end: int) -> np.ndarray:
     return np.concatenate([by_block[:-1], by_block[1:], targets.reshape(-1, STRIDE)], axis=1)
 
 
+def common_slots(counts: np.ndarray) -> np.ndarray:
+    """A number for each of the COMMON most frequent ids; -1 for others and for the gap after all ids."""
+    slot = np.full(len(counts) + 1, -1, np.int64)
+    top = np.argsort(-counts, kind="stable")[:COMMON]
+    slot[top] = np.arange(len(top))
+    return slot
+
+
+def neighbours(texts: list[np.ndarray], slot: np.ndarray, out: np.ndarray) -> None:
+    """Adds to ``out`` how often each id, and at the end the gap, has each common id just before it,
+    just after it, and 2 to NEAR places away."""
+    size = len(slot) - 1
+    gap = np.full(NEAR, size, np.int64)
+    line = np.concatenate([gap, *(x for t in texts for x in (t, gap))])
+    place = np.flatnonzero(slot[line] >= 0)
+    common = slot[line[place]]
+    line *= COMMON
+    for offset in range(-NEAR, NEAR + 1):
+        if offset:
+            kind = {1: 0, -1: 1}.get(offset, 2)
+            np.add.at(out[kind].reshape(-1), line[place + offset] + common, out.dtype.type(1))
+
+
+def features(near: np.ndarray) -> np.ndarray:
+    """A row for each id of what ``neighbours`` counted; near are also those just before and after."""
+    rows = np.concatenate(near[:, :-1], axis=1).astype(np.float32)
+    rows[:, 2 * COMMON :] += rows[:, :COMMON]
+    rows[:, 2 * COMMON :] += rows[:, COMMON : 2 * COMMON]
+    return rows
+
+
 def classify(sample: np.ndarray, counts: np.ndarray, ends_word: np.ndarray) -> np.ndarray:
-    """A class for each id, by k-means on what stands before, after and around it in the windows."""
-    size, common = len(counts), 64
-    top = np.argsort(-counts, kind="stable")[:common]
-    slot = np.full(size + 1, -1, np.int64)
-    slot[top] = np.arange(common)
-    ids = sample[:, STRIDE:WINDOW].astype(np.int64)
-    whole = sample[:, :WINDOW].astype(np.int64)
+    """Classes from the neighbours within the inputs of a set of windows."""
+    inputs = sample[:, :WINDOW].astype(np.int64)
+    near = np.zeros((3, len(counts) + 1, COMMON), np.uint32)
+    neighbours([row[row >= 0] for row in inputs], common_slots(counts), near)
+    return classes_of(features(near), counts, ends_word)
+
+
+def classes_of(x: np.ndarray, counts: np.ndarray, ends_word: np.ndarray) -> np.ndarray:
+    """A class for each id, by k-means on its ``features``."""
+    size, common = len(counts), COMMON
     # Only ids that occur have a row of features.
-    rows = np.unique(ids[ids >= 0])
-    index = np.full(size, -1, np.int64)
-    index[rows] = np.arange(len(rows))
-    x = np.zeros((len(rows), 3 * common), np.float32)
-    for offset in range(-8, 9) if len(rows) else ():
-        if not offset:
-            continue
-        near = whole[:, STRIDE + min(offset, 0) : WINDOW + min(offset, 0)] if offset < 0 else whole[:, STRIDE + offset :]
-        own = ids if offset < 0 else ids[:, : near.shape[1]]
-        there = (own >= 0) & (near >= 0)
-        a, b = index[own[there]], slot[near[there]]
-        a, b = a[b >= 0], b[b >= 0]
-        kinds = [2] + ([0] if offset == -1 else [1] if offset == 1 else [])
-        for kind in kinds:
-            x += np.bincount(a * 3 * common + kind * common + b, minlength=x.size).reshape(x.shape)
+    rows = np.flatnonzero((counts > 0) | x.any(axis=1))
+    unseen = np.ones(size, bool)
+    unseen[rows] = False
+    x = x[rows]
     for kind in range(3):
         part = x[:, kind * common : (kind + 1) * common]
         part += 0.5 * part.sum(axis=0) / max(1.0, part.sum())
         part /= np.maximum(part.sum(axis=1, keepdims=True), 1e-12)
-    x = np.sqrt(x)
+    np.sqrt(x, out=x)
     # Whether an id ends its word tells most about the next one.
-    x = np.column_stack([x, 0.7 * ends_word[rows]])
+    x = np.column_stack([x, 0.7 * ends_word[rows].astype(np.float32)])
     weight = np.sqrt(counts[rows] + 1e-9)
     label = (ends_word[:size] > 0).astype(np.int64)
     if len(rows) <= CLASSES:
@@ -259,7 +292,6 @@ def classify(sample: np.ndarray, counts: np.ndarray, ends_word: np.ndarray) -> n
             centres[:, c] = np.where(total > 0, s / np.maximum(total, 1e-12), centres[:, c])
     label[rows] = own
     # An unseen id goes with most ids that end a word, or do not, as it does.
-    unseen = index < 0
     for kind in (False, True):
         alike = rows[ends_word[rows] == kind]
         if len(alike):
@@ -287,6 +319,154 @@ def bigram_logits(pairs: np.ndarray) -> np.ndarray:
     return np.vstack([logits, 8.0 * (overall**0.125 - 1.0)]).astype(np.float32)
 
 
+class Fit:
+    """Adam over the attention's weights; the bigram and the shares stay.
+
+    All weights are rows of one table: those of the inputs, then the readout and the distance bias.
+    ``seen`` counts the places where each row was trained. Rows that a step does not meet stay.
+    """
+
+    def __init__(self, model: Model, weights: np.ndarray | None = None):
+        self.model = model
+        self.weights = weights_of(model) if weights is None else weights.copy()
+        self.first = np.zeros_like(self.weights)
+        self.second = np.zeros_like(self.weights)
+        self.seen = np.zeros(len(self.weights))
+        self.steps = self.windows = 0
+        self.bigram = model.bigram * np.float32(0.125) + np.float32(1.0)
+
+    def see(self, texts: list[np.ndarray], rng: np.random.Generator, done: float, share: float, expected: float) -> None:
+        """One pass over all windows of the texts.
+
+        ``expected`` windows, as far as known beforehand, are the ``share`` of all training that
+        follows ``done``; the pace falls with it.
+        """
+        *_, inputs, _, targets = self.model.laid_out(texts)
+        classes = np.where(targets >= 0, self.model.class_of[targets], -1)
+        short = -(len(inputs) - 1) % RUN
+        inputs = np.pad(inputs, ((0, short), (0, 0)), constant_values=len(self.model.qkv) - 1)
+        classes = np.pad(classes, ((0, short), (0, 0)), constant_values=-1)
+        starts = rng.permutation(np.arange(0, len(inputs) - 1, RUN))
+        for at in range(0, len(starts), BATCH // RUN):
+            part = starts[at : at + BATCH // RUN, None]
+            left = 1 - done - share * min(1.0, self.windows / max(1.0, expected))
+            pace = RATE * min(1.0, (self.steps + 1) / WARM_STEPS) * max(LEAST_PACE, left)
+            # A step of few windows is as small.
+            pace *= len(part) * RUN / BATCH
+            self.step(inputs[part + np.arange(RUN + 1)], classes[part + np.arange(1, RUN + 1)], pace)
+            self.windows += len(part) * RUN
+
+    def step(self, blocks: np.ndarray, classes: np.ndarray, pace: float) -> None:
+        """One step on runs of neighbouring blocks of table rows; a run's first block has no targets."""
+        split = len(self.model.qkv)
+        d_table = np.zeros((*blocks.shape, 3 * WIDTH), np.float32)
+        d_last = np.zeros((len(self.weights) - split, 3 * WIDTH), np.float32)
+        targets = max(1, int((classes >= 0).sum()))
+        piece = max(1, PIECE // classes.shape[1])
+        for at in range(0, len(blocks), piece):
+            own = slice(at, at + piece)
+            self._gradients(blocks[own], classes[own], targets, d_table[own], d_last.reshape(-1))
+        keys = blocks.reshape(-1)
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        sums = np.add.reduceat(d_table.reshape(-1, 3 * WIDTH).take(order, axis=0), starts, axis=0)
+        rows, times = keys[starts].astype(np.int64), np.diff(np.append(starts, len(keys)))
+        known = rows != split - 1
+        rows = np.concatenate([rows[known], np.arange(split, len(self.weights))])
+        self.seen[rows[: known.sum()]] += times[known]
+        self.seen[split:] += targets
+        g = np.concatenate([sums[known], d_last])
+        self.steps += 1
+        first, second = self.first[rows], self.second[rows]
+        first += np.float32(0.1) * (g - first)
+        second += np.float32(0.01) * (g * g - second)
+        self.first[rows], self.second[rows] = first, second
+        first *= np.float32(pace / (1 - 0.9**self.steps))
+        second *= np.float32(1 / (1 - 0.99**self.steps))
+        first /= np.sqrt(second, out=second) + np.float32(1e-8)
+        self.weights[rows] -= first
+
+    def _gradients(
+        self, blocks: np.ndarray, classes: np.ndarray, targets: int, d_table: np.ndarray, d_last: np.ndarray
+    ) -> None:
+        """Sets the gradients of the inputs' rows and adds those of the readout and the bias."""
+        qkv, readout, bias = parts_of(self.weights)
+        runs, length = classes.shape[:2]
+        eighth_of, one, least = np.float32(0.125), np.float32(1.0), np.float32(LEAST)
+
+        def in_windows(a: np.ndarray) -> np.ndarray:
+            # The next block lies behind a block, so a window is a longer look at the same memory.
+            return as_strided(a, (runs, length, WINDOW, *a.shape[3:]), a.strides)
+
+        table = qkv.take(blocks.reshape(-1), axis=0).reshape(*blocks.shape, 3 * WIDTH)
+        q = table[:, 1:, :, :WIDTH]
+        k, v = in_windows(table[..., WIDTH : 2 * WIDTH]), in_windows(table[..., 2 * WIDTH :])
+        s = np.matmul(q * eighth_of, k.swapaxes(2, 3))
+        s += bias[DISTANCE] * eighth_of + one
+        np.maximum(s, least, out=s)
+        weight = eighth(s)
+        weight *= CAUSAL
+        unseen = in_windows(blocks == len(qkv) - 1)
+        partial = np.nonzero(unseen.any(axis=2))
+        if len(partial[0]):
+            weight[partial] *= ~unseen[partial][:, None, :]
+        weight /= np.maximum(weight @ SEEN, np.float32(1e-9))[..., None]
+        context = np.matmul(weight, v)
+        flat = context.reshape(-1, WIDTH)
+        z = flat @ (readout * eighth_of)
+        z += self.bigram.take(blocks[:, 1:].reshape(-1), axis=0)
+        np.maximum(z, least, out=z)
+        # d log phi(x) / dx is 1 / (1 + x / 8), so that of a class's share has the seventh power. Where phi
+        # is held at its least, that is as good as 0.
+        d = z * z
+        d *= z
+        d *= d
+        d *= z
+        total = np.einsum("ij,ij->i", d, z)
+        wanted = classes.reshape(-1)
+        use = wanted >= 0
+        places, wanted = np.arange(len(wanted)), np.where(use, wanted, 0)
+        each = use.astype(np.float32) / np.float32(targets)
+        d *= (each / total)[:, None]
+        chosen = z[places, wanted]
+        d[places, wanted] -= np.where(chosen > least, each / chosen, 0)
+        d_last[: readout.size] += (flat.T @ d).reshape(-1)
+        d_flat = d @ readout.T
+        inner = np.einsum("ij,ij->i", d_flat, flat).reshape(*classes.shape, 1)
+        d_context = d_flat.reshape(context.shape)
+        d_s = np.matmul(d_context, v.swapaxes(2, 3))
+        d_s -= inner
+        d_s *= weight
+        d_s /= s
+        d_table[:, 1:, :, :WIDTH] = np.matmul(d_s, k)
+        for at, from_queries in ((WIDTH, np.matmul(d_s.swapaxes(2, 3), q)), (2 * WIDTH, np.matmul(weight.swapaxes(2, 3), d_context))):
+            d_table[:, :-1, :, at : at + WIDTH] = from_queries[:, :, :STRIDE]
+            d_table[:, 1:, :, at : at + WIDTH] += from_queries[:, :, STRIDE:]
+        d_last[readout.size :] += np.bincount(DISTANCE.reshape(-1), d_s.sum(axis=(0, 1)).reshape(-1), WINDOW)
+
+    def fitted(self) -> Model:
+        return with_weights(self.model, self.weights)
+
+
+def weights_of(model: Model) -> np.ndarray:
+    # The last query's distances to its keys are all there are, in falling order.
+    last = np.concatenate([model.readout.reshape(-1), model.bias[-1, ::-1]])
+    return np.concatenate([model.qkv, last.reshape(-1, 3 * WIDTH)]).astype(np.float32)
+
+
+def parts_of(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of the inputs, readout and bias by distance, as views."""
+    rows = TABLE_ROWS + 1
+    last = weights[rows:].reshape(-1)
+    return weights[:rows], last[: WIDTH * CLASSES].reshape(WIDTH, CLASSES), last[WIDTH * CLASSES :]
+
+
+def with_weights(model: Model, weights: np.ndarray) -> Model:
+    qkv, readout, bias = parts_of(weights)
+    return replace(model, qkv=qkv, readout=readout, bias=bias[DISTANCE])
+
+
 def train(
     sample: np.ndarray,
     model: Model,
@@ -294,70 +474,22 @@ def train(
     most_steps: int = 700,
     epochs: float = 3.0,
     batch: int = 192,
-    rate: float = 0.02,
     seed: int = 7,
 ) -> Model:
-    """Fit the attention to windows by Adam; the bigram and the shares stay.
-
-    Few windows are seen at most about ``epochs`` times, as more would be learned by heart.
-    """
+    """Fit to a set of windows in memory."""
     if not len(sample):
         return model
     steps = int(min(most_steps, max(50, epochs * len(sample) / batch)))
     rng = np.random.default_rng(seed)
-    nothing = len(model.qkv) - 1
-    row_of = np.append(model.row_of, nothing).astype(np.int32)
-    inputs, targets = row_of[sample[:, :WINDOW]], sample[:, WINDOW:]
-    there = targets >= 0
-    wanted = np.where(there, model.class_of[np.where(there, targets, 0)], 0)
-    params = {"qkv": model.qkv, "readout": model.readout, "bias": np.zeros(WINDOW, np.float32)}
-    first = {k: np.zeros_like(p) for k, p in params.items()}
-    second = {k: np.zeros_like(p) for k, p in params.items()}
+    row_of = np.append(model.row_of, len(model.qkv) - 1).astype(np.uint16)
+    blocks = row_of[sample[:, :WINDOW]].reshape(-1, 2, STRIDE)
+    targets = sample[:, None, WINDOW:]
+    classes = np.where(targets >= 0, model.class_of[targets], -1)
+    fit = Fit(model)
     for step in range(1, steps + 1):
         pick = rng.integers(0, len(sample), min(batch, len(sample)))
-        keys, y, use = inputs[pick], wanted[pick], there[pick]
-        table = params["qkv"][keys]
-        q, k, v = table[:, STRIDE:, :WIDTH], table[:, :, WIDTH : 2 * WIDTH], table[:, :, 2 * WIDTH :]
-        s = base_of(np.matmul(q, k.transpose(0, 2, 1)) + params["bias"][DISTANCE])
-        weight = eighth(s) * CAUSAL * (keys != nothing)[:, None, :]
-        total = np.maximum(weight.sum(axis=2, keepdims=True), 1e-9)
-        weight /= total
-        context = np.matmul(weight, v)
-        flat = context.reshape(-1, WIDTH)
-        z = base_of(flat @ params["readout"] + model.bigram[keys[:, STRIDE:].reshape(-1)])
-        p = eighth(z)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(p)), y.reshape(-1)] -= 1.0
-        # d log phi(x) / dx is 1 / (1 + x / 8), and 0 where phi is held at its least.
-        p *= np.where(z > LEAST, 1.0 / z, 0.0)
-        p *= use.reshape(-1, 1) / max(1, use.sum())
-        grads = {"readout": flat.T @ p}
-        d_context = (p @ params["readout"].T).reshape(context.shape)
-        d_weight = np.matmul(d_context, v.transpose(0, 2, 1))
-        d_s = weight * (d_weight - (weight * d_weight).sum(axis=2, keepdims=True))
-        d_s *= np.where(s > LEAST, 1.0 / s, 0.0)
-        d_table = np.zeros_like(table)
-        d_table[:, STRIDE:, :WIDTH] = np.matmul(d_s, k)
-        d_table[:, :, WIDTH : 2 * WIDTH] = np.matmul(d_s.transpose(0, 2, 1), q)
-        d_table[:, :, 2 * WIDTH :] = np.matmul(weight.transpose(0, 2, 1), d_context)
-        order = np.argsort(keys.reshape(-1), kind="stable")
-        sorted_keys = keys.reshape(-1)[order]
-        starts = np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]]))
-        summed = np.add.reduceat(d_table.reshape(-1, 3 * WIDTH)[order], starts, axis=0)
-        grads["qkv"] = np.zeros_like(params["qkv"])
-        grads["qkv"][sorted_keys[starts]] = summed
-        grads["qkv"][nothing] = 0
-        grads["bias"] = np.bincount(DISTANCE.reshape(-1), d_s.sum(axis=0).reshape(-1), WINDOW).astype(np.float32)
-        pace = rate * min(1.0, step / 30) * (1 - step / (steps + 1))
-        for name, g in grads.items():
-            first[name] += 0.1 * (g - first[name])
-            second[name] += 0.01 * (g * g - second[name])
-            up = first[name] / (1 - 0.9**step)
-            down = np.sqrt(second[name] / (1 - 0.99**step)) + 1e-8
-            params[name] -= (pace * up / down).astype(np.float32)
-    model.qkv, model.readout = params["qkv"], params["readout"]
-    model.bias = params["bias"][DISTANCE].astype(np.float32)
-    return model
+        fit.step(blocks[pick], classes[pick], RATE * min(1.0, step / WARM_STEPS) * (1 - step / (steps + 1)))
+    return fit.fitted()
 
 
 def initial(row_of: np.ndarray, class_of: np.ndarray, shares: Shares, pairs: np.ndarray, begin: int, end: int) -> Model:

@@ -1,10 +1,13 @@
 """Scores of documents under a causal self-attention model over subword ids.
 
-The model (``attention``) is trained here. What it knows of the corpus is counted over all training
-documents by Spark: ids, pairs of frequent ids, and classes of ids after an id. The attention itself
-is fitted by gradient descent to about ``sample_windows`` windows, chosen by a hash among all
-windows of all training documents. Texts are encoded once; their ids are kept in the shared folder
-and read again for counting and scoring. Every task scores whole texts in overlapping windows.
+The model (``attention``) is trained here, on all training documents, by Spark: ids, their frequent
+neighbours (which give the classes of ids), pairs of frequent ids, and classes of ids after an id are
+counted over all of them. The attention itself is fitted by gradient descent to all their windows, in
+rounds: each task starts from the weights of the round, fits them to the windows of its part, and says
+how far each row of weights moved and at how many places it was met; the moves' mean by these numbers
+is the next round's start. Each window is met in one round; those of a small corpus in each of two or three.
+Texts are encoded once; their ids are kept in the shared folder and read again for counting, fitting
+and scoring. Every task scores whole texts in overlapping windows.
 
 The base score adds up smoothed word counts. Words are counted with one row per word and task. The
 most frequent ones, at most ``common_words``, go to the tasks as a table of that bounded size; the other
@@ -25,18 +28,22 @@ from operator import not_
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm import attention
-from marketlake.llm.attention import CLASSES, PAIRED, STRIDE, TABLE_ROWS, WINDOW
+from marketlake.llm.attention import CLASSES, COMMON, GROUP_IDS, PAIRED, STRIDE, TABLE_ROWS
 from marketlake.llm.common import bucket_of, cut, stored
 from marketlake.llm.packing import text_groups
 from marketlake.llm.word_ids import encoder
 
 COMMON_WORDS = 100_000
-SAMPLE_WINDOWS = 125_000
+#: Windows are met in so many rounds; fewer windows than SMALL are met two or three times, as more would be
+#: learned by heart. A task has at least TASK_WINDOWS in a round, as means of shorter ways lead less far.
+ROUNDS, SMALL, TASK_WINDOWS = 4, 150_000, 65_536
+#: Sums travel in blocks of so many numbers.
+BLOCK = 4096
 FLUSH_WORDS = 200_000
 BATCH_TEXTS = 500
 BEGIN, END, IDS = 49_406, 49_407, 49_408
@@ -160,23 +167,68 @@ def _texts(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), "<u2").astype(np.int64) for x in batch.column("ids")]
 
 
+def _in_blocks(values: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Blocks of a flat array with the places and values of their numbers other than 0."""
+    for at in range(0, len(values), 256 * BLOCK):
+        part = values[at : at + 256 * BLOCK]
+        there = np.flatnonzero(part)
+        blocks, starts, sizes = np.unique(there // BLOCK, return_index=True, return_counts=True)
+        own = [slice(a, a + n) for a, n in zip(starts, sizes, strict=True)]
+        places = (there % BLOCK).astype("<u2")
+        # 24 bits are more than the model can tell apart.
+        numbers = part[there].astype("<f4")
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(blocks + at // BLOCK, pa.int32()),
+                pa.array([places[x].tobytes() for x in own], pa.binary()),
+                pa.array([numbers[x].tobytes() for x in own], pa.binary()),
+            ],
+            names=["block", "places", "numbers"],
+        )
+
+
+BLOCKS = "block int, places binary, numbers binary"
+
+
 def _summed(frame: DataFrame, size: int) -> np.ndarray:
-    """Counts by key of (key, n) rows, at most ``size`` of them, as one array."""
-    # Short types, as the driver holds all of them: keys are below ``size``, and 24 bits of a sum are
-    # more than the model can tell apart.
-    sums = frame.groupBy("key").agg(F.sum("n").cast("float").alias("n"))
-    rows = sums.select(F.col("key").cast("int").alias("key"), "n").toArrow()
-    out = np.zeros(size, np.float32)
-    for batch in rows.to_batches():
-        out[batch.column("key").to_numpy()] = batch.column("n").to_numpy()
-    return out
-
-
-def _sparse(counts: np.ndarray) -> pa.RecordBatch:
-    keys = np.flatnonzero(counts)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(keys), pa.array(counts[keys])], names=["key", "n"]
-    )
+    """The sum of flat arrays of that size, from their blocks."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in range(3))
+            for block, places, numbers in zip(*columns, strict=True):
+                if block not in sums:
+                    sums[block] = np.zeros(BLOCK)
+                sums[block][np.frombuffer(places, "<u2")] += np.frombuffer(numbers, "<f4")
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(list(sums), pa.int32()),
+                pa.array([x.astype("<f4").tobytes() for x in sums.values()], pa.binary()),
+            ],
+            names=["block", "numbers"],
+        )
+
+    out = np.zeros((-(-size // BLOCK), BLOCK), np.float32)
+    sums = frame.repartition("block").mapInArrow(add, "block int, numbers binary")
+    for batch in sums.toArrow().to_batches():
+        for block, numbers in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            out[block] = np.frombuffer(numbers.as_buffer(), "<f4")
+    return out.reshape(-1)[:size]
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The ids of texts, about GROUP_IDS at a time."""
+    group, held = [], 0
+    for batch in batches:
+        for ids in batch.column("ids"):
+            group.append(np.frombuffer(ids.as_buffer(), "<u2").astype(np.int64))
+            held += len(group[-1])
+            if held >= GROUP_IDS:
+                yield group
+                group, held = [], 0
+    if group:
+        yield group
 
 
 def _id_counts(training: DataFrame) -> np.ndarray:
@@ -187,41 +239,23 @@ def _id_counts(training: DataFrame) -> np.ndarray:
             if texts:
                 counts += np.bincount(np.concatenate(texts), minlength=IDS)
                 counts[END] += len(texts)
-        yield _sparse(counts)
+        yield from _in_blocks(counts)
 
-    return _summed(training.select("ids").mapInArrow(count, "key long, n long"), IDS).astype(float)
+    return _summed(training.select("ids").mapInArrow(count, BLOCKS), IDS).astype(float)
 
 
-def _window_sample(training: DataFrame, total: float, sample_windows: int) -> np.ndarray:
-    """About so many windows of all, by a hash of their place."""
-    limit = np.uint64(min(1.0, sample_windows * STRIDE / max(1.0, total)) * (2**64 - 2**11))
+def _neighbours(training: DataFrame, counts: np.ndarray) -> np.ndarray:
+    """The features of each id: its common neighbours, over all texts."""
+    slot = attention.common_slots(counts)
 
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            chosen = []
-            for row_id, text in zip(batch.column("row_id").to_pylist(), _texts(batch), strict=True):
-                blocks = -(-(len(text) + 1) // STRIDE)
-                with np.errstate(over="ignore"):
-                    mixed = (np.uint64(row_id) + np.arange(blocks, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-                    mixed ^= mixed >> np.uint64(31)
-                    mixed *= np.uint64(0xBF58476D1CE4E5B9)
-                    mixed ^= mixed >> np.uint64(29)
-                    mixed *= np.uint64(0x94D049BB133111EB)
-                    mixed ^= mixed >> np.uint64(32)
-                places = np.flatnonzero(mixed <= limit)
-                if len(places):
-                    chosen.append(attention.windows(text, BEGIN, END)[places])
-            if chosen:
-                rows = np.concatenate(chosen).astype("<i4")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r.tobytes() for r in rows], pa.binary())], names=["w"]
-                )
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near = np.zeros((3, IDS + 1, COMMON), np.uint32)
+        for texts in _groups(batches):
+            attention.neighbours([np.concatenate([[BEGIN], t, [END]]) for t in texts], slot, near)
+        yield from _in_blocks(near.reshape(-1))
 
-    rows = training.select("row_id", "ids").mapInArrow(pick, "w binary").toPandas()["w"]
-    if not len(rows):
-        return np.empty((0, WINDOW + STRIDE), np.int32)
-    joined = b"".join(sorted(map(bytes, rows)))
-    return np.frombuffer(joined, "<i4").reshape(-1, WINDOW + STRIDE)
+    sums = _summed(training.select("ids").mapInArrow(count, BLOCKS), 3 * (IDS + 1) * COMMON)
+    return attention.features(sums.reshape(3, IDS + 1, COMMON))
 
 
 def _pair_counts(training: DataFrame, row_of: np.ndarray, class_of: np.ndarray, slot: np.ndarray):
@@ -229,26 +263,24 @@ def _pair_counts(training: DataFrame, row_of: np.ndarray, class_of: np.ndarray,
     rows_end, pairs_end = TABLE_ROWS * CLASSES, TABLE_ROWS * CLASSES + PAIRED * PAIRED
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_row = np.zeros(rows_end, np.int64)
-        by_pair = np.zeros(PAIRED * PAIRED, np.int64)
-        by_class = np.zeros(PAIRED * CLASSES, np.int64)
-        for batch in batches:
-            texts = _texts(batch)
-            for at in range(0, len(texts), 500):
-                part = texts[at : at + 500]
-                before = np.concatenate([x for t in part for x in ([BEGIN], t)])
-                after = np.concatenate([x for t in part for x in (t, [END])])
-                classes = class_of[after]
-                by_row += np.bincount(row_of[before] * np.int64(CLASSES) + classes, minlength=rows_end)
-                a, b = slot[before].astype(np.int64), slot[after]
-                there = a >= 0
-                by_class += np.bincount(a[there] * CLASSES + classes[there], minlength=len(by_class))
-                there &= b >= 0
-                by_pair += np.bincount(a[there] * PAIRED + b[there], minlength=len(by_pair))
-        yield _sparse(np.concatenate([by_row, by_pair, by_class]))
+        counts = np.zeros(pairs_end + PAIRED * CLASSES, np.int64)
+        for texts in _groups(batches):
+            before = np.concatenate([x for t in texts for x in ([BEGIN], t)])
+            after = np.concatenate([x for t in texts for x in (t, [END])])
+            classes = class_of[after]
+            a, b = slot[before].astype(np.int64), slot[after]
+            there = a >= 0
+            both = there & (b >= 0)
+            for keys in (
+                row_of[before] * np.int64(CLASSES) + classes,
+                rows_end + a[both] * PAIRED + b[both],
+                pairs_end + a[there] * CLASSES + classes[there],
+            ):
+                np.add.at(counts, keys, np.int64(1))
+        yield from _in_blocks(counts)
 
     counts = _summed(
-        training.select("ids").mapInArrow(count, "key long, n long"),
+        training.select("ids").mapInArrow(count, BLOCKS),
         pairs_end + PAIRED * CLASSES,
     )
     return (
@@ -258,18 +290,62 @@ def _pair_counts(training: DataFrame, row_of: np.ndarray, class_of: np.ndarray,
     )
 
 
-def learn(encoded: DataFrame, tokenizer_path: str, sample_windows: int) -> attention.Model:
+def _round(
+    training: DataFrame, model: Broadcast, weights: np.ndarray, number: int, rounds: int, expected: float
+) -> np.ndarray:
+    """The weights after a pass of all tasks over their windows of ``training``."""
+    start = training.sparkSession.sparkContext.broadcast(weights)
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = attention.Fit(model.value, start.value)
+        rng = np.random.default_rng([number, TaskContext.get().partitionId()])
+        for texts in _groups(batches):
+            own.see(texts, rng, number / rounds, 1 / rounds, expected)
+        moved = (own.weights - start.value) * own.seen[:, None]
+        yield from _in_blocks(np.column_stack([own.seen, moved]).reshape(-1))
+
+    rows, width = weights.shape
+    sums = _summed(training.select("ids").mapInArrow(fit, BLOCKS), rows * (width + 1))
+    start.destroy()
+    sums = sums.reshape(rows, width + 1)
+    return weights + sums[:, 1:] / np.maximum(sums[:, :1], 1)
+
+
+def _fitted(training: DataFrame, model: attention.Model, total: float) -> attention.Model:
+    """The model with its attention fitted to all windows of ``training``, which has so many ids."""
+    spark = training.sparkSession
+    windows = total / STRIDE
+    passes = int(min(3, max(1, -(-SMALL // max(1, windows)))))
+    rounds, parts = (passes, 1) if passes > 1 else (ROUNDS, ROUNDS)
+    split = training.rdd.getNumPartitions()
+    tasks = int(max(1, min(split, windows / parts // TASK_WINDOWS)))
+    part = F.pmod(F.xxhash64("row_id"), F.lit(parts))
+    held = spark.sparkContext.broadcast(model)
+    weights = attention.weights_of(model)
+    for number in range(rounds):
+        own = training.where(part == number % parts)
+        own = own if tasks == split else own.coalesce(tasks)
+        weights = _round(own, held, weights, number, rounds, windows / parts / tasks)
+    held.destroy()
+    return attention.with_weights(model, weights)
+
+
+def learn(encoded: DataFrame, tokenizer_path: str, sample_windows: int | None = None) -> attention.Model:
     """The model of the rows of ``encoded`` that are not held out."""
     training = encoded.where("not held_out")
     counts = _id_counts(training)
-    sample = _window_sample(training, counts.sum(), sample_windows)
     ends_word = encoder(tokenizer_path).ends_word[:IDS]
-    class_of = attention.classify(sample, counts, ends_word)
+    class_of = attention.classes_of(_neighbours(training, counts), counts, ends_word)
     row_of = attention.rows_of(counts, class_of)
     by_row, by_pair, by_class = _pair_counts(training, row_of, class_of, attention.frequent(counts))
     shares = attention.shares_from(counts, class_of, by_pair, by_class)
     model = attention.initial(row_of, class_of, shares, by_row, BEGIN, END)
-    return attention.train(sample, model)
+    total = counts.sum()
+    if sample_windows is not None and sample_windows * STRIDE < total:
+        share = sample_windows * STRIDE / total
+        training = training.where(F.pmod(F.xxhash64("row_id", F.lit(1)), F.lit(2**20)) < share * 2**20)
+        total *= share
+    return _fitted(training, model, total)
 
 
 def score_documents(
@@ -279,9 +355,13 @@ def score_documents(
     modulus: int = 7,
     held_out: int = 2,
     common_words: int = COMMON_WORDS,
-    sample_windows: int = SAMPLE_WINDOWS,
+    sample_windows: int | None = None,
 ) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
+
+    The attention is fitted to all training documents; ``sample_windows``, for trials, leaves it
+    documents of about so many windows. All counts cover everything either way.
+    """
     source = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     ).withColumn("held_out", bucket_of(F.col("doc_id"), modulus) == held_out)

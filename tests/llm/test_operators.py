@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlake.llm import (
+    attention,
     decontaminate,
     fingerprints,
     html_extract,
@@ -249,6 +250,37 @@ def test_lm_of_odd_rows_with_few_common_words(docs, nothing):
     assert lm_scoring.score_documents(nothing, path).collect() == []
 
 
+@pytest.mark.parametrize("small", [0, 10**6])
+def test_lm_learns_from_every_training_document(spark, monkeypatch, small):
+    """Rounds meet each window once, or a small corpus's three times; neighbours are those of all texts."""
+    monkeypatch.setattr(lm_scoring, "SMALL", small)
+    monkeypatch.setattr(lm_scoring, "TASK_WINDOWS", 1)
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 40, n) for n in (0, 1, 15, 16, 17, *rng.integers(0, 90, 200))]
+    rows = [(k, k % 7 == 2, t.astype("<u2").tobytes()) for k, t in enumerate(texts)]
+    encoded = spark.createDataFrame(rows, "row_id long, held_out boolean, ids binary").repartition(4)
+    summed, sums = lm_scoring._summed, []
+    monkeypatch.setattr(lm_scoring, "_summed", lambda *a: sums.append(summed(*a)) or sums[-1])
+    lm_scoring.learn(encoded, tokenizer("word_bpe_49k.json"))
+    training = [[lm_scoring.BEGIN, *t.tolist(), lm_scoring.END] for k, t in enumerate(texts) if k % 7 != 2]
+    ids, near, _, *rounds = sums
+    targets = sum(len(t) - 1 for t in training)
+    assert ids.sum() == targets
+    # The last row is the distance bias, which every target moves.
+    met = [r.reshape(attention.TABLE_ROWS + 1 + 22, -1)[-1, 0] for r in rounds]
+    assert met == [targets] * 3 if small else (len(met) == 4 and min(met) > 0 and sum(met) == targets)
+    top = np.flatnonzero(attention.common_slots(ids.astype(float))[:-1] >= 0)
+    want = collections.Counter(
+        (a, b, i - j) for t in training for i, a in enumerate(t) for j, b in enumerate(t) if 0 < abs(i - j) <= 8
+    )
+    near = near.reshape(3, lm_scoring.IDS + 1, -1)
+    slot = attention.common_slots(ids.astype(float))
+    for a in (0, 7, lm_scoring.BEGIN, lm_scoring.END):
+        for b in top[:45]:
+            assert near[0, a, slot[b]] == want[a, b, 1] and near[1, a, slot[b]] == want[a, b, -1]
+            assert near[2, a, slot[b]] == sum(want[a, b, d] for d in range(-8, 9) if abs(d) > 1)
+
+
 # --- near duplicates ------------------------------------------------------------------
 
 

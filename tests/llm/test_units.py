@@ -1,5 +1,6 @@
 """The parts of the corpus operators that run inside a task, against plain versions."""
 
+import dataclasses
 import itertools
 import random
 import re
@@ -417,6 +418,33 @@ def test_attention_gives_a_distribution_over_the_next_id(counts_on):
     assert total == pytest.approx(1.0, abs=1e-3)
 
 
+def test_attention_gradients_are_those_of_the_score():
+    class Nothing:
+        def of(self, inputs, targets, classes):
+            return np.zeros(len(inputs), np.float32)
+
+    model = dataclasses.replace(small_model(), shares=Nothing())
+    text = np.random.default_rng(2).integers(0, 300, 90)
+    *_, inputs, _, targets = model.laid_out([text])
+    classes = np.where(targets >= 0, model.class_of[targets], -1)
+    fit = attention.Fit(model)
+    split = len(model.qkv)
+    d_table = np.zeros((1, *inputs.shape, 48), np.float32)
+    d_last = np.zeros((len(fit.weights) - split) * 48, np.float32)
+    fit._gradients(inputs[None], classes[None, 1:], 1, d_table, d_last)
+    got = np.zeros((split, 48))
+    np.add.at(got, inputs, d_table[0])
+    got = np.concatenate([got[:-1], np.zeros((1, 48)), d_last.reshape(-1, 48)])
+    rng = np.random.default_rng(3)
+    for rows in (np.unique(model.row_of[text]), np.arange(split, len(fit.weights))):
+        way = np.zeros_like(fit.weights)
+        way[rows] = rng.normal(0, 0.02, (len(rows), 48))
+        up, down = (
+            -attention.with_weights(model, fit.weights + x * way).score([text])[0] * np.log(10) for x in (1, -1)
+        )
+        assert (up - down) / 2 == pytest.approx((got * way).sum(), rel=0.02, abs=0.01)
+
+
 def test_attention_is_causal_and_scores_each_id_once():
     model = small_model()
     rng = np.random.default_rng(1)
