@@ -53,6 +53,23 @@ def eighth(y: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
     return np.multiply(out, out, out=out)
 
 
+def in_windows(a: np.ndarray) -> np.ndarray:
+    """Windows of runs of blocks. The next block lies behind a block, so a window is a longer look at the
+    same memory."""
+    runs, blocks = a.shape[:2]
+    return as_strided(a, (runs, blocks - 1, WINDOW, *a.shape[3:]), a.strides)
+
+
+def hide(weight: np.ndarray, blocks: np.ndarray, nothing: int) -> None:
+    """Sets weights of keys without an input to 0. Only blocks at the ends of a text, or between texts, have
+    such places, and then the last one is such a place."""
+    gaps = blocks[:, :, -1] == nothing
+    run, block = np.nonzero(gaps[:, :-1] | gaps[:, 1:])
+    if len(run):
+        seen = np.concatenate([blocks[run, block], blocks[run, block + 1]], axis=1) != nothing
+        weight[run, block] *= seen[:, None, :]
+
+
 @dataclass
 class Shares:
     """log10 of the share that an id has of its class, after an input id.
@@ -332,6 +349,7 @@ class Fit:
         self.first = np.zeros_like(self.weights)
         self.second = np.zeros_like(self.weights)
         self.seen = np.zeros(len(self.weights))
+        self.moves, self.room = np.zeros(0, np.float32), {}
         self.steps = self.windows = 0
         self.bigram = model.bigram * np.float32(0.125) + np.float32(1.0)
 
@@ -357,20 +375,25 @@ class Fit:
             self.windows += len(part) * RUN
 
     def step(self, blocks: np.ndarray, classes: np.ndarray, pace: float) -> None:
-        """One step on runs of neighbouring blocks of table rows; a run's first block has no targets."""
+        """One step on runs of neighbouring blocks of table rows; a run's first block has no targets.
+
+        Places without an input are the last ones of their block."""
         split = len(self.model.qkv)
-        d_table = np.zeros((*blocks.shape, 3 * WIDTH), np.float32)
+        if self.moves.shape[:-1] != blocks.shape:
+            self.moves = np.zeros((*blocks.shape, 3 * WIDTH), np.float32)
         d_last = np.zeros((len(self.weights) - split, 3 * WIDTH), np.float32)
         targets = max(1, int((classes >= 0).sum()))
         piece = max(1, PIECE // classes.shape[1])
         for at in range(0, len(blocks), piece):
             own = slice(at, at + piece)
-            self._gradients(blocks[own], classes[own], targets, d_table[own], d_last.reshape(-1))
+            self._gradients(blocks[own], classes[own], targets, self.moves[own], d_last.reshape(-1))
         keys = blocks.reshape(-1)
         order = np.argsort(keys, kind="stable")
         keys = keys[order]
         starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        sums = np.add.reduceat(d_table.reshape(-1, 3 * WIDTH).take(order, axis=0), starts, axis=0)
+        # Two numbers are added at a time, as one complex number.
+        moves = self.moves.reshape(-1, 3 * WIDTH).view(np.complex64).take(order, axis=0)
+        sums = np.add.reduceat(moves, starts, axis=0).view(np.float32)
         rows, times = keys[starts].astype(np.int64), np.diff(np.append(starts, len(keys)))
         known = rows != split - 1
         rows = np.concatenate([rows[known], np.arange(split, len(self.weights))])
@@ -394,56 +417,68 @@ class Fit:
         qkv, readout, bias = parts_of(self.weights)
         runs, length = classes.shape[:2]
         eighth_of, one, least = np.float32(0.125), np.float32(1.0), np.float32(LEAST)
-
-        def in_windows(a: np.ndarray) -> np.ndarray:
-            # The next block lies behind a block, so a window is a longer look at the same memory.
-            return as_strided(a, (runs, length, WINDOW, *a.shape[3:]), a.strides)
-
         table = qkv.take(blocks.reshape(-1), axis=0).reshape(*blocks.shape, 3 * WIDTH)
         q = table[:, 1:, :, :WIDTH]
         k, v = in_windows(table[..., WIDTH : 2 * WIDTH]), in_windows(table[..., 2 * WIDTH :])
-        s = np.matmul(q * eighth_of, k.swapaxes(2, 3))
+        scores, s, weight, z, p = self._room(runs, length)
+        s = np.matmul(q, k.swapaxes(2, 3), out=s)
+        s *= eighth_of
         s += bias[DISTANCE] * eighth_of + one
         np.maximum(s, least, out=s)
-        weight = eighth(s)
+        eighth(s, weight)
         weight *= CAUSAL
-        unseen = in_windows(blocks == len(qkv) - 1)
-        partial = np.nonzero(unseen.any(axis=2))
-        if len(partial[0]):
-            weight[partial] *= ~unseen[partial][:, None, :]
-        weight /= np.maximum(weight @ SEEN, np.float32(1e-9))[..., None]
+        hide(weight, blocks, len(qkv) - 1)
+        # Weights are of any sum; what is made of them is divided by it.
+        part = (one / np.maximum(weight @ SEEN, np.float32(1e-9)))[..., None]
         context = np.matmul(weight, v)
+        context *= part
         flat = context.reshape(-1, WIDTH)
-        z = flat @ (readout * eighth_of)
-        z += self.bigram.take(blocks[:, 1:].reshape(-1), axis=0)
+        self.bigram.take(blocks[:, 1:].reshape(-1), axis=0, out=z, mode="clip")
+        z += np.matmul(flat, readout * eighth_of, out=p)
         np.maximum(z, least, out=z)
+        eighth(z, p)
+        total = p @ ONES
         # d log phi(x) / dx is 1 / (1 + x / 8), so that of a class's share has the seventh power. Where phi
         # is held at its least, that is as good as 0.
-        d = z * z
-        d *= z
-        d *= d
-        d *= z
-        total = np.einsum("ij,ij->i", d, z)
+        d = np.divide(p, z, out=p)
         wanted = classes.reshape(-1)
         use = wanted >= 0
-        places, wanted = np.arange(len(wanted)), np.where(use, wanted, 0)
-        each = use.astype(np.float32) / np.float32(targets)
-        d *= (each / total)[:, None]
-        chosen = z[places, wanted]
-        d[places, wanted] -= np.where(chosen > least, each / chosen, 0)
-        d_last[: readout.size] += (flat.T @ d).reshape(-1)
+        each = use.astype(np.float32)
+        each /= np.float32(targets) * total
+        places = np.maximum(wanted, 0)
+        places += np.arange(0, d.size, CLASSES)
+        chosen = z.reshape(-1).take(places)
+        total[chosen <= least] = 0
+        total /= chosen
+        d.reshape(-1)[places] -= total
+        each = each[:, None]
+        d_last[: readout.size] += ((flat * each).T @ d).reshape(-1)
         d_flat = d @ readout.T
-        inner = np.einsum("ij,ij->i", d_flat, flat).reshape(*classes.shape, 1)
+        d_flat *= each
+        inner = np.einsum("ij,ij->i", d_flat, flat).reshape(part.shape)
         d_context = d_flat.reshape(context.shape)
-        d_s = np.matmul(d_context, v.swapaxes(2, 3))
+        d_context *= part
+        inner *= part
+        d_s = np.matmul(d_context, v.swapaxes(2, 3), out=scores)
         d_s -= inner
         d_s *= weight
         d_s /= s
-        d_table[:, 1:, :, :WIDTH] = np.matmul(d_s, k)
-        for at, from_queries in ((WIDTH, np.matmul(d_s.swapaxes(2, 3), q)), (2 * WIDTH, np.matmul(weight.swapaxes(2, 3), d_context))):
-            d_table[:, :-1, :, at : at + WIDTH] = from_queries[:, :, :STRIDE]
-            d_table[:, 1:, :, at : at + WIDTH] += from_queries[:, :, STRIDE:]
-        d_last[readout.size :] += np.bincount(DISTANCE.reshape(-1), d_s.sum(axis=(0, 1)).reshape(-1), WINDOW)
+        by_place = d_s.reshape(runs * length, -1).sum(axis=0)
+        d_last[readout.size :] += np.bincount(DISTANCE.reshape(-1), by_place, WINDOW)
+        np.matmul(d_s, k, out=d_table[:, 1:, :, :WIDTH])
+        for at, weights, by in ((WIDTH, d_s, q), (2 * WIDTH, weight, d_context)):
+            own = slice(at, at + WIDTH)
+            np.matmul(weights[..., :STRIDE].swapaxes(2, 3), by, out=d_table[:, :-1, :, own])
+            last = d_table[:, -1, :, own]
+            last[...] = 0
+            d_table[:, 1:, :, own] += np.matmul(weights[..., STRIDE:].swapaxes(2, 3), by)
+
+    def _room(self, runs: int, length: int) -> list[np.ndarray]:
+        """Arrays that are used again in each piece of the same size."""
+        if (runs, length) not in self.room:
+            shape, flat = (runs, length, STRIDE, WINDOW), (runs * length * STRIDE, CLASSES)
+            self.room = {(runs, length): [np.empty(x, np.float32) for x in (shape, shape, shape, flat, flat)]}
+        return self.room[runs, length]
 
     def fitted(self) -> Model:
         return with_weights(self.model, self.weights)

@@ -9,9 +9,11 @@ is the next round's start. Each window is met in one round; those of a small cor
 Texts are encoded once; their ids are kept in the shared folder and read again for counting, fitting
 and scoring. Every task scores whole texts in overlapping windows.
 
-The base score adds up smoothed word counts. Words are counted with one row per word and task. The
-most frequent ones, at most ``common_words``, go to the tasks as a table of that bounded size; the other
-words of each document meet their counts in a join, which no frequent word enters.
+The base score adds up smoothed word counts. A text is split into words once, when it is encoded: its
+words of the head, at most ``common_words`` that are frequent in a sixteenth of the training texts, are
+kept as numbers, whose counts go to the tasks as a table of that bounded size; its other words are kept
+as they are and meet their counts in one shuffle by word. All counts cover all training texts, so which
+words are in the head changes the cost and no result.
 
 Defined results: a null or empty text is its end alone; a null id counts as empty text for the
 held-out rule; rows that repeat are scored each; without training documents ids are equally likely
@@ -21,22 +23,21 @@ and the base score is 0; other columns are ignored; an empty table gives no rows
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
-from itertools import compress
+from collections.abc import Iterator, Sequence
+from hashlib import sha1
 from math import log10
-from operator import not_
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.llm import attention
 from marketlake.llm.attention import CLASSES, COMMON, GROUP_IDS, PAIRED, STRIDE, TABLE_ROWS
 from marketlake.llm.common import bucket_of, cut, stored
 from marketlake.llm.packing import text_groups
-from marketlake.llm.word_ids import encoder
+from marketlake.llm.word_ids import drop_numbers, encoder, numbers
 
 COMMON_WORDS = 100_000
 #: Windows are met in so many rounds; fewer windows than SMALL are met two or three times, as more would be
@@ -48,21 +49,23 @@ FLUSH_WORDS = 200_000
 BATCH_TEXTS = 500
 BEGIN, END, IDS = 49_406, 49_407, 49_408
 
-#: The end of a text; no word has white space.
-END_WORD = b"\n"
+#: The head is chosen from so much of the training texts.
+HEAD_SHARE = 1 / 16
 
 ENCODED = (
-    "row_id long, doc_id long, held_out boolean, n_tokens long, n_common long, "
-    "common_sum double, rare array<binary>, rare_n array<int>, ids binary"
+    "row_id long, doc_id long, held_out boolean, n_tokens long, head binary, "
+    "rare array<struct<word: binary, n: int>>, ids binary"
 )
+FACTS = "row_id", "doc_id", "held_out", "n_tokens"
+RARE = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
 
 
 def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").lower().split()
 
 
-def word_counts(training: DataFrame) -> DataFrame:
-    """(word, c) of all words and ends of the texts."""
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(word, c) of all words of the texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter[bytes] = Counter()
@@ -78,23 +81,23 @@ def word_counts(training: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch.column("text"):
                 held.update(words_of(text.as_py() or ""))
-                held[END_WORD] += 1
                 if len(held) >= FLUSH_WORDS:
                     yield rows()
         if held:
             yield rows()
 
-    partial = training.select("text").mapInArrow(count, "word binary, c long")
+    partial = texts.select("text").mapInArrow(count, "word binary, c long")
     return partial.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _common(counts: DataFrame, most: int) -> dict[bytes, float]:
-    """log10(c + 1) of the most frequent words, ``most`` of them or fewer.
+def _head(texts: DataFrame, most: int) -> list[bytes]:
+    """The most frequent words, ``most`` of them or fewer, of a share of the texts.
 
     Words are counted by the size of their count, in steps of a 16th power of two; as many of
     the highest steps as fit are taken. A sort with a limit would send that many words of every
     task to the driver.
     """
+    counts = cut(word_counts(texts.where(F.rand(11) < HEAD_SHARE)))
     step = F.floor(F.log2("c") * 16).cast("int")
     taken, lowest = 0, None
     for r in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
@@ -103,71 +106,108 @@ def _common(counts: DataFrame, most: int) -> dict[bytes, float]:
             break
         lowest = r["step"]
     if lowest is None:
-        return {}
-    rows = counts.where(step >= lowest).toPandas()
-    return {bytes(w): log10(c + 1) for w, c in zip(rows["word"], rows["c"], strict=True)}
+        return []
+    rows = counts.where(step >= lowest).toPandas().sort_values(["c", "word"], ascending=[False, True])
+    return [bytes(w) for w in rows["word"]]
 
 
-class _Common(dict):
-    """Values of common words; 0 for any other one."""
+def _number_type(head: Sequence[bytes]) -> str:
+    return "<u2" if len(head) <= 2**16 else "<u4"
 
-    def __missing__(self, word: bytes) -> float:
-        return 0.0
 
-
-def _encode(source: DataFrame, tokenizer_path: str, common: dict[bytes, float]) -> DataFrame:
-    """Each text's ids, the sum over its common words, and its other words with their numbers."""
+def _encode(source: DataFrame, tokenizer_path: str, head: list[bytes]) -> DataFrame:
+    """Each text's ids, the numbers of its words of the head, and its other words with their counts."""
+    key, number_type = sha1(b" ".join(head)).hexdigest(), _number_type(head)
+    held = source.sparkSession.sparkContext.broadcast(head)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_to_ids = encoder(tokenizer_path)
-        value_of = _Common(common).__getitem__
+        known = numbers(tokenizer_path, key, held.value)
         row_id = TaskContext.get().partitionId() << 40
         for batch in batches:
-            flags = batch.column("held_out").to_pylist()
-            done = 0
+            flags, done = batch.column("held_out"), 0
             for doc_ids, texts in text_groups([batch], BATCH_TEXTS):
-                columns: list[list] = [[] for _ in range(9)]
-                for k, (doc_id, text) in enumerate(zip(doc_ids, texts, strict=True)):
-                    words = words_of(text)
-                    ids = np.frombuffer(words_to_ids.encode_split(text, words), "<u4").astype("<u2").tobytes()
-                    words.append(END_WORD)
-                    values = list(map(value_of, words))
-                    rare = Counter(compress(words, map(not_, values)))
-                    for column, value in zip(
-                        columns,
-                        (
-                            row_id,
-                            doc_id,
-                            flags[done + k],
-                            len(words),
-                            len(words) - rare.total(),
-                            sum(values),
-                            list(rare),
-                            list(rare.values()),
-                            ids,
-                        ),
-                        strict=True,
-                    ):
-                        column.append(value)
-                    row_id += 1
-                done += len(texts)
-                types = [
-                    pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(),
-                    pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary(),
-                ]
+                lists = [words_of(text) for text in texts]
+                sizes = np.array([len(words) for words in lists])
+                own = known.of([word for words in lists for word in words])
+                pieces = list(map(known.ids.__getitem__, own.tolist()))
+                ends = np.cumsum(sizes)
+                ids = [b"".join(pieces[end - n : end]) for end, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
+                for k, text in enumerate(texts):
+                    if known.encoder.holds_special(text):
+                        ids[k] = np.frombuffer(known.encoder.whole(text), "<u4").astype("<u2").tobytes()
+                text_of = np.repeat(np.arange(len(texts)), sizes)
+                common = own < len(head)
+                heads = np.split(
+                    own[common].astype(number_type),
+                    np.cumsum(np.bincount(text_of[common], minlength=len(texts)))[:-1],
+                )
+                pairs, times = np.unique(text_of[~common] << 32 | own[~common], return_counts=True)
+                rare = pa.StructArray.from_arrays(
+                    [
+                        pa.array([known.words[k] for k in (pairs & 2**32 - 1).tolist()], pa.binary()),
+                        pa.array(times, pa.int32()),
+                    ],
+                    fields=list(RARE.value_type),
+                )
+                places = np.searchsorted(pairs, np.arange(len(texts) + 1) << 32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                    names=[c.split()[0] for c in ENCODED.split(", ")],
+                    [
+                        pa.array(np.arange(row_id, row_id + len(texts))),
+                        pa.array(doc_ids, pa.int64()),
+                        pa.array(flags.slice(done, len(texts)).to_pylist(), pa.bool_()),
+                        pa.array(sizes + 1, pa.int64()),
+                        pa.array([x.tobytes() for x in heads], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(places, pa.int32()), rare).cast(RARE),
+                        pa.array(ids, pa.binary()),
+                    ],
+                    names=["row_id", "doc_id", "held_out", "n_tokens", "head", "rare", "ids"],
                 )
+                row_id += len(texts)
+                done += len(texts)
+                known.forget()
 
     return source.mapInArrow(scan, ENCODED)
 
 
+def _head_counts(training: DataFrame, head: list[bytes]) -> np.ndarray:
+    number_type = _number_type(head)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_numbers()
+        counts = np.zeros(len(head), np.int64)
+        for batch in batches:
+            for part in batch.column("head"):
+                counts += np.bincount(np.frombuffer(part.as_buffer(), number_type), minlength=len(head))
+        yield from _in_blocks(counts, EXACT)
+
+    size = len(head)
+    return _summed(training.select("head").mapInArrow(count, BLOCKS), size, EXACT)
+
+
+def _rare_sums(encoded: DataFrame) -> DataFrame:
+    """By text: n_rare and rare_sum, the number of its words beyond the head that training knows and the sum of
+    log10(c + 1) over them; and ``kinds``, whose sum is the number of such words in training."""
+    rows = encoded.select("row_id", "held_out", F.inline("rare"))
+    same = Window.partitionBy("word")
+    learnt = F.sum(F.when(F.col("held_out"), 0).otherwise(F.col("n"))).over(same)
+    first = F.row_number().over(same.orderBy("row_id")) == 1
+    counted = rows.select("row_id", "n", learnt.alias("c"), first.alias("first")).where("c > 0")
+    return counted.groupBy("row_id").agg(
+        F.sum("n").alias("n_rare"),
+        F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("rare_sum"),
+        F.sum(F.col("first").cast("long")).alias("kinds"),
+    )
+
+
 def _texts(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), "<u2").astype(np.int64) for x in batch.column("ids")]
 
 
-def _in_blocks(values: np.ndarray) -> Iterator[pa.RecordBatch]:
+#: 24 bits are more than the model can tell apart. Counts of words are exact.
+SHORT, EXACT = "<f4", "<i8"
+
+
+def _in_blocks(values: np.ndarray, kind: str = SHORT) -> Iterator[pa.RecordBatch]:
     """Blocks of a flat array with the places and values of their numbers other than 0."""
     for at in range(0, len(values), 256 * BLOCK):
         part = values[at : at + 256 * BLOCK]
@@ -175,8 +215,7 @@ def _in_blocks(values: np.ndarray) -> Iterator[pa.RecordBatch]:
         blocks, starts, sizes = np.unique(there // BLOCK, return_index=True, return_counts=True)
         own = [slice(a, a + n) for a, n in zip(starts, sizes, strict=True)]
         places = (there % BLOCK).astype("<u2")
-        # 24 bits are more than the model can tell apart.
-        numbers = part[there].astype("<f4")
+        numbers = part[there].astype(kind)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(blocks + at // BLOCK, pa.int32()),
@@ -190,7 +229,7 @@ def _in_blocks(values: np.ndarray) -> Iterator[pa.RecordBatch]:
 BLOCKS = "block int, places binary, numbers binary"
 
 
-def _summed(frame: DataFrame, size: int) -> np.ndarray:
+def _summed(frame: DataFrame, size: int, kind: str = SHORT) -> np.ndarray:
     """The sum of flat arrays of that size, from their blocks."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,26 +238,27 @@ def _summed(frame: DataFrame, size: int) -> np.ndarray:
             columns = (batch.column(c).to_pylist() for c in range(3))
             for block, places, numbers in zip(*columns, strict=True):
                 if block not in sums:
-                    sums[block] = np.zeros(BLOCK)
-                sums[block][np.frombuffer(places, "<u2")] += np.frombuffer(numbers, "<f4")
+                    sums[block] = np.zeros(BLOCK, np.float64 if kind == SHORT else kind)
+                sums[block][np.frombuffer(places, "<u2")] += np.frombuffer(numbers, kind)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(list(sums), pa.int32()),
-                pa.array([x.astype("<f4").tobytes() for x in sums.values()], pa.binary()),
+                pa.array([x.astype(kind).tobytes() for x in sums.values()], pa.binary()),
             ],
             names=["block", "numbers"],
         )
 
-    out = np.zeros((-(-size // BLOCK), BLOCK), np.float32)
+    out = np.zeros((-(-size // BLOCK), BLOCK), kind)
     sums = frame.repartition("block").mapInArrow(add, "block int, numbers binary")
     for batch in sums.toArrow().to_batches():
         for block, numbers in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            out[block] = np.frombuffer(numbers.as_buffer(), "<f4")
+            out[block] = np.frombuffer(numbers.as_buffer(), kind)
     return out.reshape(-1)[:size]
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     """The ids of texts, about GROUP_IDS at a time."""
+    drop_numbers()
     group, held = [], 0
     for batch in batches:
         for ids in batch.column("ids"):
@@ -365,39 +405,44 @@ def score_documents(
     source = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     ).withColumn("held_out", bucket_of(F.col("doc_id"), modulus) == held_out)
-    counts = cut(word_counts(source.where("not held_out")))
-    tokens, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    common = _common(counts, common_words)
-    encoded = stored(_encode(source, tokenizer_path, common))
+    head = _head(source.where("not held_out"), common_words)
+    encoded = stored(_encode(source, tokenizer_path, head))
+    training = encoded.where("not held_out")
+    counts = _head_counts(training, head)
+    rare = cut(_rare_sums(encoded))
+    # Every text has an end, which is a token.
+    tokens, ends = training.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.count(F.lit(1))).first()
+    kinds = (rare.agg(F.sum("kinds")).first()[0] or 0) + int((counts > 0).sum()) + (ends > 0)
     model = learn(encoded, tokenizer_path, sample_windows)
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast((model, np.log10(counts + 1.0), counts > 0))
+    number_type = _number_type(head)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_numbers()
+        model, value, known = held.value
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_TEXTS):
                 part = batch.slice(at, BATCH_TEXTS)
-                scores = held.value.score(_texts(part))
-                own = [part.column(c) for c in part.schema.names if c != "ids"]
+                words = [np.frombuffer(x.as_buffer(), number_type) for x in part.column("head")]
+                text_of = np.repeat(np.arange(len(words)), [len(x) for x in words])
+                words = np.concatenate(words)
+                sums = np.bincount(text_of, value[words], len(part)) + log10(ends + 1)
+                n_known = np.bincount(text_of[known[words]], minlength=len(part)) + (ends > 0)
                 yield pa.RecordBatch.from_arrays(
-                    [*own, pa.array(scores, pa.float64())],
-                    names=[*(c for c in part.schema.names if c != "ids"), "score"],
+                    [
+                        *(part.column(c) for c in FACTS),
+                        pa.array(n_known, pa.int64()),
+                        pa.array(sums, pa.float64()),
+                        pa.array(model.score(_texts(part)), pa.float64()),
+                    ],
+                    names=[*FACTS, "n_common", "common_sum", "score"],
                 )
 
-    facts = "row_id", "doc_id", "held_out", "n_tokens", "n_common", "common_sum"
-    scored = encoded.select(*facts, "ids").mapInArrow(
+    scored = encoded.select(*FACTS, "head", "ids").mapInArrow(
         score,
         "row_id long, doc_id long, held_out boolean, n_tokens long, n_common long, "
         "common_sum double, score double",
     )
-    rare = (
-        encoded.select("row_id", F.explode(F.arrays_zip("rare", "rare_n")).alias("w"))
-        .select("row_id", F.col("w.rare").alias("word"), F.col("w.rare_n").alias("n"))
-        .join(counts, "word")
-        .groupBy("row_id")
-        .agg(
-            F.sum("n").alias("n_rare"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("rare_sum")
-        )
-    )
     base = (
         F.col("common_sum")
         + F.coalesce("rare_sum", F.lit(0.0))

@@ -250,6 +250,33 @@ def test_lm_of_odd_rows_with_few_common_words(docs, nothing):
     assert lm_scoring.score_documents(nothing, path).collect() == []
 
 
+def test_lm_base_scores_do_not_depend_on_the_head(spark):
+    """Words of the head travel as numbers and the others as they are; only the latter meet in a shuffle."""
+    texts = ["a b b, c", "A b <|endoftext|> é", "", None, "b b b b", "x " * 70, "Été, x x.", "日本 a"] * 25
+    rows = [(k, t) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    counts, n, base = base_scores([(k, t or "") for k, t in rows])
+    source = docs.withColumn("held_out", lm_scoring.bucket_of(F.col("doc_id"), 7) == 2)
+    path = tokenizer("word_bpe_49k.json")
+    want = lm_scoring.encoder(path).tokenizer
+    for head in ([], [b"b"], [b"x", b"not-there", b"b", b"a"]):
+        encoded = lm_scoring._encode(source, path, head).cache()
+        known = lm_scoring._head_counts(encoded.where("not held_out"), head)
+        assert known.tolist() == [counts[w] for w in head]
+        sums = {r["row_id"]: r for r in lm_scoring._rare_sums(encoded).collect()}
+        assert sum(r["kinds"] for r in sums.values()) + (known > 0).sum() + 1 == len(counts)
+        for r in encoded.collect():
+            text = texts[r["doc_id"]] or ""
+            ids = np.frombuffer(r["ids"], "<u2").tolist()
+            assert ids == want.encode(text, add_special_tokens=False).ids and r["n_tokens"] == len(words_of(text))
+            own = [head[k] for k in np.frombuffer(r["head"], "<u2")]
+            beyond = sums.get(r["row_id"])
+            total = sum(math.log10(counts[w] + 1) for w in [*own, b"\n"])
+            total += beyond["rare_sum"] if beyond else 0.0
+            assert total - len(words_of(text)) * math.log10(n + len(counts) + 1) == pytest.approx(base(text), rel=1e-9)
+        encoded.unpersist()
+
+
 @pytest.mark.parametrize("small", [0, 10**6])
 def test_lm_learns_from_every_training_document(spark, monkeypatch, small):
     """Rounds meet each window once, or a small corpus's three times; neighbours are those of all texts."""

@@ -252,6 +252,24 @@ def test_windows_of_odd_rows(docs, nothing):
     assert window_packing.pack_windows(nothing, path).collect() == []
 
 
+@pytest.mark.parametrize("held", [3, 100_000])
+def test_numbers_of_words_stand_for_their_ids(held):
+    path, rng = tokenizer(TOKENIZER), random.Random(4)
+    known = word_ids.WordNumbers(word_ids.WordIds(path), [b"the", b"a,", b"b"], held)
+    letters = "abcéßĳñ.,'$-_12ж日"
+    want = word_ids.WordIds(path)
+    for _ in range(200):
+        words = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 5))).encode() for _ in range(20)]
+        words += [b"the", b"b", b"a,"]
+        numbers = known.of(words)
+        assert [known.words[k] for k in numbers] == words and numbers[-3:].tolist() == [0, 2, 1]
+        for word, k in zip(words, numbers, strict=True):
+            ids = np.frombuffer(known.ids[k], "<u2").tolist()
+            assert ids == np.frombuffer(want.encode([word.decode()])[0], "<u4").tolist()
+        known.forget()
+        assert len(known.words) <= 3 + held and all(known[w] == k for k, w in enumerate(known.words[3:], 3))
+
+
 @pytest.mark.parametrize("held", [3, 100_000])
 def test_ids_of_words_are_those_of_whole_texts(held):
     ids_of = word_ids.WordIds(tokenizer(TOKENIZER), held)
