@@ -47,3 +47,13 @@ def test_query_matches_its_sql(spark, duck, name):
 def test_entry(spark):
     flagship = entry_points.entry(spark)
     assert len(flagship.columns) == 25 and flagship.count() > 0
+
+
+@pytest.mark.parametrize("name", ["sql_join", "sql_json", "view_row_count"])
+def test_queries_leave_no_view(spark, name):
+    def views():
+        return {t.name for t in spark.catalog.listTables() if t.isTemporary}
+
+    before = views()
+    answer = ENTRIES[name].run(spark, SF_DIR)
+    assert views() == before and answer.count() > 0

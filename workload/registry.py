@@ -1135,7 +1135,8 @@ def view_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select count(*) as n_rows from events")
 def view_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _events_lake(spark, sf_dir)
-    _, count = create_view(lake, "events", view_name=f"v{uuid.uuid4().hex}")
+    view, count = create_view(lake, "events", view_name=f"v{uuid.uuid4().hex}")
+    spark.catalog.dropTempView(view)
     return count
 
 
@@ -1219,14 +1220,18 @@ def _over_views(text: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         parent, folder = os.path.split(sf_dir)
         lake = Lake(spark, parent)
-        own = text
+        own, views = text, []
         for name in TABLES:
             word = rf"\b{name}\b"
             if re.search(word, text):
-                view = f"{name}_{uuid.uuid4().hex}"
-                create_view(lake, f"{name}.parquet", folder, view_name=view)
-                own = re.sub(word, view, own)
-        return spark.sql(own)
+                views.append(f"{name}_{uuid.uuid4().hex}")
+                create_view(lake, f"{name}.parquet", folder, view_name=views[-1])
+                own = re.sub(word, views[-1], own)
+        answer = spark.sql(own)
+        # The analysed query holds the views' plans.
+        for view in views:
+            spark.catalog.dropTempView(view)
+        return answer
 
     return run
 
