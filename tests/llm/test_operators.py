@@ -751,3 +751,13 @@ def test_queries_match_their_sql(spark, result):
         columns = [c[0] for c in cursor.description]
         want = sorted(map(repr, cursor.fetchall()))
         assert sorted(repr(tuple(r[c] for c in columns)) for r in result(name)) == want
+
+
+def test_importance_matches_its_sql(result):
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"create view {name} as select * from '{SF_DIR}/{name}.parquet'")
+    cursor = con.execute(SQL["op13_importance"])
+    columns = [c[0] for c in cursor.description]
+    want = sorted(map(repr, cursor.fetchall()))
+    assert sorted(repr(tuple(r[c] for c in columns)) for r in result("op13_importance")) == want
