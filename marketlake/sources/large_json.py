@@ -7,6 +7,8 @@ alone can tell. So the ranges are first summed up, each in a task of its own, fo
 a text and both of standing behind a backslash; going through these sums, a few numbers per range, gives
 every range its true state. Then the ranges are read: a record belongs to the range that has the bracket or
 comma before it, and its reader goes on beyond the range to the record's end. Nothing is lost or read twice.
+Both passes take a range in blocks, so a task holds a block and the records of one answer, however large the
+range; only text behind the end of the array, which is malformed, is held as a whole.
 
 The records come as landed answers, arrays of at most ``per_body`` records each, so that everything that
 works on answers works on these. A file that is no array is one answer as it is. What is not well formed
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,6 +30,8 @@ from pyspark.sql import functions as F
 
 RANGE_BYTES = 8 << 20
 PER_BODY = 256
+#: How much of a range is read at once.
+BLOCK_BYTES = 1 << 20
 #: How much is read at once beyond the end of a range.
 MORE_BYTES = 256 << 10
 
@@ -41,6 +46,7 @@ _DEPTH[[ord(c) for c in "]}"]] = -1
 _SIGN = _DEPTH != 0
 _SIGN[[QUOTE, BACKSLASH, COMMA]] = True
 BLANKS = b" \t\r\n"
+BEGINS = (b"[", b",")
 
 
 @dataclass
@@ -81,17 +87,24 @@ def _signs(data: bytes, escaped: bool) -> tuple[np.ndarray, np.ndarray, bool]:
                 behind, odd = np.append(0, behind), np.append(True, odd)
         taken = behind[odd]
         open_end = bool(len(taken) and taken[-1] == len(raw))
-        keep = (values != BACKSLASH) & ~((values == QUOTE) & np.isin(places, taken))
+        hit = np.zeros(len(raw) + 1, bool)
+        hit[taken] = True
+        keep = (values != BACKSLASH) & ~((values == QUOTE) & hit[places])
     else:
         keep = values != BACKSLASH
     return places[keep], values[keep], open_end
 
 
 def _summed(data: bytes) -> dict:
-    """What a range does to a reader, for each case of being escaped and of standing in a text."""
+    """What a block does to a reader, for each case of being escaped and of standing in a text."""
     out: dict = {"odd": [], "escapes": [], "even_depth": [], "odd_depth": []}
     out["first"] = data.lstrip(BLANKS)[:1].decode("latin-1")
     for escaped in (False, True):
+        if escaped and data and data[:1] not in (b'"', b"\\"):
+            # Any other first byte means the same behind a backslash.
+            for case in ("odd", "escapes", "even_depth", "odd_depth"):
+                out[case] *= 2
+            break
         _, values, open_end = _signs(data, escaped)
         inside = np.cumsum(values == QUOTE) % 2 == 1
         steps = _DEPTH[values].astype(np.int64)
@@ -102,6 +115,19 @@ def _summed(data: bytes) -> dict:
     return out
 
 
+def _joined(sums: dict, more: dict) -> dict:
+    """The sums of a block and of the one behind it as the sums of both."""
+    out: dict = {"first": sums["first"] or more["first"], "odd": [], "escapes": [], "even_depth": [], "odd_depth": []}
+    for e in (0, 1):
+        odd, then = sums["odd"][e], int(sums["escapes"][e])
+        same, other = ("odd_depth", "even_depth") if odd else ("even_depth", "odd_depth")
+        out["odd"].append(odd != more["odd"][then])
+        out["escapes"].append(more["escapes"][then])
+        out["even_depth"].append(sums["even_depth"][e] + more[same][then])
+        out["odd_depth"].append(sums["odd_depth"][e] + more[other][then])
+    return out
+
+
 def _boundaries(data: bytes, state: State) -> tuple[list[int], list[int], State]:
     """Places that begin a record, places that end the array, and where the reader stands behind."""
     places, values, open_end = _signs(data, state.escaped)
@@ -126,38 +152,58 @@ def _open(path: str):
     return system.open_input_file(inner)
 
 
+def _blocks(handle, start: int, stop: int, at_once: int) -> Iterator[bytes]:
+    handle.seek(start)
+    while start < stop and (data := handle.read(min(at_once, stop - start))):
+        yield data
+        start += len(data)
+
+
+def _summed_range(handle, start: int, stop: int) -> dict:
+    return reduce(_joined, map(_summed, _blocks(handle, start, stop, BLOCK_BYTES)), _summed(b""))
+
+
+def _record(mark: bytes, pieces: list[bytes], end: bytes) -> Iterator[bytes]:
+    """The text between a bracket or comma and what ends it."""
+    record = b"".join(pieces).strip(BLANKS)
+    if not end or not record and mark + end != b"[]":
+        # Without an end, or with nothing between two commas, the array is not well formed.
+        yield b"," + record
+    elif record:
+        yield record
+
+
 def _records(handle, size: int, start: int, stop: int, state: State) -> Iterator[bytes]:
     """Texts of the records whose bracket or comma is in the range, and of what is malformed there."""
-    handle.seek(start)
-    data = handle.read(stop - start)
-    begins, ends, after = _boundaries(data, state)
     closed_before = state.begun and state.depth == 0
-    if begins and begins[-1] >= max(ends, default=-1):
+    whole: list[bytes] = []
+    # The last bracket or comma, and what came behind it.
+    mark, pieces = b"", []
+    for data in _blocks(handle, start, stop, BLOCK_BYTES):
+        begins, ends, state = _boundaries(data, state)
+        at = 0
+        for place in sorted([*begins, *ends]):
+            if mark in BEGINS:
+                yield from _record(mark, [*pieces, data[at:place]], data[place : place + 1])
+            mark, pieces, at = data[place : place + 1], [], place + 1
+        if mark:
+            pieces.append(data[at:])
+        if closed_before:
+            whole.append(data)
+    if mark in BEGINS:
         # The last record ends further on.
-        at = stop
-        while at < size:
-            more = handle.read(min(MORE_BYTES, size - at))
-            more_begins, more_ends, after = _boundaries(more, after)
-            nearest = min([*more_begins[:1], *more_ends[:1]], default=None)
+        for data in _blocks(handle, stop, size, MORE_BYTES):
+            begins, ends, state = _boundaries(data, state)
+            nearest = min([*begins[:1], *ends[:1]], default=None)
+            pieces.append(data[:nearest])
             if nearest is not None:
-                ends.append(len(data) + nearest)
-                data += more[: nearest + 1]
+                yield from _record(mark, pieces, data[nearest : nearest + 1])
                 break
-            data += more
-            at += len(more)
-    marks = sorted([*begins, *ends])
-    following = dict(zip(marks, marks[1:], strict=False))
-    for begin in begins:
-        end = following.get(begin)
-        record = data[begin + 1 : end].strip(BLANKS)
-        if end is None or not record and data[begin : begin + 1] + data[end : end + 1] != b"[]":
-            # Without an end, or with nothing between two commas, the array is not well formed.
-            yield b"," + record
-        elif record:
-            yield record
+        else:
+            yield from _record(mark, pieces, b"")
+        pieces = []
     # Behind the end of the array nothing but white space may come.
-    ended = 0 if closed_before else ends[-1] + 1 if ends and not (begins and begins[-1] > ends[-1]) else None
-    rest = data[ended : stop - start].strip(BLANKS) if ended is not None else b""
+    rest = b"".join(whole if closed_before else pieces).strip(BLANKS)
     if rest:
         yield b"," + rest
 
@@ -216,9 +262,8 @@ def read_large_arrays(
         for batch in batches:
             for row in batch.to_pylist():
                 with _open(row["path"]) as handle:
-                    handle.seek(row["start"])
-                    data = handle.read(row["stop"] - row["start"])
-                yield pa.RecordBatch.from_pylist([row | _summed(data)], schema=sums)
+                    found = _summed_range(handle, row["start"], row["stop"])
+                yield pa.RecordBatch.from_pylist([row | found], schema=sums)
 
     facts = [c.split()[0] for c in RANGES.split(", ")]
 

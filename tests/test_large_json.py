@@ -1,13 +1,18 @@
 """Large arrays by ranges of bytes: any cut gives the records of the whole document."""
 
+import io
 import json
 import random
+import tracemalloc
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from marketlake.sources.landing import decode, rejects
 from marketlake.sources.large_json import BLANKS, State, _bodies, _summed, read_large_arrays
 from marketlake.sources import large_json
+from workload import adapters
 
 TEXTS = [
     "", 'a"b\\c', '[{"x":1},]', "\\", "\\\\", '\\"', "{", "}", ",", 'é,"日本"', "]",
@@ -84,3 +89,63 @@ def test_records_of_large_arrays_are_decoded_by_many_tasks(spark, tmp_path):
     (folder / "cut.json").write_text(json.dumps(records)[:-1])
     with pytest.raises(Exception, match="cut-.* is malformed"):
         decode(read_large_arrays(spark, str(folder), "coingecko", range_bytes=8192), "coingecko").collect()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_blocks_of_a_range_give_what_the_whole_range_gives(tmp_path, monkeypatch, seed):
+    rng = random.Random(seed)
+    for _ in range(40):
+        text = json.dumps([value(rng) for _ in range(rng.randint(0, 6))], ensure_ascii=rng.random() < 0.5)
+        if rng.random() < 0.5:
+            place = rng.randrange(len(text))
+            text = text[:place] + rng.choice(["[", "]", '"', ",", "\\", " x "]) + text[place:]
+        data, cut = text.encode(), rng.choice([3, 20, 10**6])
+        monkeypatch.setattr(large_json, "BLOCK_BYTES", 1 << 20)
+        whole = bodies(tmp_path / "doc", data, cut, 2)
+        monkeypatch.setattr(large_json, "BLOCK_BYTES", rng.choice([1, 2, 5]))
+        assert bodies(tmp_path / "doc", data, cut, 2) == whole
+        start = rng.randint(0, len(data))
+        assert large_json._summed_range(io.BytesIO(data), start, len(data)) == _summed(data[start:])
+
+
+def test_a_range_far_larger_than_a_block_is_never_held(tmp_path):
+    record = json.dumps({"id": "c", "note": 'a"b\\c', "prices": [1.5] * 20}).encode()
+    data = b"[" + b",\n".join([record] * 80_000) + b"]"
+    (tmp_path / "doc").write_bytes(data)
+    size = len(data)
+    del data
+    tracemalloc.start()
+    found = _bodies(f"file://{tmp_path}/doc", size, 0, size, True, State(), 256)
+    count = sum(body.count('"id"') for _, body in found)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert count == 80_000
+    assert size > 10 << 20 and peak < size
+
+
+def test_the_event_array_is_sound_if_the_first_part_of_the_scan_has_no_record(spark, tmp_path):
+    """A file with one large row group is scanned in parts, and only one part has its rows."""
+    count = 3000
+    events = {
+        "event_id": range(count),
+        "ts": pa.array([k * 1_000_000 for k in range(count)], pa.timestamp("us")),
+        "user_id": range(count),
+        "event_type": ["a"] * count,
+        "value": [k / 7 for k in range(count)],
+        "props": [f'{{"k": {k}}}' for k in range(count)],
+    }
+    pq.write_table(pa.table(events), tmp_path / "events.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        parts = spark.read.parquet(str(tmp_path / "events.parquet")).selectExpr("spark_partition_id() p").distinct()
+        assert parts.first().p > 0
+        adapters.write_event_array(spark, str(tmp_path), str(tmp_path / "array"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    (file,) = (tmp_path / "array").glob("*.txt")
+    assert [r["number"] for r in json.loads(file.read_text())] == list(range(count))
+    (tmp_path / "none").mkdir()
+    pq.write_table(pa.table(events).slice(0, 0), tmp_path / "none" / "events.parquet")
+    adapters.write_event_array(spark, str(tmp_path / "none"), str(tmp_path / "empty"))
+    (file,) = (tmp_path / "empty").glob("*.txt")
+    assert json.loads(file.read_text()) == []

@@ -183,12 +183,13 @@ def write_event_array(spark: SparkSession, sf_dir: str, folder: str) -> None:
     records = _event_records(table(spark, sf_dir, "events")).select(
         F.monotonically_increasing_id().alias("place"), "json"
     )
-    comma = F.when(F.col("place") == 0, "").otherwise(",")
-    lines = records.select("place", F.concat(comma, "json").alias("line"))
-    ends = spark.createDataFrame([(-1, "["), (2**62, "]")], "place long, line string")
+    ends = spark.createDataFrame([(-1, "["), (2**62, "]")], "place long, json string")
     # The file is what is tested; rows pass through the one task that writes it, none is held there.
-    whole = lines.unionByName(ends).repartition(1).sortWithinPartitions("place")
-    whole.select("line").write.text(folder)
+    whole = records.unionByName(ends).repartition(1).sortWithinPartitions("place")
+    # Lines are counted where they are written: the first part of a scan may have no record.
+    numbered = whole.withColumn("line", F.monotonically_increasing_id())
+    comma = F.when((F.col("line") < 2) | (F.col("place") == 2**62), "").otherwise(",")
+    numbered.select(F.concat(comma, "json")).write.text(folder)
 
 
 def landed_lot(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
